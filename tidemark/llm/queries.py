@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.llm.decontaminate import contamination_report, decontaminate
 from tidemark.llm.mixing import mix_sources
 from tidemark.llm.secrets import scan_secrets, secret_report
 from tidemark.session import table
@@ -18,6 +19,12 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(table(spark, sf_dir, "documents"))
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark windows of 13 words found in every document."""
+    found = decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return contamination_report(found)
+
+
 def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts, digest and spans of secrets in every document."""
     return secret_report(scan_secrets(table(spark, sf_dir, "documents")))
@@ -25,6 +32,7 @@ def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_mixing": op1_mixing,
+    "op4_decontamination": op4_decontamination,
     "op9_secrets": op9_secrets,
 }
 
