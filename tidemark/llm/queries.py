@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.llm.decontaminate import contamination_report, decontaminate
 from tidemark.llm.mixing import mix_sources
 from tidemark.llm.secrets import scan_secrets, secret_report
+from tidemark.llm.toxicity import fit_toxicity, fold, score_toxicity
 from tidemark.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +27,16 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination_report(found)
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learned from labels outside fold 2 of 4."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = fit_toxicity(docs, labels, train=fold(F.col("doc_id"), 4) != 2)
+    return score_toxicity(docs, model).select(
+        "doc_id", (fold(F.col("doc_id"), 4) == 2).alias("held_out"), "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"), "n_windows", "n_hits",
+    )
+
+
 def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts, digest and spans of secrets in every document."""
     return secret_report(scan_secrets(table(spark, sf_dir, "documents")))
@@ -33,6 +45,7 @@ def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_mixing": op1_mixing,
     "op4_decontamination": op4_decontamination,
+    "op5_toxicity": op5_toxicity,
     "op9_secrets": op9_secrets,
 }
 
