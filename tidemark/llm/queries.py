@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.decontaminate import contamination_report, decontaminate
 from tidemark.llm.mixing import mix_sources
+from tidemark.llm.ngram_join import ngram_components
 from tidemark.llm.secrets import scan_secrets, secret_report
 from tidemark.llm.toxicity import fit_toxicity, fold, score_toxicity
 from tidemark.session import table
@@ -21,6 +22,11 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(table(spark, sf_dir, "documents"))
 
 
+def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents that share three quarters of their five-word shingles."""
+    return ngram_components(table(spark, sf_dir, "documents"))
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark windows of 13 words found in every document."""
     found = decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -44,6 +50,7 @@ def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_mixing": op1_mixing,
+    "op3_ngram_join": op3_ngram_join,
     "op4_decontamination": op4_decontamination,
     "op5_toxicity": op5_toxicity,
     "op9_secrets": op9_secrets,
