@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.decontaminate import contamination_report, decontaminate
+from tidemark.llm.lm_score import score_texts
 from tidemark.llm.mixing import mix_sources
 from tidemark.llm.ngram_join import ngram_components
 from tidemark.llm.secrets import scan_secrets, secret_report
@@ -22,6 +23,16 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(table(spark, sf_dir, "documents"))
 
 
+def op2_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lattice scores of every document, learned outside fold 0 of 10."""
+    held_out = fold(F.col("doc_id"), 10) == 0
+    docs = table(spark, sf_dir, "documents")
+    scored = score_texts(docs, train=~held_out)
+    return scored.select(
+        "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
 def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents that share three quarters of their five-word shingles."""
     return ngram_components(table(spark, sf_dir, "documents"))
@@ -50,6 +61,7 @@ def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_mixing": op1_mixing,
+    "op2_lm_score": op2_lm_score,
     "op3_ngram_join": op3_ngram_join,
     "op4_decontamination": op4_decontamination,
     "op5_toxicity": op5_toxicity,
