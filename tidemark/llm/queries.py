@@ -13,7 +13,8 @@ from tidemark.llm.mixing import mix_sources
 from tidemark.llm.ngram_join import ngram_components
 from tidemark.llm.secrets import scan_secrets, secret_report
 from tidemark.llm.toxicity import fit_toxicity, fold, score_toxicity
-from tidemark.session import table
+from tidemark.llm.warc import plan_records, read_warc, write_warc
+from tidemark.session import scratch_path, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -54,6 +55,13 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written to archives and read back."""
+    path = scratch_path(spark, "warc")
+    write_warc(plan_records(table(spark, sf_dir, "pages")), path)
+    return read_warc(spark, path).drop("url")
+
+
 def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts, digest and spans of secrets in every document."""
     return secret_report(scan_secrets(table(spark, sf_dir, "documents")))
@@ -65,6 +73,7 @@ QUERIES: dict[str, Query] = {
     "op3_ngram_join": op3_ngram_join,
     "op4_decontamination": op4_decontamination,
     "op5_toxicity": op5_toxicity,
+    "op8_warc": op8_warc,
     "op9_secrets": op9_secrets,
 }
 
