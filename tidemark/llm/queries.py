@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.decontaminate import contamination_report, decontaminate
+from tidemark.llm.embeddings import near_duplicates
 from tidemark.llm.lm_score import score_texts
 from tidemark.llm.mixing import mix_sources
 from tidemark.llm.ngram_join import ngram_components
@@ -55,6 +56,11 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all embeddings of equal label at cosine 0.98."""
+    return near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pages written to archives and read back."""
     path = scratch_path(spark, "warc")
@@ -73,6 +79,7 @@ QUERIES: dict[str, Query] = {
     "op3_ngram_join": op3_ngram_join,
     "op4_decontamination": op4_decontamination,
     "op5_toxicity": op5_toxicity,
+    "op6_embeddings": op6_embeddings,
     "op8_warc": op8_warc,
     "op9_secrets": op9_secrets,
 }
