@@ -7,9 +7,10 @@ than `dense` rows gives its pairs, overlaps are summed, and a pair stays only if
 multiplied could still add reaches t/(1+t) of both sizes. What remains is compared set by set.
 
 Columns of `dense` rows or more are not multiplied. They matter only between rows that have too few other places for the
-bound above. Those rows are compared with one pivot per column, which joins a group of near copies in linear work. Then
-only rows of different components that share a pivot, and whose distances to it differ by at most 1 - t (the Jaccard
-distance is a metric), are compared with each other. No pair at or above t is lost.
+bound above. For those rows alone the product is made again over all their places. Rows that are starved even then
+consist mostly of what many others hold too: groups of near copies. They are compared with one pivot per column, which
+joins a group in linear work. Then only rows of different components that share a pivot, and whose distances to it differ
+by at most 1 - t (the Jaccard distance is a metric), are compared with each other. No pair at or above t is lost.
 """
 
 from __future__ import annotations
@@ -27,7 +28,6 @@ from tidemark.session import cut, measured_broadcast
 
 #: Share of the hash range of which every place is stored.
 STORED = 0.35
-_LOW = np.uint64(int(STORED * 2**64))
 #: Entries that a task gathers before it writes them out.
 _FLUSH = 3_000_000
 
@@ -36,16 +36,23 @@ def _prefix(n: int, percent: int) -> int:
     return n - -(-n * percent // 100) + 1
 
 
+def _limit(stored: float) -> np.uint64:
+    """Hashes up to this one are low places, all of which are stored."""
+    return np.uint64(min(int(stored * 2**64), 2**64 - 1))
+
+
 def profile_sets(docs: DataFrame, width: int = 5) -> DataFrame:
     """doc_id, n, sig, n_low and text_key of each row of `docs` (doc_id, text): set size, signature, stored low places."""
 
+    limit = _limit(STORED)
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n, sig, low = [], [], []
             for _, h in shingle_sets(batch.column("text").to_pylist(), width):
                 n.append(len(h))
                 sig.append(set_signature(h))
-                low.append(int(np.searchsorted(h, _LOW)))
+                low.append(int(np.searchsorted(h, limit, side="right")))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("text_key"), pa.array(n, pa.int64()), pa.array(sig, pa.int64()), pa.array(low, pa.int64())],
                 ["doc_id", "text_key", "n", "sig", "n_low"],
@@ -56,13 +63,14 @@ def profile_sets(docs: DataFrame, width: int = 5) -> DataFrame:
     return rows.mapInArrow(run, f"doc_id {kind}, text_key bigint, n bigint, sig bigint, n_low bigint")
 
 
-def _incidence(docs: DataFrame, width: int, percent: int, blocks: int, dense: int) -> DataFrame:
+def _incidence(docs: DataFrame, width: int, percent: int, blocks: int, dense: int, stored: float) -> DataFrame:
     """block, passed, places, owner, sigs: packed entries of column blocks.
 
     `places` are 4-byte hashes within the block, `owner` indexes `sigs`. Columns that a task finds dense already leave
     their first `dense` entries in their block and pass the others on, spread over all blocks.
     """
-    scale = float(_LOW) / blocks
+    limit = _limit(stored)
+    scale = float(limit) / blocks
 
     def packed(block: int, passed: bool, keys: np.ndarray, owner: np.ndarray, sigs: np.ndarray) -> tuple:
         used, local = np.unique(owner, return_inverse=True)
@@ -87,7 +95,7 @@ def _incidence(docs: DataFrame, width: int, percent: int, blocks: int, dense: in
     def keys_of(h: np.ndarray) -> np.ndarray:
         """Block number in the upper half, hash bits within the block in the lower; blocks from `blocks` on are high."""
         block = np.minimum((h / scale).astype(np.uint64), np.uint64(blocks - 1))
-        high = h >= _LOW
+        high = h > limit
         block[high] = np.uint64(blocks) + h[high] % np.uint64(blocks)
         return (block << np.uint64(32)) | (h * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(32))
 
@@ -111,11 +119,11 @@ def _incidence(docs: DataFrame, width: int, percent: int, blocks: int, dense: in
                 if sig in seen:
                     continue
                 seen.add(sig)
-                stored = h[: max(int(np.searchsorted(h, _LOW)), _prefix(len(h), percent))]
-                keys.append(keys_of(stored))
-                owner.append(np.full(len(stored), len(sigs), dtype=np.int64))
+                places = h[: max(int(np.searchsorted(h, limit, side="right")), _prefix(len(h), percent))]
+                keys.append(keys_of(places))
+                owner.append(np.full(len(places), len(sigs), dtype=np.int64))
                 sigs.append(sig)
-                held += len(stored)
+                held += len(places)
                 if held >= _FLUSH:
                     yield from flush()
                     keys, owner, sigs, held, turn = [], [], [], 0, turn + 1
@@ -179,6 +187,13 @@ def _block_products(incidence: DataFrame, blocks: int, dense: int) -> DataFrame:
     return incidence.mapInArrow(run, "kind int, a bigint, b bigint, c bigint")
 
 
+def _texts_of(docs: DataFrame, sets: DataFrame, needed: DataFrame) -> DataFrame:
+    """text of every row of `docs` that gives one of the `needed` signatures its text."""
+    keys = cut(sets.join(needed.select("sig"), "sig").select("text_key").distinct())
+    keyed = docs.select("text", F.xxhash64("text").alias("text_key"))
+    return keyed.join(measured_broadcast(keys, 1_000_000), "text_key", "left_semi").select("text")
+
+
 def _overlaps(pairs: DataFrame, docs: DataFrame, sets: DataFrame, width: int) -> DataFrame:
     """a, b, na, nb, shared: the exact overlap of each pair of signatures. `sets` (sig, text_key) finds their texts."""
 
@@ -207,11 +222,7 @@ def _overlaps(pairs: DataFrame, docs: DataFrame, sets: DataFrame, width: int) ->
             )
 
     needed = pairs.select(F.col("a").alias("sig")).unionByName(pairs.select(F.col("b").alias("sig"))).distinct()
-    texts = cut(sets.join(needed, "sig").select("text_key").distinct())
-    chosen = docs.withColumn("text_key", F.xxhash64("text")).join(
-        measured_broadcast(texts, 1_000_000), "text_key", "left_semi"
-    )
-    hashes = cut(chosen.select("text").mapInArrow(hashed, "sig bigint, hashes binary").dropDuplicates(["sig"]))
+    hashes = cut(_texts_of(docs, sets, needed).mapInArrow(hashed, "sig bigint, hashes binary").dropDuplicates(["sig"]))
     with_a = pairs.join(hashes.select(F.col("sig").alias("a"), F.col("hashes").alias("ha")), "a")
     with_b = with_a.join(hashes.select(F.col("sig").alias("b"), F.col("hashes").alias("hb")), "b")
     return cut(
@@ -256,57 +267,80 @@ def ngram_components(
     return full.unionByName(empty)
 
 
-def _links(docs: DataFrame, sets: DataFrame, width: int, percent: int, dense: int, blocks: int) -> DataFrame:
-    """a, b: signatures of linked sets; enough of them to connect all that exact links connect."""
-    incidence = _incidence(docs, width, percent, blocks, dense).repartition(blocks, "block")
+def _products(
+    docs: DataFrame, sets: DataFrame, width: int, percent: int, dense: int, blocks: int, stored: float
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(pairs, rows, crowded) of one round of column products over `docs`; `sets` has sig, n and n_low of its sets.
+
+    pairs: a, b that may still reach the threshold. rows: sig, n and whether it is starved, that is, has fewer places in
+    multiplied columns than a link must show. crowded: sig, column of the places in dense columns.
+    """
+    incidence = _incidence(docs, width, percent, blocks, dense, stored).repartition(blocks, "block")
     products = cut(_block_products(incidence, blocks, dense))
-    crowded = products.filter("kind = 1").select(F.col("a").alias("sig"), F.col("b").alias("column"), "c")
-    # The same column can be dense in one task and reach its block too: a row counts once.
-    crowded = crowded.distinct()
+    # Tasks pass on what they find dense, so a row can come twice.
+    crowded = products.filter("kind = 1").select(F.col("a").alias("sig"), F.col("b").alias("column"), "c").distinct()
+    crowded = cut(crowded)
     hidden = crowded.groupBy("sig").agg(F.sum("c").alias("hidden"))
+    rows = sets.join(hidden, "sig", "left").withColumn("hidden", F.coalesce("hidden", F.lit(0)))
+    least = F.col("n") - F.ceil(F.col("n") * percent / 100.0) + 1
     rows = cut(
-        sets.join(hidden, "sig", "left").select(
-            "sig", "n", F.coalesce("hidden", F.lit(0)).alias("hidden"), (F.col("n") - F.col("n_low")).alias("high"),
-            (F.col("n_low") - F.coalesce("hidden", F.lit(0))
-             < F.col("n") - F.ceil(F.col("n") * percent / 100.0) + 1).alias("starved"),
+        rows.select(
+            "sig", "n", "hidden", (F.col("n") - F.col("n_low")).alias("high"),
+            (F.col("n_low") - F.col("hidden") < least).alias("starved"),
         )
     )
     sums = products.filter("kind = 0").groupBy("a", "b").agg(F.sum("c").alias("overlap"))
-    sums = sums.join(rows.select(F.col("sig").alias("a"), *[F.col(c).alias(f"{c}_a") for c in ("n", "hidden", "high")]), "a")
-    sums = sums.join(rows.select(F.col("sig").alias("b"), *[F.col(c).alias(f"{c}_b") for c in ("n", "hidden", "high")]), "b")
+    for side in ("a", "b"):
+        facts = [F.col(c).alias(f"{c}_{side}") for c in ("n", "hidden", "high")]
+        sums = sums.join(rows.select(F.col("sig").alias(side), *facts), side)
     most = F.col("overlap") + F.least("hidden_a", "hidden_b") + F.least("high_a", "high_b")
     most = F.least(most, F.col("n_a"), F.col("n_b"))
     # shared >= t / (1 + t) * (na + nb), in integers
-    found = cut(sums.filter((100 + percent) * most >= percent * (F.col("n_a") + F.col("n_b"))).select("a", "b"))
+    pairs = sums.filter((100 + percent) * most >= percent * (F.col("n_a") + F.col("n_b"))).select("a", "b")
+    return cut(pairs), rows, crowded
 
-    starved = crowded.join(rows.filter("starved").select("sig"), "sig").select("sig", "column")
-    starved = cut(starved)
-    turn = F.xxhash64(F.col("sig"), F.lit(7))
-    pivots = cut(starved.groupBy("column").agg(F.min(F.struct(turn.alias("turn"), "sig")).alias("p")).select("column", F.col("p.sig").alias("pivot")))
+
+def _links(docs: DataFrame, sets: DataFrame, width: int, percent: int, dense: int, blocks: int) -> DataFrame:
+    """a, b: signatures of linked sets; enough of them to connect all that exact links connect."""
+    found, rows, crowded = _products(docs, sets.select("sig", "n", "n_low"), width, percent, dense, blocks, STORED)
+    # A place of a starved row counts only in a column that is crowded.
+    hungry = rows.filter("starved").join(crowded.select("sig").distinct(), "sig", "left_semi").select("sig", "n")
+    hungry = cut(hungry)
+    texts = _texts_of(docs, sets, hungry)
+    again = hungry.withColumn("n_low", F.col("n"))
+    more, rows, crowded = _products(texts, again, width, percent, dense, blocks, 1.0)
+
+    # A pivot should stand in the middle of its group: an original has hardly a place that its near copies lack.
+    alone = (1.0 - F.col("hidden") / F.col("n")).alias("alone")
+    turn = F.xxhash64(F.col("sig"), F.lit(7)).alias("turn")
+    starved = crowded.join(rows.filter("starved").select("sig", alone, turn), "sig")
+    starved = cut(starved.select("sig", "column", "alone", "turn"))
+    pivots = starved.groupBy("column").agg(F.min(F.struct("alone", "turn", "sig")).alias("p"))
+    pivots = cut(pivots.select("column", F.col("p.sig").alias("pivot")))
     spokes = cut(starved.join(pivots, "column").filter("sig <> pivot").select("pivot", "sig").distinct())
-    first = found.unionByName(spokes.select(F.least("sig", "pivot").alias("a"), F.greatest("sig", "pivot").alias("b"))).distinct()
-    checked = _overlaps(cut(first), docs, sets, width)
+    ends = (F.least("sig", "pivot").alias("a"), F.greatest("sig", "pivot").alias("b"))
+    checked = _overlaps(cut(found.unionByName(more).unionByName(spokes.select(*ends)).distinct()), docs, sets, width)
     union = F.col("na") + F.col("nb") - F.col("shared")
-    links = checked.filter(100 * F.col("shared") >= percent * union).select("a", "b")
-
-    groups = cut(connected_components(links))
-    distance = checked.withColumn("d", 1.0 - F.col("shared") / union)
-    around = distance.select(F.col("a").alias("pivot"), F.col("b").alias("sig"), "d").unionByName(
-        distance.select(F.col("b").alias("pivot"), F.col("a").alias("sig"), "d")
-    )
-    around = spokes.join(around, ["pivot", "sig"])
-    around = around.unionByName(spokes.select("pivot").distinct().select("pivot", F.col("pivot").alias("sig"), F.lit(0.0).alias("d")))
-    around = around.join(rows.select("sig", "n"), "sig").join(groups.withColumnRenamed("node", "sig"), "sig", "left")
-    around = cut(around.select("pivot", "sig", "n", "d", F.coalesce("component", "sig").alias("component")))
+    linked = 100 * F.col("shared") >= percent * union
+    links = checked.filter(linked).select("a", "b")
+
+    groups = connected_components(links).withColumnRenamed("node", "sig")
+    distance = checked.withColumn("d", 1.0 - F.col("shared") / union).select("a", "b", "d")
+    around = spokes.select("pivot", "sig", *ends).join(distance, ["a", "b"]).select("pivot", "sig", "d")
+    hubs = spokes.select("pivot").distinct().select("pivot", F.col("pivot").alias("sig"), F.lit(0.0).alias("d"))
+    around = around.unionByName(hubs).join(rows.select("sig", "n", "hidden"), "sig").join(groups, "sig", "left")
+    around = cut(around.select("pivot", "sig", "n", "hidden", "d", F.coalesce("component", "sig").alias("component")))
     mixed = around.groupBy("pivot").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi")
     own = around.filter("sig = pivot").select("pivot", F.col("component").alias("home"))
-    open_rows = cut(around.join(mixed.select("pivot"), "pivot").join(own, "pivot"))
-    left = open_rows.filter("component <> home").select("pivot", *[F.col(c).alias(f"{c}_l") for c in ("sig", "n", "d", "component")])
+    open_rows = cut(around.join(mixed.select("pivot"), "pivot").join(own, "pivot").filter("sig <> pivot"))
+    strays = open_rows.filter("component <> home")
+    strays = strays.select("pivot", *[F.col(c).alias(f"{c}_l") for c in ("sig", "n", "hidden", "d", "component")])
     close = (F.abs(F.col("d_l") - F.col("d")) <= 1.0 - percent / 100.0 + 1e-9) & (F.col("component_l") != F.col("component"))
     close &= 100 * F.least("n_l", "n") >= percent * F.greatest("n_l", "n")
+    # Pairs that share places outside crowded columns have been compared by now; the others share crowded ones at most.
+    close &= (100 + percent) * F.least("hidden_l", "hidden") >= percent * (F.col("n_l") + F.col("n"))
     close &= (F.col("component") == F.col("home")) | (F.col("sig_l") < F.col("sig"))
-    rest = left.join(open_rows, "pivot").filter(close).filter(F.col("sig") != F.col("pivot"))
+    rest = strays.join(open_rows, "pivot").filter(close)
     rest = cut(rest.select(F.least("sig_l", "sig").alias("a"), F.greatest("sig_l", "sig").alias("b")).distinct())
-    more = _overlaps(rest, docs, sets, width)
-    more = more.filter(100 * F.col("shared") >= percent * (F.col("na") + F.col("nb") - F.col("shared")))
-    return links.unionByName(more.select("a", "b"))
+    late = _overlaps(rest, docs, sets, width)
+    return links.unionByName(late.filter(linked).select("a", "b"))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.decontaminate import contamination_report, decontaminate
 from tidemark.llm.embeddings import near_duplicates
+from tidemark.llm.html_text import extract_text
 from tidemark.llm.lm_score import score_texts
 from tidemark.llm.mixing import mix_sources
 from tidemark.llm.ngram_join import ngram_components
@@ -73,6 +74,11 @@ def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_report(scan_secrets(table(spark, sf_dir, "documents")))
 
 
+def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return extract_text(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_mixing": op1_mixing,
     "op2_lm_score": op2_lm_score,
@@ -82,6 +88,7 @@ QUERIES: dict[str, Query] = {
     "op6_embeddings": op6_embeddings,
     "op8_warc": op8_warc,
     "op9_secrets": op9_secrets,
+    "op10_html": op10_html,
 }
 
 ORACLE_SQL: dict[str, str] = {}

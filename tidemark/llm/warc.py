@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.session import cut
+from tidemark.session import cut, measured_broadcast
 
 VERSION = "WARC/1.1\r\n"
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
@@ -49,7 +49,7 @@ def plan_records(pages: DataFrame, min_payload: int = 0, *, id_col: str = "page_
     roles = roles.join(keys, ["payload_digest", "payload_bytes"]).filter("page_id <> target")
     roles = cut(roles.select("page_id", F.col("payload_digest").alias("d"), "target"))
     on = (F.col("page_id") == F.col("p")) & (F.col("payload_digest") == F.col("d"))
-    rows = rows.join(roles.withColumnRenamed("page_id", "p"), on, "left")
+    rows = rows.join(measured_broadcast(roles.withColumnRenamed("page_id", "p"), 1_000_000), on, "left")
     return rows.select(
         "page_id", "url", "payload", "payload_bytes", "payload_digest",
         F.when(F.col("target").isNotNull(), "revisit").otherwise("response").alias("record_type"),
