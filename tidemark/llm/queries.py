@@ -13,6 +13,7 @@ from tidemark.llm.html_text import extract_text
 from tidemark.llm.lm_score import score_texts
 from tidemark.llm.mixing import mix_sources
 from tidemark.llm.ngram_join import ngram_components
+from tidemark.llm.quality import fit_quality, score_quality
 from tidemark.llm.secrets import scan_secrets, secret_report
 from tidemark.llm.toxicity import fit_toxicity, fold, score_toxicity
 from tidemark.llm.warc import plan_records, read_warc, write_warc
@@ -62,6 +63,15 @@ def op6_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expected grade and tail probability of every document, learned from ratings outside fold 2 of 4."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = fit_quality(docs, labels, train=fold(F.col("doc_id"), 4) != 2)
+    return score_quality(docs, model).select(
+        "doc_id", (fold(F.col("doc_id"), 4) == 2).alias("held_out"), "expected_grade", "tail_probability"
+    )
+
+
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pages written to archives and read back."""
     path = scratch_path(spark, "warc")
@@ -86,6 +96,7 @@ QUERIES: dict[str, Query] = {
     "op4_decontamination": op4_decontamination,
     "op5_toxicity": op5_toxicity,
     "op6_embeddings": op6_embeddings,
+    "op7_quality": op7_quality,
     "op8_warc": op8_warc,
     "op9_secrets": op9_secrets,
     "op10_html": op10_html,
