@@ -85,9 +85,9 @@ def write_warc(planned: DataFrame, path: str) -> None:
 
 
 def candidates(spark: SparkSession, path: str) -> DataFrame:
-    """file, split, offset, span, successor, head, body of each piece that a version line begins.
+    """file, split, order, value, head, head_bytes, declared, value_bytes, digest of each piece between version lines.
 
-    `span` is the length of the piece with its version line; `successor` is null where there is no readable header.
+    `head` and what follows from it is null where no header can be read.
     """
     raw = spark.read.option("lineSep", VERSION).text(path)
     rows = raw.select(
@@ -100,7 +100,13 @@ def candidates(spark: SparkSession, path: str) -> DataFrame:
     rows = rows.withColumn("head_bytes", F.octet_length("head") + 2)
     declared = F.regexp_extract("head", r"(?i)(?:^|\n)Content-Length:[ \t]*([0-9]{1,18})\r\n", 1)
     rows = rows.withColumn("declared", F.when(declared != "", declared.cast("long")))
-    return rows.withColumn("value_bytes", F.octet_length("value").cast("long"))
+    rows = rows.withColumn("value_bytes", F.octet_length("value").cast("long"))
+    # The payload of a piece that holds its whole record, digested while the bytes are at hand.
+    return rows.withColumn("digest", sha1_base32(_payload(F.col("value"))))
+
+
+def _payload(value: Column) -> Column:
+    return F.substring(F.encode(value, "UTF-8"), F.col("head_bytes") + 1, F.col("declared").cast("int"))
 
 
 def _placed(rows: DataFrame) -> DataFrame:
@@ -179,14 +185,9 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
     payload. A record whose payload holds version lines is put together from its pieces. Bytes that no chain reaches,
     and everything behind a damaged header, are not records.
     """
-    pieces = _placed(candidates(spark, path))
-    slim = pieces.select(
-        "file", "split", "offset", "successor", "head", "head_bytes", "declared", "value_bytes",
-        # the payload of a piece that holds its whole record, digested while the bytes are at hand
-        sha1_base32(
-            F.substring(F.encode("value", "UTF-8"), F.col("head_bytes") + 1, F.col("declared").cast("int"))
-        ).alias("digest"),
-    )
+    # Payloads stay behind: only lengths, headers and digests are shuffled.
+    slim = _placed(candidates(spark, path).drop("value"))
+    slim = slim.select("file", "split", "offset", "successor", "head", "head_bytes", "declared", "value_bytes", "digest")
     slim = cut(slim)
     real = cut(_chains(slim))
     records = slim.join(real, ["file", "offset"])
@@ -194,13 +195,13 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
     broken = records.filter(F.col("value_bytes") < F.col("head_bytes") + F.col("declared"))
     broken = cut(broken.select("file", "offset", "successor", "head", "head_bytes", "declared"))
     if broken.limit(1).count():
+        pieces = _placed(candidates(spark, path).join(measured_broadcast(broken.select("file").distinct()), "file", "left_semi"))
         parts = pieces.select("file", F.col("offset").alias("at"), "value")
         inside = (F.col("at") >= F.col("offset")) & (F.col("at") < F.col("successor"))
         parts = parts.join(broken, "file").filter(inside)
         text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "value"))), lambda p: p["value"]), VERSION)
         joined = parts.groupBy("file", "offset", "head", "head_bytes", "declared").agg(text.alias("value"))
-        payload = F.substring(F.encode("value", "UTF-8"), F.col("head_bytes") + 1, F.col("declared").cast("int"))
-        joined = joined.withColumn("digest", sha1_base32(payload))
+        joined = joined.withColumn("digest", sha1_base32(_payload(F.col("value"))))
         whole = whole.select("head", "declared", "digest").unionByName(joined.select("head", "declared", "digest"))
 
     def field(name: str, pattern: str) -> Column:
