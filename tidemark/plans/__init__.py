@@ -1 +1,6 @@
-"""Plans of the engine."""
+"""The registered queries of the engine's own operators and their SQL twins."""
+
+from tidemark.plans import aggregates, scalars  # noqa: F401
+from tidemark.plans.registry import ORACLE_SQL, QUERIES
+
+__all__ = ["ORACLE_SQL", "QUERIES"]
