@@ -140,7 +140,7 @@ def _a19(li: DataFrame) -> DataFrame:
 
 @query(
     "A20_base_quality",
-    f"""SELECT count(*) AS items, count(DISTINCT o_custkey) AS organisations, CAST(min({_DAY}) AS DATE) AS first_day, CAST(max({_DAY}) AS DATE) AS last_day,
+    f"""SELECT count(*) AS items, count(DISTINCT o_custkey) AS organisations, CAST(min({_DAY}) AS VARCHAR) AS first_day, CAST(max({_DAY}) AS VARCHAR) AS last_day,
         round_even(100.0::DOUBLE * count(*) FILTER (o_orderstatus = 'P') / count(*), 1) AS unknown_pct FROM orders""",
     "orders",
 )
@@ -329,7 +329,7 @@ def _w04(o: DataFrame) -> DataFrame:
     "W06_drift",
     """WITH h AS (SELECT event_type, CAST(ts AS DATE) AS day, 100.0::DOUBLE * count(*) FILTER (value > 50) / count(*) AS coverage FROM events GROUP BY 1, 2),
         w AS (SELECT *, round_even(avg(coverage) OVER (PARTITION BY event_type ORDER BY day ROWS BETWEEN 5 PRECEDING AND 1 PRECEDING), 4) AS baseline FROM h)
-        SELECT event_type, day, coverage, baseline, coalesce(baseline - coverage >= 2.0, false) AS drifted FROM w""",
+        SELECT event_type, CAST(day AS VARCHAR) AS day, coverage, baseline, coalesce(baseline - coverage >= 2.0, false) AS drifted FROM w""",
     "events",
 )
 def _w06(e: DataFrame) -> DataFrame:
@@ -471,7 +471,7 @@ def _b04(e: DataFrame) -> DataFrame:
 
 @query(
     "B06_organisation_card",
-    f"""SELECT o_custkey, count(*) AS n, CAST(min({_DAY}) AS DATE) AS first_day, CAST(max({_DAY}) AS DATE) AS last_day, count(DISTINCT o_orderpriority) AS sources
+    f"""SELECT o_custkey, count(*) AS n, CAST(min({_DAY}) AS VARCHAR) AS first_day, CAST(max({_DAY}) AS VARCHAR) AS last_day, count(DISTINCT o_orderpriority) AS sources
         FROM orders GROUP BY 1""",
     "orders",
 )

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.session import table
 
@@ -18,7 +19,10 @@ def query(name: str, sql: str | None, *tables: str) -> Callable[[Callable[..., D
 
     def register(f: Callable[..., DataFrame]) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return f(*[table(spark, sf_dir, t) for t in tables])
+            df = f(*[table(spark, sf_dir, t) for t in tables])
+            # Days leave as ISO text, which compares alike in any engine.
+            days = [c for c, kind in df.dtypes if kind == "date"]
+            return df.withColumns({c: F.col(c).cast("string") for c in days}) if days else df
 
         run.__name__, run.__doc__ = name, f.__doc__
         QUERIES[name] = run

@@ -263,7 +263,7 @@ def _s23(p: DataFrame) -> DataFrame:
 
 @query(
     "C01_parse_date",
-    """SELECT o_orderkey, CAST(o_orderdate AS DATE) AS iso, CAST(o_orderdate AS DATE) AS slashed, CAST(o_orderdate AS DATE) AS named
+    """SELECT o_orderkey, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS iso, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS slashed, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS named
         FROM orders""",
     "orders",
 )
@@ -274,7 +274,7 @@ def _c01(o: DataFrame) -> DataFrame:
 
 @query(
     "C02_strict_date",
-    r"""SELECT page_id, CASE WHEN regexp_matches(d, '^\d{4}-\d{2}-\d{2}$') THEN try_cast(d AS DATE) END AS day
+    r"""SELECT page_id, CASE WHEN regexp_matches(d, '^\d{4}-\d{2}-\d{2}$') THEN CAST(try_cast(d AS DATE) AS VARCHAR) END AS day
         FROM (SELECT page_id, '2024-0' || (page_id % 10) || '-' || (20 + page_id % 15) AS d FROM pages)""",
     "pages",
 )
