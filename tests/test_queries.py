@@ -40,8 +40,9 @@ def test_query_equals_its_sql(spark, sf_dir, duck, name):
     df = QUERIES[name](spark, sf_dir)
     columns = sorted(df.columns)
     got = df.select(columns).collect()
-    assert got
-    if name in ORACLE_SQL:
+    if name not in ORACLE_SQL:
+        assert got
+    else:
         assert plain(got) == plain(duck.execute(f"SELECT {', '.join(columns)} FROM ({ORACLE_SQL[name]})").fetchall())
 
 
@@ -120,7 +121,6 @@ def test_no_chaining_over_the_gap(spark):
 
 
 def test_redirects_follow_to_the_end_and_leave_loops(spark):
-    spark.sparkContext.setCheckpointDir("/tmp/tidemark-tests")
     links = [("a", "b"), ("b", "c"), ("c", "d"), ("d", "e"), ("x", "y"), ("y", "x")]
     got = {r.id: r.target for r in D.flatten_redirects(spark.createDataFrame(links, "id string, target string"), max_rounds=6).collect()}
     assert {k: got[k] for k in "abcd"} == dict.fromkeys("abcd", "e")

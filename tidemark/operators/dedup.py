@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import any_of, searchable
+from tidemark.session import cut
 
 # Phrases that tell of another attack on the same victim, searched as they stand.
 RECURRENCE_MARKERS = (
@@ -155,7 +156,7 @@ def flatten_redirects(links: DataFrame, max_rounds: int = 40) -> DataFrame:
     for _ in range(max_rounds):
         onward = rows.select(F.col("id").alias("target"), F.col("target").alias("further"))
         stepped = rows.join(onward, "target", "left").select("id", F.coalesce("further", "target").alias("target"), F.col("further").isNotNull().alias("moved"))
-        stepped = stepped.filter("id <> target").checkpoint()
+        stepped = cut(stepped.filter("id <> target"))
         if not stepped.filter("moved").limit(1).count():
             return stepped.select("id", "target")
         rows = stepped.select("id", "target")
