@@ -29,7 +29,7 @@ from tidemark.session import cut, measured_broadcast
 #: Share of the hash range of which every place is stored.
 STORED = 0.35
 #: Entries that a task gathers before it writes them out.
-_FLUSH = 3_000_000
+_FLUSH = 1_000_000
 
 
 def _prefix(n: int, percent: int) -> int:
