@@ -108,6 +108,33 @@ def test_templates_are_found_by_host(spark):
     assert extract_text(df.limit(0)).count() == 0
 
 
+def test_copies_of_an_article_are_no_template(spark):
+    body = "<div><h2>Same head</h2><ul><li>one<li>two</ul><ol><li>three</ol><table><tr><td>four</table><section>Five words of one section</section></div>"
+    words = [f"word{k}" for k in range(200)]
+
+    def near(i):
+        return " ".join([*words[:i], f"new{i}", *words[i + 1 :]])
+
+    rows = [("copies", f"<body><nav>{i}</nav><article>{body}</article></body>") for i in range(40)]
+    rows += [("bare", f"<body><div>Menu of the site</div>{body}<p>The end</p></body>") for i in range(40)]
+    rows += [("bare", f"<body><div>Menu of the site</div><div>Other text {i}</div></body>") for i in range(40)]
+    rows += [("near", f"<body><article>{body}<p>{near(i)}</p></article></body>") for i in range(100)]
+    # A block on 5 % of a host's pages, all of other articles.
+    rows += [("hot", f"<body><article>{'<div>Ask our shop</div>' * (i < 10)}<p>Article {i}</p></article></body>") for i in range(200)]
+    df = spark.createDataFrame([(k, f"http://{h}.org/{k}", v) for k, (h, v) in enumerate(rows)], "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in extract_text(df).collect()}
+    whole = "Same head\none\ntwo\nthree\nfour\nFive words of one section"
+    for k, (h, v) in enumerate(rows):
+        if h == "copies":
+            assert got[k] == whole
+        elif h == "bare":
+            assert got[k] == (f"{whole}\nThe end" if body in v else f"Other text {k - 80}")
+        elif h == "near":
+            assert got[k] == f"{whole}\n{near(k - 120)}"
+        else:
+            assert got[k] == f"Article {k - 220}"
+
+
 def test_html_query(spark, sf_dir):
     rows = Q.op10_html(spark, sf_dir).collect()
     assert len(rows) == table(spark, sf_dir, "pages").count()

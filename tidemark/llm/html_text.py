@@ -1,9 +1,11 @@
 """Main text of HTML pages, with site templates found by counting element subtrees per host.
 
-A first pass hashes the element subtrees of each page; Spark counts them per host. A subtree that recurs on many pages of
-its host is template and is deleted. In an article, paragraphs, headings and the like are never taken for template, as
-copies of an article on the same host repeat them too. A second pass parses each page again, drops template subtrees and
-everything that by its element, role or class is no article text, and gives the blocks of what stays.
+A first pass hashes the element subtrees of each page, each with what the page's text is without it; Spark counts these
+rests per host and subtree. A subtree that recurs with several different rests stands in different articles: it is
+template and is deleted. Copies of an article give one rest and count once, however many; near copies give rests that
+share their smallest shingle. In an article, paragraphs, headings and the like are never taken for template. A second pass
+parses each page again, drops template subtrees and everything that by its element, role or class is no article text, and
+gives the blocks of what stays.
 """
 
 from __future__ import annotations
@@ -11,6 +13,8 @@ from __future__ import annotations
 import hashlib
 import html
 import re
+import zlib
+from bisect import bisect_right
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
@@ -147,15 +151,77 @@ def _is_noise(e: Element, inside: bool) -> bool:
     return not inside and (e.tag == "header" or bool(words & PAGE_HEAD))
 
 
-def _subtrees(e: Element, inside: bool, out: set[int]) -> None:
-    for c in e.children:
-        if isinstance(c, Element):
+def _rests(root: Element) -> list[tuple[int, int, int, int]]:
+    """kind, subtree, rest, sketch of a page: what its article text is without each subtree that may be template.
+
+    kind 0 is the page as a whole, 1 a PROSE element outside an article, 2 any other element. `rest` adds up hashes of the
+    blocks that are left, `sketch` is the smallest hash of their five-word shingles. Noise is left out, as in `_kept`.
+    """
+    blocks: list[tuple[int, str]] = []
+    spans: dict[int, list[tuple[int, int]]] = {}
+    kinds: dict[int, int] = {}
+    open_text: list[str] = []
+
+    def end(part: int) -> None:
+        text = " ".join("".join(open_text).split())
+        open_text.clear()
+        if text:
+            blocks.append((part, text))
+
+    def walk(e: Element, inside: bool, part: int) -> None:
+        for c in e.children:
+            if isinstance(c, str):
+                open_text.append(c)
+                continue
             within = inside or _is_main(c)
-            if c.tag not in INLINE and c.tag not in ("html", "body", "article", "main") and c.children:
-                if not (within and c.tag in PROSE):
-                    out.add(c.digest())
-            if c.tag != "head":
-                _subtrees(c, within, out)
+            if _is_noise(c, inside):
+                continue
+            role = c.attrs.get("role")
+            of = 2 if "article" in (c.tag, role) else max(part, 1) if "main" in (c.tag, role) else part
+            if c.tag == "br":
+                open_text.append(" ")
+            elif c.tag in INLINE:
+                walk(c, within, of)
+            else:
+                end(part)
+                first = len(blocks)
+                walk(c, within, of)
+                end(of)
+                prose = c.tag in PROSE
+                if c.children and not _is_main(c) and c.tag not in ("html", "body") and not (within and prose):
+                    subtree = c.digest()
+                    spans.setdefault(subtree, []).append((first, len(blocks)))
+                    kinds[subtree] = 1 if prose else 2
+
+    walk(root, False, 0)
+    end(0)
+    # The text is that of the articles, else of the main part, else all.
+    part = max((k for k, _ in blocks), default=0)
+    hashes, sketches = [0], []
+    for k, (of, text) in enumerate(blocks):
+        digest = 0
+        if of == part:
+            digest = int.from_bytes(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big")
+            words = text.encode("utf-8", "surrogatepass").split()
+            sketches.append((min(zlib.crc32(b" ".join(words[i : i + 5])) for i in range(max(1, len(words) - 4))), k))
+        hashes.append(hashes[-1] + digest)
+    sketches.sort()
+
+    def signed(x: int) -> int:
+        return (x + 2**63) % 2**64 - 2**63
+
+    out = [(0, 0, signed(hashes[-1]), sketches[0][0] if sketches else -1)]
+    for subtree, found in spans.items():
+        starts = [i for i, _ in found]
+
+        def outside(k: int) -> bool:
+            at = bisect_right(starts, k) - 1
+            return at < 0 or found[at][1] <= k
+
+        rest = hashes[-1] - sum(hashes[j] - hashes[i] for i, j in found)
+        sketch = next((x for x, k in sketches if outside(k)), -1)
+        out.append((kinds[subtree], subtree, signed(rest), sketch))
+    return out
 
 
 def _kept(e: Element, template: frozenset[int], inside: bool = False) -> Element:
@@ -232,28 +298,40 @@ def host_of(url: Column) -> Column:
     return F.when(host != "", host)
 
 
-def site_templates(pages: DataFrame, min_pages: int = 4, min_share: float = 0.2) -> DataFrame:
-    """host, template array<long>: subtrees on at least `min_pages` pages and `min_share` of the pages of a host.
+def site_templates(pages: DataFrame, min_pages: int = 4, min_share: float = 0.2, min_apart: float = 0.1) -> DataFrame:
+    """host, template array<long>: subtrees that stand in at least `min_pages` different articles of a host.
+
+    Articles differ if what their pages hold besides the subtree has another smallest shingle, so that copies and near
+    copies count once; among very many near copies a few have another, so a subtree of whose different rests less than
+    `min_apart` have one of their own is not template. Headings, cells, paragraphs and the like outside an article must
+    stand in `min_share` of the host's articles besides, as different articles repeat short ones.
 
     `pages` has host and html. Pages without a host have no templates.
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kind = pa.list_(pa.struct([("kind", pa.int32()), ("subtree", pa.int64()), ("rest", pa.int64()), ("sketch", pa.int64())]))
         for batch in batches:
             out = []
             for page in batch.column("html").to_pylist():
-                found: set[int] = set()
-                _subtrees(parse(page), False, found)
-                out.append(sorted(found))
-            yield pa.RecordBatch.from_arrays([batch.column("host"), pa.array(out, pa.list_(pa.int64()))], ["host", "subtrees"])
+                out.append([dict(zip(("kind", "subtree", "rest", "sketch"), x, strict=True)) for x in _rests(parse(page))])
+            yield pa.RecordBatch.from_arrays([batch.column("host"), pa.array(out, kind)], ["host", "found"])
 
     rows = pages.select("host", "html").filter(F.col("host").isNotNull() & F.col("html").isNotNull())
     hosts = rows.groupBy("host").agg(F.count(F.lit(1)).alias("pages")).filter(F.col("pages") >= min_pages)
     hosts = measured_broadcast(cut(hosts))
     rows = rows.join(hosts.select("host"), "host", "left_semi")
-    subtrees = rows.mapInArrow(run, "host string, subtrees array<bigint>").select("host", F.explode("subtrees").alias("subtree"))
-    counts = subtrees.groupBy("host", "subtree").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_pages)
-    often = counts.join(hosts, "host").filter(F.col("n") >= min_share * F.col("pages"))
+    kind = "array<struct<kind:int,subtree:bigint,rest:bigint,sketch:bigint>>"
+    found = rows.mapInArrow(run, f"host string, found {kind}").select("host", F.inline("found"))
+    # One row per rest, then per sketch, then per subtree: no group holds all pages of a hot host.
+    by = ["host", "kind", "subtree"]
+    rests = found.groupBy(*by, "rest", "sketch").agg(F.lit(1).alias("one"))
+    articles = rests.groupBy(*by, "sketch").agg(F.count(F.lit(1)).alias("versions"))
+    counts = articles.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.sum("versions").alias("versions"))
+    counts = cut(counts.filter(F.col("n") >= min_pages))
+    total = measured_broadcast(cut(counts.filter("kind = 0").select("host", F.col("n").alias("articles"))))
+    often = counts.filter((F.col("kind") > 0) & (F.col("n") >= min_apart * F.col("versions"))).join(total, "host", "left")
+    often = often.filter((F.col("kind") == 2) | (F.col("n") >= min_share * F.coalesce("articles", F.lit(0))))
     return often.groupBy("host").agg(F.collect_set("subtree").alias("template"))
 
 
