@@ -120,6 +120,47 @@ def test_no_chaining_over_the_gap(spark):
     assert {r.id: r.component for r in D.components(rows).collect()} == {"i0": "i0", "i1": "i0", "i2": "i2", "i3": "i3", "i4": "i4"}
 
 
+def test_one_item_id_merges_over_any_gap(spark):
+    days = ["2026-01-01", "2026-03-01", "", ""]
+    df = spark.createDataFrame([(d, f"i{k}", "n1" if d else "") for k, d in enumerate(days)], "published string, id string, native string")
+    rows = D.observations(df, key=F.lit("k"), **{c: F.col(c) for c in ("id", "published", "native")})
+    assert {r.id: r.component for r in D.components(rows).collect()} == {"i0": "i0", "i1": "i0", "i2": "i2", "i3": "i3"}
+
+
+def test_a_large_key_is_not_gathered(spark):
+    day = F.date_add(F.lit("2026-01-01").cast("date"), F.floor(F.col("n") / 500).cast("int")).cast("string")
+    source, url = F.when(F.col("n") % 3 == 0, "b").otherwise("a"), F.concat(F.lit("u"), "n")
+    df = spark.range(60000).select(F.format_string("i%06d", "id").alias("id"), F.col("id").alias("n"))
+    rows = D.observations(df, key=F.lit("k"), id=F.col("id"), source=source, published=day, url=url)
+    out = D.components(rows)
+    assert "collect_list" not in out._jdf.queryExecution().toString()
+    got = {r.id: r.component for r in out.collect()}
+    # One row a day and source decides for its like; they stand as the large key does.
+    few = rows.groupBy("key", "source", "best", "published", "event", "native", "threat", "recurs").agg(F.min_by("id", "url").alias("id"), F.min("url").alias("url"))
+    few = [r.asDict() | {"day": dt.date.fromisoformat(r.best)} for r in few.collect()]
+    wanted = clusters(few, D.MergeRules())
+    by = {(x["source"], x["best"]): wanted[x["id"]] for x in few}
+    assert got == {r.id: by[r.source, r.best] for r in rows.select("id", "source", "best").collect()}
+
+
+def test_plain_decisions_equal_the_columns(spark):
+    rng = random.Random(7)
+    rules = D.MergeRules(url_sources=("b",), claim_source="a", report_source="c")
+    made = []
+    for k in range(3000):
+        for side in "ab":
+            day = (dt.date(2026, 1, 1) + dt.timedelta(rng.randrange(20))).isoformat() if rng.random() < 0.9 else ""
+            made.append((k, side, rng.choice("abc"), rng.choice(["", "", "n1", "n2"]), day if rng.random() < 0.4 else "", day, rng.choice(["", "u1"]), rng.choice(["Ransomware", "x"]), rng.random() < 0.1))
+    df = spark.createDataFrame(made, "k int, id string, source string, native string, event string, published string, url string, threat string, recurs boolean")
+    fields = {c: F.col(c) for c in df.columns if c != "k"}
+    rows = D.observations(df.withColumn("id", F.concat_ws("-", "k", "id")), key=F.lit("k"), **fields).withColumn("k", F.substring_index("id", "-", 1))
+    whole = F.struct(*[c for c in rows.columns if c not in ("k", "id")])
+    pairs = rows.groupBy("k").agg(F.min_by(whole, "id").alias("a"), F.max_by(whole, "id").alias("b"))
+    for r in pairs.select("a", "b", D.decide(F.col("a"), F.col("b"), rules).alias("d")).collect():
+        a, b = (D.Member(x.source, x.native, x.event, x.url, x.day and x.day.toordinal(), x.threat == rules.claimed, x.recurs) for x in (r.a, r.b))
+        assert D.decided(a, b, rules) == tuple(r.d)
+
+
 def test_redirects_follow_to_the_end_and_leave_loops(spark):
     links = [("a", "b"), ("b", "c"), ("c", "d"), ("d", "e"), ("x", "y"), ("y", "x")]
     got = {r.id: r.target for r in D.flatten_redirects(spark.createDataFrame(links, "id string, target string"), max_rounds=6).collect()}

@@ -2,19 +2,24 @@
 
 Components are no transitive closure. Within a key, observations are read by day; one joins the open component if it
 merges with its first member (the anchor) or corroborates a member of another source within a day, unless any member
-forbids it; else it opens a new component. A fold over the sorted stretch does this in the JVM. Nothing merges over more
-than `gap_days`, so keys are first cut into stretches without such a gap.
+forbids it; else it opens a new component. Rows are dealt by ranges of that order, so a large key is spread over tasks,
+and neighbours that decide alike become one run. Only the runs of a key meet in one task, which folds them in Arrow batches
+as they come and holds no more than the open component, one entry for all members that decide alike.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
+from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import any_of, searchable
-from tidemark.session import cut
+from tidemark.session import cut, measured_broadcast
 
 # Phrases that tell of another attack on the same victim, searched as they stand.
 RECURRENCE_MARKERS = (
@@ -89,37 +94,125 @@ def decide(a: Column, b: Column, rules: MergeRules) -> Column:
     return out.otherwise(told("KEEP_SEPARATE", "TIME_GAP"))
 
 
+class Member(NamedTuple):
+    """What a decision within a key looks at; `day` counts days, `claimed` tells that the threat is the claimed one."""
+
+    source: str
+    native: str
+    event: str
+    url: str
+    day: int | None
+    claimed: bool
+    recurs: bool
+
+
+def decided(a: Member, b: Member, rules: MergeRules) -> tuple[str, str]:
+    """`decide` of two observations of one key, as plain values; an alias is not told from a name."""
+    same_source = a.source == b.source
+    if same_source and a.native and b.native:
+        return ("MERGE", "SOURCE_ITEM_ID") if a.native == b.native else ("KEEP_SEPARATE", "CONFLICTING_SOURCE_ITEM_ID")
+    lag = None if a.day is None or b.day is None else b.day - a.day
+    if lag and (b if lag > 0 else a).recurs:
+        return "KEEP_SEPARATE", "RECURRENCE_MARKER"
+    if a.event and b.event and a.event != b.event:
+        return "KEEP_SEPARATE", "CONFLICTING_EVENT_DATE"
+    if lag is None:
+        return "NO_DECISION", "NO_DECISION"
+    if a.event and b.event and not same_source:
+        return "MERGE", "EVENT_DATE"
+    if abs(lag) <= rules.near_days:
+        return "MERGE", "CANONICAL_NAME"
+    if rules.claim_source and rules.report_source and a.claimed and b.claimed:
+        forth, back = (a.source, b.source) == (rules.claim_source, rules.report_source), (b.source, a.source) == (rules.claim_source, rules.report_source)
+        if (forth and lag == rules.report_days) or (back and not forth and -lag == rules.report_days):
+            return "MERGE", "CLAIM_REPORTED"
+    if same_source and a.source in rules.url_sources and a.url and a.url == b.url and abs(lag) <= rules.gap_days:
+        return "MERGE", "UNIQUE_URL"
+    return "KEEP_SEPARATE", "TIME_GAP"
+
+
+class _Open:
+    """The open component of a key: its anchor, and its members once each."""
+
+    def __init__(self, x: Member, id_: str) -> None:
+        self.anchor, self.id, self.first = x, id_, x.day
+        self.members = {x._replace(url=""): None}
+
+    def takes(self, x: Member, rules: MergeRules) -> bool:
+        # Urls count between rows of one source alone, and corroboration asks for two: of members they mean nothing.
+        made = [(m, *decided(m, x, rules)) for m in self.members]
+        if any(reason in VETOES for *_, reason in made):
+            return False
+        if decided(self.anchor, x, rules)[0] == "MERGE":
+            return True
+        if x.day is None or self.first is None or x.day - self.first > rules.gap_days:
+            return False
+        return any(m.source != x.source and m.day is not None and abs(x.day - m.day) <= 1 and action == "MERGE" for m, action, _ in made)
+
+    def add(self, x: Member) -> None:
+        self.members[x._replace(url="")] = None
+        if x.day is not None:
+            self.first = x.day if self.first is None else min(self.first, x.day)
+
+
+Batches = Iterable[pa.RecordBatch]
+
+
+def _members(batch: pa.RecordBatch) -> Iterator[Member]:
+    return map(Member._make, zip(*(batch.column(f).to_pylist() for f in Member._fields), strict=True))
+
+
+def _runs(url_sources: tuple[str, ...]) -> Callable[[Batches], Iterator[pa.RecordBatch]]:
+    """Numbers the runs of neighbours that decide alike; `opens` marks the first row of each."""
+
+    def run(batches: Batches) -> Iterator[pa.RecordBatch]:
+        last, number = None, TaskContext.get().partitionId() << 40
+        for batch in batches:
+            runs, opens = [], []
+            for key, x in zip(batch.column("key").to_pylist(), _members(batch), strict=True):
+                now = key, x if x.source in url_sources else x._replace(url="")
+                opens.append(now != last)
+                number += now != last
+                runs.append(number)
+                last = now
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(runs, pa.int64()), pa.array(opens, pa.bool_())], [*batch.schema.names, "run", "opens"]
+            )
+
+    return run
+
+
+def _fold(rules: MergeRules) -> Callable[[Batches], Iterator[pa.RecordBatch]]:
+    def run(batches: Batches) -> Iterator[pa.RecordBatch]:
+        at, held = None, None
+        for batch in batches:
+            out = []
+            for key, id_, x in zip(batch.column("key").to_pylist(), batch.column("id").to_pylist(), _members(batch), strict=True):
+                if held is not None and key == at and held.takes(x, rules):
+                    held.add(x)
+                else:
+                    at, held = key, _Open(x, id_)
+                out.append(held.id)
+            yield pa.RecordBatch.from_arrays([batch.column("run"), pa.array(out, pa.string())], ["run", "component"])
+
+    return run
+
+
 def components(rows: DataFrame, rules: MergeRules = MergeRules()) -> DataFrame:
     """D-02: id, key, component (the id of its anchor) of `observations`; rows without a key are left out."""
-    rows = rows.filter(F.col("key") != "")
-    along = Window.partitionBy("key").orderBy("best", "source", "url", "id")
-    gap = F.coalesce(F.datediff("day", F.lag("day").over(along)) > rules.gap_days, F.lag("day").over(along).isNull())
-    rows = rows.withColumn("stretch", F.sum(F.when(gap, 1).otherwise(0)).over(along))
-    order = ["best", "source", "url", "id"]
-    item = F.struct(*order, *[c for c in rows.columns if c not in (*order, "stretch")])
-    stretches = rows.groupBy("key", "stretch").agg(F.array_sort(F.collect_list(item)).alias("items"))
-    kind = dict(stretches.dtypes)["items"]
-    start = F.struct(F.array().cast(kind).alias("open"), F.array().cast("array<struct<id:string,component:string>>").alias("out"))
-
-    def joins(open_: Column, x: Column) -> Column:
-        anchor = F.get(open_, 0)
-        veto = F.exists(open_, lambda m: decide(m, x, rules)["reason"].isin(*VETOES))
-        days = F.transform(open_, lambda m: m["day"])
-        close = F.exists(
-            open_,
-            lambda m: (m["source"] != x["source"]) & (F.abs(F.datediff(x["day"], m["day"])) <= 1) & (decide(m, x, rules)["action"] == "MERGE"),
-        )
-        extends = close & (F.datediff(x["day"], F.array_min(days)) <= rules.gap_days)
-        return ~veto & ((decide(anchor, x, rules)["action"] == "MERGE") | F.coalesce(extends, F.lit(False)))
-
-    def step(acc: Column, x: Column) -> Column:
-        joined = F.coalesce((F.size(acc["open"]) > 0) & joins(acc["open"], x), F.lit(False))
-        grown = F.when(joined, F.concat(acc["open"], F.array(x))).otherwise(F.array(x))
-        named = F.struct(x["id"].alias("id"), F.when(joined, F.get(acc["open"], 0)["id"]).otherwise(x["id"]).alias("component"))
-        return F.struct(grown.alias("open"), F.concat(acc["out"], F.array(named)).alias("out"))
-
-    folded = stretches.select("key", F.explode(F.aggregate("items", start, step, lambda acc: acc["out"])).alias("r"))
-    return folded.select("r.id", "key", "r.component")
+    order = ["key", "best", "source", "url", "id"]
+    rows = rows.filter(F.col("key") != "").select(
+        *order, "native", "event", F.unix_date("day").alias("day"), (F.col("threat") == rules.claimed).alias("claimed"), "recurs"
+    )
+    dealt = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    kind = ", ".join(f"{c} {t}" for c, t in rows.dtypes)
+    marked = cut(dealt.mapInArrow(_runs(rules.url_sources), f"{kind}, run bigint, opens boolean"))
+    first = marked.filter("opens").drop("opens").repartition("key").sortWithinPartitions(*order)
+    folded = cut(first.mapInArrow(_fold(rules), "run bigint, component string"))
+    # Rows with neither a day nor an item id merge with nothing, not even with their like.
+    alone = F.col("day").isNull() & (F.col("native") == "")
+    named = marked.join(measured_broadcast(folded), "run")
+    return named.select("id", "key", F.when(alone, F.col("id")).otherwise(F.col("component")).alias("component"))
 
 
 def incidents(members: DataFrame) -> DataFrame:
