@@ -161,6 +161,17 @@ def test_plain_decisions_equal_the_columns(spark):
         assert D.decided(a, b, rules) == tuple(r.d)
 
 
+def test_every_recurrence_marker_is_found(spark, tmp_path):
+    texts = [*(f"Vu : {m.upper()} !" for m in D.RECURRENCE_MARKERS), "une attaque", "", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    df.write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r.again for r in QUERIES["F12_recurrence_markers"](spark, str(tmp_path)).collect()}
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    assert got == dict(con.execute(ORACLE_SQL["F12_recurrence_markers"]).fetchall())
+    assert [got[k] for k in range(len(texts))] == [True] * len(D.RECURRENCE_MARKERS) + [False] * 3
+
+
 def test_redirects_follow_to_the_end_and_leave_loops(spark):
     links = [("a", "b"), ("b", "c"), ("c", "d"), ("d", "e"), ("x", "y"), ("y", "x")]
     got = {r.id: r.target for r in D.flatten_redirects(spark.createDataFrame(links, "id string, target string"), max_rounds=6).collect()}

@@ -241,3 +241,9 @@ def _d09(e: DataFrame) -> DataFrame:
 def _f12(d: DataFrame) -> DataFrame:
     blob = searchable(F.col("text"))
     return d.select("doc_id", (F.contains(blob, F.lit("de nouveau")) | F.contains(blob, F.lit("new attack"))).alias("again"))
+
+
+@query("F12_recurrence_markers", f"SELECT doc_id, {' OR '.join(f"contains(s, '{m}')" for m in D.RECURRENCE_MARKERS)} AS again FROM (SELECT doc_id, {_SEARCHABLE} AS s FROM documents)", "documents")
+def _f12_markers(d: DataFrame) -> DataFrame:
+    """All markers; F12_recurrence asks for two of them."""
+    return d.select("doc_id", D.recurs(F.col("text")).alias("again"))
