@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.functions import text as X
+from tidemark.operators import aggregate as A
 from tidemark.operators import dedup as D
 from tidemark.plans import ORACLE_SQL, QUERIES
 from tidemark.session import TABLES
@@ -172,6 +173,19 @@ def test_every_recurrence_marker_is_found(spark, tmp_path):
     assert [got[k] for k in range(len(texts))] == [True] * len(D.RECURRENCE_MARKERS) + [False] * 3
 
 
+@pytest.mark.parametrize("name", ["T15_public_link", "O07_queue_order"])
+def test_no_group_or_task_holds_all(spark, sf_dir, name):
+    plan = QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert "collect_list" not in plan and "SinglePartition" not in plan
+
+
+def test_numbers_run_over_ranges(spark):
+    df = spark.range(5000).select("id", (F.col("id") * 7919 % 13).alias("n"))
+    got = {r.id: r.at for r in A.numbered(df, [F.desc("n"), F.col("id")], "at").collect()}
+    assert got == {k: i + 1 for i, k in enumerate(sorted(range(5000), key=lambda k: (-(k * 7919 % 13), k)))}
+    assert A.numbered(df.limit(0), [F.col("id")], "at").count() == 0
+
+
 def test_redirects_follow_to_the_end_and_leave_loops(spark):
     links = [("a", "b"), ("b", "c"), ("c", "d"), ("d", "e"), ("x", "y"), ("y", "x")]
     got = {r.id: r.target for r in D.flatten_redirects(spark.createDataFrame(links, "id string, target string"), max_rounds=6).collect()}

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.values import known
+from tidemark.session import cut
 
 UNKNOWN = "Unknown"
 
@@ -127,3 +128,13 @@ def round_robin(df: DataFrame, stratum: str, key: str, n: int) -> DataFrame:
 def page(df: DataFrame, order: list[Column], number: int, size: int) -> DataFrame:
     """O-09: rows of a page, the first being 1."""
     return df.orderBy(*order).offset((max(1, number) - 1) * size).limit(size)
+
+
+def numbered(df: DataFrame, order: list[Column], name: str) -> DataFrame:
+    """O-07: numbers all rows along `order` from 1, as `name`: within ranges of it, each after the rows of the ranges before."""
+    placed = cut(df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()))
+    sizes = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    earlier = sizes.select(F.col("_part").alias("_p"), F.col("_n").alias("_m"))
+    before = sizes.join(F.broadcast(earlier), F.col("_p") < F.col("_part"), "left").groupBy("_part").agg(F.coalesce(F.sum("_m"), F.lit(0)).alias("_before"))
+    place = F.row_number().over(Window.partitionBy("_part").orderBy(*order))
+    return placed.join(F.broadcast(before), "_part").withColumn(name, (place + F.col("_before")).cast("long")).drop("_part", "_before")

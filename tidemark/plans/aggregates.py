@@ -397,7 +397,7 @@ def _o05(e: DataFrame) -> DataFrame:
 )
 def _o07(e: DataFrame) -> DataFrame:
     q = e.groupBy("user_id").agg(F.count_if(F.col("event_type") == "error").alias("unknown"))
-    return q.withColumn("priority", F.row_number().over(Window.orderBy(F.desc("unknown"), "user_id")).cast("long"))
+    return A.numbered(q, [F.desc("unknown"), F.col("user_id")], "priority")
 
 
 @query("O08_O09_page", "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 25 OFFSET 50", "orders")

@@ -137,8 +137,7 @@ def _t14(p: DataFrame) -> DataFrame:
     "pages",
 )
 def _t15(p: DataFrame) -> DataFrame:
-    links = p.groupBy(T.url_host(F.col("url")).alias("host")).agg(F.array_sort(F.collect_list("url")).alias("urls"))
-    return links.select("host", T.public_link(F.col("urls")).alias("link"))
+    return p.groupBy(T.url_host(F.col("url")).alias("host")).agg(F.min(T.public_link(F.array("url"))).alias("link"))
 
 
 @query(
