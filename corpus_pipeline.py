@@ -27,29 +27,41 @@ from tidemark.session import cut, measured_broadcast, scratch_path, table
 MARK = "[SECRET]"
 
 
-def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """Rows of `docs` whose doc_id is not among `ids`; rows without an id stay."""
-    return docs.join(measured_broadcast(cut(ids.select("doc_id").distinct()), 1_000_000), "doc_id", "left_anti").select(docs.columns)
+def _keyed(docs: DataFrame) -> DataFrame:
+    """`docs` with a row key: rows without an id are told apart, and so are rows of one id with other texts."""
+    return docs.withColumn("_row", F.xxhash64("doc_id", "text"))
+
+
+def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """Rows of `docs` whose key is not among the doc_id of `gone`, which an operator gave for `_keyed` rows."""
+    gone = cut(gone.select(F.col("doc_id").alias("_row")).distinct())
+    return _keyed(docs).join(measured_broadcast(gone, 1_000_000), "_row", "left_anti").select(docs.columns)
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects what the compression-distance classifier scores 0.3 or more."""
     model = fit_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
-    return _without(docs, score_toxicity(docs, model).filter("score >= 0.3"))
+    return _without(docs, score_toxicity(_keyed(docs), model, id_col="_row").filter("score >= 0.3"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest id of each group; of repeated rows of that id, one."""
-    groups = ngram_components(docs)
-    gone = groups.filter("doc_id <> component_id")
-    again = groups.filter("n_shingles > 0").groupBy("doc_id").count().filter("count > 1").limit(1).count()
+    """Keeps the document with the smallest id of each group, one without an id where no other is; of repeated rows, one."""
+    groups = cut(ngram_components(_keyed(docs), id_col="_row").filter("n_shingles > 0"))
+    several = cut(groups.filter("doc_id <> component_id").select("component_id").distinct())
+    members = groups.join(measured_broadcast(several, 1_000_000), "component_id", "left_semi").distinct()
+    ids = _keyed(docs).select("_row", F.col("doc_id").alias("_id"))
+    named = members.join(ids, F.col("doc_id") == F.col("_row")).drop("_row")
+    first = F.min(F.struct(F.col("_id").isNull().alias("none"), "_id", "doc_id"))["doc_id"]
+    keepers = named.groupBy("component_id").agg(first.alias("keeper"))
+    gone = members.join(keepers, "component_id").filter("doc_id <> keeper")
+    again = groups.groupBy("doc_id").count().filter("count > 1").limit(1).count()
     kept = _without(docs, gone)
     return kept.dropDuplicates(["doc_id", "text"]) if again else kept
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects documents that the benchmark contaminates."""
-    report = contamination_report(decontaminate(docs, table(spark, sf_dir, "benchmark")))
+    report = contamination_report(decontaminate(_keyed(docs), table(spark, sf_dir, "benchmark"), id_col="_row"))
     return _without(docs, report.filter("contaminated"))
 
 

@@ -216,6 +216,29 @@ def test_pipeline_stages(spark, sf_dir):
     assert last.count() == kept.count()
 
 
+def test_stages_tell_rows_without_or_with_repeated_ids_apart(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+
+    def kept(stage, rows):
+        df = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], docs.schema)
+        return sorted(((r.doc_id, r.text) for r in stage(spark, df, sf_dir).collect()), key=str)
+
+    clean = "nothing of note stands here"
+    labelled = docs.join(table(spark, sf_dir, "labels").filter("toxic = 1"), "doc_id").select("doc_id")
+    after = corpus_pipeline.toxicity(spark, docs, sf_dir).select("doc_id")
+    toxic = docs.join(labelled, "doc_id").join(after, "doc_id", "left_anti").orderBy("doc_id").first().text
+    assert kept(corpus_pipeline.toxicity, [(None, toxic), (None, clean), (7, toxic), (7, clean)]) == [(7, clean), (None, clean)]
+
+    item = max((r.text for r in table(spark, sf_dir, "benchmark").collect() if r.text), key=len)
+    assert kept(corpus_pipeline.decontamination, [(None, item), (None, clean), (7, item), (7, clean)]) == [(7, clean), (None, clean)]
+
+    words = [f"word{k}" for k in range(80)]
+    one, near = " ".join(words), " ".join([*words, "more"])
+    two, close = " ".join(reversed(words)), " ".join(["more", *reversed(words)])
+    got = kept(corpus_pipeline.near_duplicates, [(None, one), (None, near), (3, two), (None, close), (5, two), (3, clean)])
+    assert got == sorted([next(x for x in got if x[1] in (one, near)), (3, two), (3, clean)], key=str) and len(got) == 3
+
+
 def test_masking(spark):
     found = "array<struct<s:bigint,e:bigint>>"
     rows = [("ab12cd34ef", [(2, 4), (3, 5), (6, 8)]), ("all", [(0, 3)]), ("none", []), (None, [])]
