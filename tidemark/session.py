@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 TABLES = (
@@ -54,9 +54,24 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def measured_broadcast(small: DataFrame, max_rows: int = 200_000) -> DataFrame:
-    """`small` with a broadcast hint if counting finds at most `max_rows` rows, else as it is.
+def _width(df: DataFrame) -> Column:
+    """About how many bytes a row of `df` takes: 16 a column, and what strings, binaries and nested values hold."""
+    total = F.lit(16 * len(df.columns)).cast("long")
+    for name, kind in df.dtypes:
+        column = F.col(f"`{name}`")
+        if kind in ("string", "binary"):
+            total = total + F.coalesce(F.octet_length(column), F.lit(0))
+        elif kind.startswith("array") and "<" not in kind[6:]:
+            total = total + F.greatest(F.size(column), F.lit(0)) * 16
+        elif "<" in kind:
+            total = total + F.coalesce(F.octet_length(F.to_json(F.struct(column))), F.lit(0)) * 2
+    return total
 
-    Give it a checkpointed frame: the count is an action.
+
+def measured_broadcast(small: DataFrame, max_rows: int = 1_000_000, max_bytes: int = 64 << 20) -> DataFrame:
+    """`small` with a broadcast hint if it has at most `max_rows` rows and about `max_bytes` bytes, else as it is.
+
+    Give it a checkpointed frame: measuring is an action.
     """
-    return F.broadcast(small) if small.limit(max_rows + 1).count() <= max_rows else small
+    n, size = small.limit(max_rows + 1).agg(F.count(F.lit(1)), F.coalesce(F.sum(_width(small)), F.lit(0))).first()
+    return F.broadcast(small) if n <= max_rows and size <= max_bytes else small
