@@ -8,17 +8,17 @@ from pyspark.sql import functions as F
 from tidemark.session import cut
 
 
-def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
+def connected_components(edges: DataFrame) -> DataFrame:
     """node, component (the smallest node reachable) of every node of `edges` (a, b long); isolated nodes have no edges.
 
     Alternates two contractions until nothing changes. The large-star step hangs a node's larger neighbours on its
     smallest neighbour; the small-star step does that to the smaller ones. Both only group by node and keep minima, and
-    the rounds grow with the logarithm of the longest chain. Loops and repeated edges are harmless.
+    the rounds grow with the logarithm of the longest chain; they end at the fixed point, without a limit. Loops and repeated edges are harmless.
     """
     rows = edges.select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo")).filter("hi <> lo").distinct()
     rows = cut(rows)
     before = None
-    for _ in range(max_rounds):
+    while True:
         rows = cut(_small_star(_large_star(rows)))
         now = rows.agg(
             F.count(F.lit(1)), F.coalesce(F.sum(F.xxhash64("hi", "lo").cast("decimal(38,0)")), F.lit(0))

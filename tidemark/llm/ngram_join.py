@@ -28,8 +28,11 @@ from tidemark.session import cut, measured_broadcast
 
 #: Share of the hash range of which every place is stored.
 STORED = 0.35
-#: Entries that a task gathers before it writes them out.
-_FLUSH = 1_000_000
+#: Entries that a task gathers before it writes them out, entries that a block is to hold, and signatures that a task
+#: remembers so as to leave out copies. Copies it forgets are left out by their block.
+_FLUSH = 300_000
+_BLOCK_ENTRIES = 500_000
+_SEEN = 100_000
 
 
 def _prefix(n: int, percent: int) -> int:
@@ -118,6 +121,8 @@ def _incidence(docs: DataFrame, width: int, percent: int, blocks: int, dense: in
                 sig = set_signature(h)
                 if sig in seen:
                     continue
+                if len(seen) >= _SEEN:
+                    seen.clear()
                 seen.add(sig)
                 places = h[: max(int(np.searchsorted(h, limit, side="right")), _prefix(len(h), percent))]
                 keys.append(keys_of(places))
@@ -143,27 +148,14 @@ def _block_products(incidence: DataFrame, blocks: int, dense: int) -> DataFrame:
     def low(keys: np.ndarray) -> np.ndarray:
         return ((keys >> np.uint64(32)) < np.uint64(blocks)).astype(np.int64)
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        all_keys, all_sigs = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
-        for batch in batches:
-            for r in batch.to_pylist():
-                sigs = np.frombuffer(r["sigs"], np.int64)[np.frombuffer(r["owner"], np.uint32)]
-                if r["passed"]:
-                    keys = np.frombuffer(r["places"], np.uint64)
-                    yield rows(1, sigs, keys.view(np.int64), low(keys))
-                    continue
-                keys = np.frombuffer(r["places"], np.uint32).astype(np.uint64)
-                all_keys.append(keys | (np.uint64(r["block"]) << np.uint64(32)))
-                all_sigs.append(sigs)
-        keys, sigs = np.concatenate(all_keys), np.concatenate(all_sigs)
+    def product(keys: np.ndarray, sigs: np.ndarray) -> Iterator[pa.RecordBatch]:
         order = np.lexsort((sigs, keys))
         keys, sigs = keys[order], sigs[order]
-        if not len(keys):
-            return
         fresh = np.r_[True, (keys[1:] != keys[:-1]) | (sigs[1:] != sigs[:-1])]
         keys, sigs = keys[fresh], sigs[fresh]
         first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
-        size = np.repeat(np.diff(np.r_[first, len(keys)]), np.diff(np.r_[first, len(keys)]))
+        size = np.diff(np.r_[first, len(keys)])
+        size = np.repeat(size, size)
         full = size >= dense
         if full.any():
             yield rows(1, sigs[full], keys[full].view(np.int64), low(keys[full]))
@@ -184,6 +176,28 @@ def _block_products(incidence: DataFrame, blocks: int, dense: int) -> DataFrame:
             first = np.flatnonzero(np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])])
             yield rows(0, a[first], b[first], np.add.reduceat(c, first))
 
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """One block at a time: rows come sorted by block."""
+        now, keys, sigs = -1, [], []
+        for batch in batches:
+            columns = [batch.column(c) for c in ("block", "passed", "places", "owner", "sigs")]
+            for block, passed, places, owner, signed in zip(*columns, strict=True):
+                number = block.as_py()
+                if number != now and keys:
+                    yield from product(np.concatenate(keys), np.concatenate(sigs))
+                    keys, sigs = [], []
+                now = number
+                owners = np.frombuffer(signed.as_buffer(), np.int64)[np.frombuffer(owner.as_buffer(), np.uint32)]
+                if passed.as_py():
+                    far = np.frombuffer(places.as_buffer(), np.uint64)
+                    yield rows(1, owners, far.view(np.int64), low(far))
+                else:
+                    near = np.frombuffer(places.as_buffer(), np.uint32).astype(np.uint64)
+                    keys.append(near | (np.uint64(number) << np.uint64(32)))
+                    sigs.append(owners)
+        if keys:
+            yield from product(np.concatenate(keys), np.concatenate(sigs))
+
     return incidence.mapInArrow(run, "kind int, a bigint, b bigint, c bigint")
 
 
@@ -238,15 +252,14 @@ def ngram_components(
     width: int = 5,
     percent: int = 75,
     dense: int = 16,
-    blocks: int | None = None,
+    block_entries: int = _BLOCK_ENTRIES,
 ) -> DataFrame:
     """One row per row of `docs`: doc_id, n_shingles, component_id (the smallest doc_id reachable, itself included).
 
     Two rows link when 100 * intersection >= percent * union of their shingle sets. Rows of equal sets link; empty ones
     (null, blank) link with nothing. Null ids take part and name no component, unless nothing else is in it. An empty
-    table gives an empty result.
+    table gives an empty result. The entries stored decide the number of blocks, so a task's memory stays the same.
     """
-    spark = docs.sparkSession
     docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     profile = cut(profile_sets(docs, width))
     sets = cut(
@@ -255,7 +268,7 @@ def ngram_components(
             F.first("n").alias("n"), F.first("n_low").alias("n_low"), F.count(F.lit(1)).alias("copies"),
         )
     )
-    links = _links(docs, sets, width, percent, dense, blocks or int(spark.conf.get("spark.sql.shuffle.partitions")))
+    links = _links(docs, sets, width, percent, dense, block_entries)
     groups = cut(connected_components(links))
     labelled = sets.join(groups.withColumnRenamed("node", "sig"), "sig", "left").select(
         "sig", "first_id", F.coalesce("component", "sig").alias("component")
@@ -268,14 +281,18 @@ def ngram_components(
 
 
 def _products(
-    docs: DataFrame, sets: DataFrame, width: int, percent: int, dense: int, blocks: int, stored: float
+    docs: DataFrame, sets: DataFrame, width: int, percent: int, dense: int, stored: float, block_entries: int
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(pairs, rows, crowded) of one round of column products over `docs`; `sets` has sig, n and n_low of its sets.
 
     pairs: a, b that may still reach the threshold. rows: sig, n and whether it is starved, that is, has fewer places in
     multiplied columns than a link must show. crowded: sig, column of the places in dense columns.
     """
-    incidence = _incidence(docs, width, percent, blocks, dense, stored).repartition(blocks, "block")
+    stored_places = F.greatest("n_low", F.col("n") - F.ceil(F.col("n") * percent / 100.0) + 1)
+    entries = sets.agg(F.coalesce(F.sum(stored_places), F.lit(0))).first()[0]
+    blocks = max(1, -(-entries // block_entries))
+    incidence = _incidence(docs, width, percent, blocks, dense, stored)
+    incidence = incidence.repartition(blocks, "block").sortWithinPartitions("block")
     products = cut(_block_products(incidence, blocks, dense))
     # Tasks pass on what they find dense, so a row can come twice.
     crowded = products.filter("kind = 1").select(F.col("a").alias("sig"), F.col("b").alias("column"), "c").distinct()
@@ -300,15 +317,15 @@ def _products(
     return cut(pairs), rows, crowded
 
 
-def _links(docs: DataFrame, sets: DataFrame, width: int, percent: int, dense: int, blocks: int) -> DataFrame:
+def _links(docs: DataFrame, sets: DataFrame, width: int, percent: int, dense: int, block_entries: int) -> DataFrame:
     """a, b: signatures of linked sets; enough of them to connect all that exact links connect."""
-    found, rows, crowded = _products(docs, sets.select("sig", "n", "n_low"), width, percent, dense, blocks, STORED)
+    found, rows, crowded = _products(docs, sets.select("sig", "n", "n_low"), width, percent, dense, STORED, block_entries)
     # A place of a starved row counts only in a column that is crowded.
     hungry = rows.filter("starved").join(crowded.select("sig").distinct(), "sig", "left_semi").select("sig", "n")
     hungry = cut(hungry)
     texts = _texts_of(docs, sets, hungry)
     again = hungry.withColumn("n_low", F.col("n"))
-    more, rows, crowded = _products(texts, again, width, percent, dense, blocks, 1.0)
+    more, rows, crowded = _products(texts, again, width, percent, dense, 1.0, block_entries)
 
     # A pivot should stand in the middle of its group: an original has hardly a place that its near copies lack.
     alone = (1.0 - F.col("hidden") / F.col("n")).alias("alone")
@@ -333,14 +350,21 @@ def _links(docs: DataFrame, sets: DataFrame, width: int, percent: int, dense: in
     mixed = around.groupBy("pivot").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi")
     own = around.filter("sig = pivot").select("pivot", F.col("component").alias("home"))
     open_rows = cut(around.join(mixed.select("pivot"), "pivot").join(own, "pivot").filter("sig <> pivot"))
+    # Only neighbouring cells of distance to the pivot and of size can hold rows close enough.
+    step, ratio = 1.0 - percent / 100.0 + 1e-9, 100.0 / percent * (1.0 + 1e-9)
+    open_rows = open_rows.withColumns(
+        {"ring": F.floor(F.col("d") / step), "class": F.floor(F.log("n") / float(np.log(ratio)))}
+    )
     strays = open_rows.filter("component <> home")
-    strays = strays.select("pivot", *[F.col(c).alias(f"{c}_l") for c in ("sig", "n", "hidden", "d", "component")])
+    for cell in ("ring", "class"):
+        strays = strays.withColumn(cell, F.explode(F.array(*[F.col(cell) + k for k in (-1, 0, 1)])))
+    strays = strays.select("pivot", "ring", "class", *[F.col(c).alias(f"{c}_l") for c in ("sig", "n", "hidden", "d", "component")])
     close = (F.abs(F.col("d_l") - F.col("d")) <= 1.0 - percent / 100.0 + 1e-9) & (F.col("component_l") != F.col("component"))
     close &= 100 * F.least("n_l", "n") >= percent * F.greatest("n_l", "n")
     # Pairs that share places outside crowded columns have been compared by now; the others share crowded ones at most.
     close &= (100 + percent) * F.least("hidden_l", "hidden") >= percent * (F.col("n_l") + F.col("n"))
     close &= (F.col("component") == F.col("home")) | (F.col("sig_l") < F.col("sig"))
-    rest = strays.join(open_rows, "pivot").filter(close)
+    rest = measured_broadcast(cut(strays)).join(open_rows, ["pivot", "ring", "class"]).filter(close)
     rest = cut(rest.select(F.least("sig_l", "sig").alias("a"), F.greatest("sig_l", "sig").alias("b")).distinct())
     late = _overlaps(rest, docs, sets, width)
     return links.unionByName(late.filter(linked).select("a", "b"))

@@ -6,13 +6,14 @@ prefix sums over the batch; a shingle's mixes the hashes of its words. All arith
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
 
 _U = np.uint64
-#: Texts are hashed together up to this many bytes; a longer text is hashed alone.
-CHUNK = 1 << 21
+#: Texts are hashed together up to this many bytes; a longer text is hashed alone, in pieces of about this size.
+CHUNK = 1 << 18
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -25,6 +26,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _BYTE = mix(np.arange(1, 257, dtype=_U) * _U(0xD1342543DE82EF95))
+_GAP = re.compile(rb"[\x20\x09-\x0D]")
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 
@@ -59,36 +61,66 @@ def _word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def shingle_sets(texts: list[str | None], width: int = 5) -> Iterator[tuple[int, np.ndarray]]:
     """(position, sorted distinct hashes) of each text's shingles; a shorter text is one shingle, an empty one none."""
-    i = 0
-    while i < len(texts):
-        part, size = [], 0
-        while i + len(part) < len(texts) and (not part or size < CHUNK):
-            raw = (texts[i + len(part)] or "").encode().lower()
+    part: list[bytes] = []
+    size = first = 0
+    for i, text in enumerate(texts):
+        raw = (text or "").encode().lower()
+        if part and size + len(raw) > CHUNK:
+            yield from ((first + k, h) for k, h in enumerate(_chunk_sets(part, width)))
+            part, size, first = [], 0, i
+        if len(raw) > CHUNK:
+            yield i, _set_of(_long_words(raw), width)
+            first = i + 1
+        else:
             part.append(raw)
             size += len(raw) + 1
-        yield from ((i + k, h) for k, h in enumerate(_chunk_sets(part, width)))
-        i += len(part)
+    yield from ((first + k, h) for k, h in enumerate(_chunk_sets(part, width)))
+
+
+def _long_words(raw: bytes) -> np.ndarray:
+    """Word hashes of a long text, made in pieces that end with a word; only a longer word makes a longer piece."""
+    out, at = [], 0
+    while at < len(raw):
+        gap = _GAP.search(raw, at + CHUNK)
+        end = gap.start() if gap else len(raw)
+        out.append(_word_hashes(np.frombuffer(b" " + raw[at:end] + b" ", dtype=np.uint8))[1])
+        at = end
+    return np.concatenate(out)
+
+
+def _factors(width: int) -> np.ndarray:
+    return mix(np.arange(1, width + 1, dtype=_U)) | _U(1)
+
+
+def _rolled(words: np.ndarray, width: int) -> np.ndarray:
+    factors = _factors(width)
+    rolled = np.zeros(max(0, len(words) - width + 1), dtype=_U)
+    for j in range(width):
+        rolled += words[j : len(rolled) + j] * factors[j]
+    return mix(rolled)
+
+
+def _short(words: np.ndarray, width: int) -> np.ndarray:
+    """The one shingle of a text of fewer words, none without words."""
+    n = len(words)
+    return mix(np.array([np.sum(words * _factors(width)[:n], dtype=_U) + _U(n)], dtype=_U)) if n else np.zeros(0, dtype=_U)
+
+
+def _set_of(words: np.ndarray, width: int) -> np.ndarray:
+    return np.unique(_rolled(words, width)) if len(words) >= width else _short(words, width)
 
 
 def _chunk_sets(part: list[bytes], width: int) -> Iterator[np.ndarray]:
     data = np.frombuffer(b" " + b" ".join(part) + b" ", dtype=np.uint8)
     starts, words = _word_hashes(data)
     limits = np.cumsum([len(p) + 1 for p in part]) + 1
-    last = np.searchsorted(starts, limits)
-    factors = mix(np.arange(1, width + 1, dtype=_U)) | _U(1)
-    rolled = np.zeros(max(0, len(words) - width + 1), dtype=_U)
-    for j in range(width):
-        rolled += words[j : len(rolled) + j] * factors[j]
-    rolled = mix(rolled)
+    rolled = _rolled(words, width)
     begin = 0
-    for end in last:
-        n = end - begin
-        if n >= width:
+    for end in np.searchsorted(starts, limits):
+        if end - begin >= width:
             yield np.unique(rolled[begin : end - width + 1])
-        elif n:
-            yield mix(np.array([np.sum(words[begin:end] * factors[:n], dtype=_U) + _U(n)], dtype=_U))
         else:
-            yield np.zeros(0, dtype=_U)
+            yield _short(words[begin:end], width)
         begin = end
 
 
