@@ -82,6 +82,21 @@ def base_secrets(text: str | None) -> list[tuple[int, int, str, int]]:
     return sorted(found)
 
 
+def all_secrets(text: str | None, rules, allow, candidate: str) -> list[tuple[int, int, str, int]]:
+    """(start, rank, kind, end) of base and entropy spans."""
+    base = base_secrets(text)
+    out = list(base)
+    for m in re.finditer(candidate, text or ""):
+        if any(a < m.end() and m.start() < e for a, _, _, e in base) or any(re.search(p, m[0]) for p in allow):
+            continue
+        for i, rule in enumerate(rules):
+            if re.search(rule.shape, m[0]):
+                if window_entropy(m[0], rule.window) >= rule.threshold:
+                    out.append((m.start(), 3 + i, rule.kind, m.end()))
+                break
+    return sorted(out)
+
+
 def window_entropy(text: str, window: int) -> float:
     best = 0.0
     for i in range(len(text) - window + 1):

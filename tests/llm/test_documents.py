@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import itertools
 import random
+import string
+import time
 import zlib
 
 import numpy as np
@@ -28,7 +30,7 @@ from tidemark.llm.lm_score import score_texts
 from tidemark.llm.mixing import mix_sources, source_targets
 from tidemark.llm.ngram_join import ngram_components
 from tidemark.llm.quality import fit_quality, score_quality
-from tidemark.llm.secrets import scan_secrets, secret_report, window_entropy
+from tidemark.llm.secrets import ALLOW, CANDIDATE, RULES, scan_secrets, secret_report, window_entropy
 from tidemark.llm.toxicity import fit_toxicity, score_toxicity
 from tidemark.session import table
 
@@ -272,6 +274,30 @@ def test_secret_cases(spark, odd, none):
     assert scan_secrets(none).count() == 0
 
 
+def test_all_spans_equal_plain_ones(spark, sf_dir, texts):
+    got = rows_by_id(Q.op9_secrets(spark, sf_dir), "spans")
+    for i, text in texts.items():
+        assert got[i][0] == ",".join(f"{k}:{s}:{e}" for s, _, k, e in brute.all_secrets(text, RULES, ALLOW, CANDIDATE)), i
+
+
+def test_long_runs_and_many_matches_end(spark):
+    rng = random.Random(5)
+    run = "".join(rng.choice(string.ascii_letters + string.digits) for _ in range(1_000_000))
+    many = "token=abcdef1 " * 100_000
+    began = time.perf_counter()
+    got = rows_by_id(secret_report(scan_secrets(spark.createDataFrame([(1, run), (2, many), (3, "z" * 1_000_000)], "doc_id long, text string"))), "n_assign", "spans")
+    assert got[1] == (0, "entropy_alnum:0:1000000")
+    assert got[2][0] == 100_000 and got[2][1].startswith("assign:0:13,assign:14:27,")
+    assert got[3][1] == ""
+    assert time.perf_counter() - began < 60
+
+
+def test_repeated_rows_keep_their_spans(spark):
+    rows = [(1, "token=abcdef1"), (1, "token=abcdef1"), (None, "token=abcdef1"), (1, "x")]
+    got = sorted(r.spans for r in secret_report(scan_secrets(spark.createDataFrame(rows, "doc_id long, text string"))).collect())
+    assert got == ["", "assign:0:13", "assign:0:13", "assign:0:13"]
+
+
 # classifiers
 
 
