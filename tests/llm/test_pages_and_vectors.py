@@ -14,7 +14,7 @@ import corpus_pipeline
 from tests.llm import brute
 from tidemark.llm import queries as Q
 from tidemark.llm.embeddings import near_duplicates
-from tidemark.llm.html_text import extract_text, main_text
+from tidemark.llm.html_text import _rests, extract_text, main_text, parse
 from tidemark.llm.warc import plan_records, read_warc, write_warc
 from tidemark.session import TABLES, scratch_path, table
 
@@ -97,6 +97,21 @@ def test_main_text_drops_what_is_no_article():
     assert main_text("<p>open <i>and never closed") == "open and never closed"
 
 
+@pytest.mark.parametrize("tag", ["div", "span", "b", "ul><li", "table><tr><td"])
+def test_deep_markup_ends(tag):
+    opened = f"<{tag}>" * 100_000
+    assert main_text(opened + "x") == "x"
+    assert main_text("<article>" + opened + "x</b>" * 50_000, frozenset([1])).startswith("x")
+    assert _rests(parse("<article>" + opened + "x"))[0][0] == 0
+
+
+def test_repeated_pages_are_no_template(spark):
+    page = "<html><body><article><div><h1>A</h1><ul><li>one</li><li>two</li></ul></div></article></body></html>"
+    rows = [(i, "http://s.example/a", page) for i in range(8)]
+    got = extract_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert {r.text for r in got} == {"A\none\ntwo"}
+
+
 def test_templates_are_found_by_host(spark):
     rows = [(i, f"http://www.a.org/{i}", f"<body><div><span>Same words all over</span></div><div>Own words {i}</div></body>") for i in range(8)]
     rows += [(9, "http://b.org/1", "<body><div><span>Same words all over</span></div></body>"), (10, None, "<p>no host"), (11, "x", None), (None, None, None)]

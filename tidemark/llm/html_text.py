@@ -15,6 +15,7 @@ import html
 import re
 import zlib
 from bisect import bisect_right
+from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
@@ -75,15 +76,23 @@ class Element:
     attrs: dict[str, str]
     children: list = field(default_factory=list)
 
-    def digest(self) -> int:
-        """Signed 64-bit hash of the subtree: names, and text with its white space collapsed."""
-        h = hashlib.blake2b(self.tag.encode(), digest_size=8)
-        for c in self.children:
+    #: Signed 64-bit hash of the subtree, once `_hash_subtrees` has run.
+    hash: int = 0
+
+
+def _hash_subtrees(root: Element) -> None:
+    """Hashes of all subtrees, each from those of its children: names, and text with its white space collapsed."""
+    order = [root]
+    for e in order:
+        order += [c for c in e.children if isinstance(c, Element)]
+    for e in reversed(order):
+        h = hashlib.blake2b(e.tag.encode(), digest_size=8)
+        for c in e.children:
             if isinstance(c, str):
                 h.update(b"\0" + " ".join(c.split()).encode("utf-8", "surrogatepass"))
             else:
-                h.update(b"\1" + c.digest().to_bytes(8, "big", signed=True))
-        return int.from_bytes(h.digest(), "big", signed=True)
+                h.update(b"\1" + c.hash.to_bytes(8, "big", signed=True))
+        e.hash = int.from_bytes(h.digest(), "big", signed=True)
 
 
 def _attributes(text: str) -> dict[str, str]:
@@ -94,10 +103,14 @@ def parse(page: str) -> Element:
     """The element tree of a page; anything malformed is read on as browsers would, at least roughly."""
     root = Element("#page", {})
     stack = [root]
+    opened: Counter[str] = Counter()
 
     def close(tag: str, within: tuple[str, ...] = ()) -> None:
+        if not opened[tag]:
+            return
         for k in range(len(stack) - 1, 0, -1):
             if stack[k].tag == tag:
+                opened.subtract(e.tag for e in stack[k:])
                 del stack[k:]
                 return
             if stack[k].tag in within:
@@ -124,6 +137,7 @@ def parse(page: str) -> Element:
         stack[-1].children.append(element)
         if tag not in VOID and not attrs.endswith("/"):
             stack.append(element)
+            opened[tag] += 1
     if at < len(page):
         stack[-1].children.append(html.unescape(page[at:]))
     return root
@@ -168,32 +182,35 @@ def _rests(root: Element) -> list[tuple[int, int, int, int]]:
         if text:
             blocks.append((part, text))
 
-    def walk(e: Element, inside: bool, part: int) -> None:
-        for c in e.children:
+    _hash_subtrees(root)
+    # Open elements, each with its children to come, whether it is in an article, its part and the blocks before it.
+    frames: list[tuple] = [(iter(root.children), root, False, 0, 0)]
+    while frames:
+        children, e, inside, part, first = frames[-1]
+        for c in children:
             if isinstance(c, str):
                 open_text.append(c)
                 continue
-            within = inside or _is_main(c)
             if _is_noise(c, inside):
                 continue
-            role = c.attrs.get("role")
-            of = 2 if "article" in (c.tag, role) else max(part, 1) if "main" in (c.tag, role) else part
             if c.tag == "br":
                 open_text.append(" ")
-            elif c.tag in INLINE:
-                walk(c, within, of)
-            else:
+                continue
+            role = c.attrs.get("role")
+            of = 2 if "article" in (c.tag, role) else max(part, 1) if "main" in (c.tag, role) else part
+            if c.tag not in INLINE:
                 end(part)
-                first = len(blocks)
-                walk(c, within, of)
-                end(of)
-                prose = c.tag in PROSE
-                if c.children and not _is_main(c) and c.tag not in ("html", "body") and not (within and prose):
-                    subtree = c.digest()
-                    spans.setdefault(subtree, []).append((first, len(blocks)))
-                    kinds[subtree] = 1 if prose else 2
-
-    walk(root, False, 0)
+            frames.append((iter(c.children), c, inside or _is_main(c), of, len(blocks)))
+            break
+        else:
+            frames.pop()
+            if e is root or e.tag in INLINE:
+                continue
+            end(part)
+            prose = e.tag in PROSE
+            if e.children and not _is_main(e) and e.tag not in ("html", "body") and not (inside and prose):
+                spans.setdefault(e.hash, []).append((first, len(blocks)))
+                kinds[e.hash] = 1 if prose else 2
     end(0)
     # The text is that of the articles, else of the main part, else all.
     part = max((k for k, _ in blocks), default=0)
@@ -224,35 +241,46 @@ def _rests(root: Element) -> list[tuple[int, int, int, int]]:
     return out
 
 
-def _kept(e: Element, template: frozenset[int], inside: bool = False) -> Element:
+def _kept(root: Element, template: frozenset[int]) -> Element:
     """The tree without noise and template subtrees."""
-    out = Element(e.tag, e.attrs)
-    for c in e.children:
-        if isinstance(c, str):
-            out.children.append(c)
-            continue
-        within = inside or _is_main(c)
-        if _is_noise(c, inside):
-            continue
-        known = template and c.tag not in INLINE and not _is_main(c) and c.tag not in ("html", "body")
-        if known and not (within and c.tag in PROSE) and c.children and c.digest() in template:
-            continue
-        out.children.append(_kept(c, template, within))
-    return out
-
-
-def _mains(e: Element, tags: tuple[str, ...]) -> list[Element]:
-    found = []
-    for c in e.children:
-        if isinstance(c, Element):
-            if c.tag in tags or c.attrs.get("role") in tags:
-                found.append(c)
-            else:
-                found += _mains(c, tags)
+    if template:
+        _hash_subtrees(root)
+    top = Element(root.tag, root.attrs)
+    frames = [(iter(root.children), top, False)]
+    while frames:
+        children, out, inside = frames[-1]
+        for c in children:
+            if isinstance(c, str):
+                out.children.append(c)
+                continue
+            if _is_noise(c, inside):
+                continue
+            within = inside or _is_main(c)
+            known = c.children and c.hash in template and c.tag not in INLINE and not _is_main(c) and c.tag not in ("html", "body")
+            if known and not (within and c.tag in PROSE):
+                continue
+            copy = Element(c.tag, c.attrs)
+            out.children.append(copy)
+            frames.append((iter(c.children), copy, within))
+            break
+        else:
+            frames.pop()
+    return top
+
+
+def _mains(root: Element, tags: tuple[str, ...]) -> list[Element]:
+    """The outermost elements of these names or roles, in page order."""
+    found, ahead = [], [root]
+    while ahead:
+        e = ahead.pop()
+        if e is not root and (e.tag in tags or e.attrs.get("role") in tags):
+            found.append(e)
+        else:
+            ahead += [c for c in reversed(e.children) if isinstance(c, Element)]
     return found
 
 
-def _blocks(e: Element) -> list[str]:
+def _blocks(root: Element) -> list[str]:
     """Texts of the blocks below an element, in page order."""
     out, open_text = [], []
 
@@ -262,21 +290,23 @@ def _blocks(e: Element) -> list[str]:
         if text:
             out.append(text)
 
-    def walk(node: Element) -> None:
-        for c in node.children:
+    frames = [(iter(root.children), True)]
+    while frames:
+        children, block = frames[-1]
+        for c in children:
             if isinstance(c, str):
                 open_text.append(c)
             elif c.tag == "br":
                 open_text.append(" ")
-            elif c.tag in INLINE:
-                walk(c)
             else:
+                if c.tag not in INLINE:
+                    end()
+                frames.append((iter(c.children), c.tag not in INLINE))
+                break
+        else:
+            frames.pop()
+            if block:
                 end()
-                walk(c)
-                end()
-
-    walk(e)
-    end()
     return out
 
 
@@ -347,7 +377,8 @@ def extract_text(
     """One row per row of `pages`: page_id, url, text, n_chars.
 
     Blocks are trimmed, joined by a line feed, and white space within them is one space. Null and empty pages have no
-    text. Repeated rows count as pages of their own. An empty table gives an empty result.
+    text. Repeated rows repeat and, like copies of an article, count once among a host's articles. Elements can be nested
+    to any depth. An empty table gives an empty result.
     """
     pages = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
     pages = pages.withColumn("host", host_of(F.col("url")))
