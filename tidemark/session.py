@@ -32,15 +32,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or a local one where that is unset (tests)."""
-    configured = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    """The folder all executors share: spark.checkpoint.dir. Only a local session may do without and gets one of its own."""
+    configured = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured
-    current = spark.sparkContext.getCheckpointDir()
-    if current is None:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tidemark-"))
-        current = spark.sparkContext.getCheckpointDir()
-    return current
+    if not spark.sparkContext.master.startswith("local["):
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tidemark-"))
+    return spark.sparkContext.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
