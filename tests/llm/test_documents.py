@@ -96,6 +96,13 @@ def test_mix_meets_targets(spark, sf_dir):
         assert all(r.taken in (r.epochs * r["size"], (r.epochs + 1) * r["size"]) for r in v)
 
 
+def test_ranges_do_not_change_the_mix(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    tiny = F.when(F.col("_text").contains("the"), 1e-6).otherwise(1e-3)
+    by = [sorted((str(r.doc_id), r.taken) for r in mix_sources(docs, quality=tiny, range_rows=n).collect()) for n in (100_000, 2)]
+    assert by[0] == by[1]
+
+
 def test_targets_reshare_the_excess(spark):
     totals = spark.createDataFrame([("a", 1, 10), ("b", 1, 100), ("c", 1, 890), (None, 1, 200)], "source string, n long, source_size long")
     got = {r.source: r.target for r in source_targets(totals).collect()}

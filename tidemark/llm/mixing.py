@@ -4,9 +4,9 @@ Every document gets an exponential key with its quality as the rate, so ascendin
 order without replacement. A source that is to give more than it holds gives complete epochs first; only the rest is
 selected, as the head of that order whose prefix sum of sizes reaches the budget.
 
-Prefix sums are made in two levels. Documents fall into key ranges of about `range_rows` documents, the sums of the
-ranges are added up per source, and only the one range in which a source's budget ends is ordered. No task ever holds
-a whole source.
+Prefix sums are made in two levels. Quantiles of a source's keys bound its ranges, of about `range_rows` documents in
+the largest source (more where `max_ranges` of them do not suffice); the sums of the ranges are added up per source, and
+only the one range in which a source's budget ends is ordered, with spilling. No task ever holds a whole source.
 """
 
 from __future__ import annotations
@@ -71,7 +71,8 @@ def mix_sources(
     quality: Column | None = None,
     max_epochs: int = 3,
     seed: str = "mix",
-    range_rows: int = 5000,
+    range_rows: int = 50_000,
+    max_ranges: int = 1000,
 ) -> DataFrame:
     """One row per row of `docs`: doc_id, source, size, source_size, target, key, epochs, taken.
 
@@ -93,12 +94,26 @@ def mix_sources(
         F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size") + 1e-9)).otherwise(0).cast("long"),
     ).withColumn("_rest", F.greatest(F.lit(0.0), F.col("target") - F.col("epochs") * F.col("source_size")))
     targets = cut(targets.withColumnRenamed("source", "_source"))
+    largest = targets.agg(F.coalesce(F.max("_n"), F.lit(0))).first()[0]
+    steps = max(1, min(max_ranges, -(-largest // range_rows)))
     keyed = keyed.join(
         measured_broadcast(targets), F.col("source").eqNullSafe(F.col("_source")), "inner"
     ).drop("_source")
 
-    ranges = F.greatest(F.lit(1), F.ceil(F.col("_n") / range_rows))
-    ranged = keyed.withColumn("_range", F.floor(ranges * (1.0 - F.exp(-F.col("key") * 0.8))).cast("long"))
+    # Range bounds are quantiles of a source's keys, so ranges are even whatever the qualities are.
+    if steps == 1:
+        ranged = keyed.withColumn("_range", F.lit(0).cast("long"))
+    else:
+        shares = [i / steps for i in range(1, steps)]
+        bounds = keyed.groupBy("source").agg(F.percentile_approx("key", shares, 10 * steps).alias("_bounds"))
+        # In groups of 32, so that a key is compared with the last bound of each group, then with the bounds of one.
+        starts = F.array(*[F.lit(i) for i in range(1, steps, 32)])
+        groups = F.transform(starts, lambda i: F.slice("_bounds", i, F.lit(32)))
+        bounds = cut(bounds.select(F.col("source").alias("_source"), groups.alias("_bounds")))
+        ranged = keyed.join(measured_broadcast(bounds), F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
+        ranged = ranged.withColumn("_group", F.size(F.filter("_bounds", lambda g: F.element_at(g, -1) < F.col("key"))))
+        inside = F.size(F.filter(F.coalesce(F.get("_bounds", F.col("_group")), F.array()), lambda q: q < F.col("key")))
+        ranged = ranged.withColumn("_range", (F.col("_group") * 32 + inside).cast("long")).drop("_bounds", "_group")
     sums = ranged.groupBy("source", "_range").agg(F.sum("size").alias("_sum"), F.first("_rest").alias("_rest"))
     along = Window.partitionBy("source").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.withColumn("_before", F.coalesce(F.sum("_sum").over(along), F.lit(0)))
