@@ -4,10 +4,12 @@ Fitting. In labelled training rows every word is counted by its distinct left ne
 (copies of a text add no neighbours). Words far more often in toxic text, by likelihood ratio, are the samples of the
 toxic dictionary; the commonest words of ordinary text, to the same number of bytes, are those of the ordinary one.
 
-Scoring. A text is cut into windows of one word. A window, repeated a few times so that entropy headers weigh little, is
+Scoring. A text is cut into windows of one word; a word of three bytes or less shares a window with the word after it, so
+that no part of a text is left out. A window, repeated a few times so that entropy headers weigh little, is
 compressed with either dictionary. It is a hit if the toxic dictionary brings it down to at most `most` bytes and to at
-least `gain` bytes less than the ordinary one. Both thresholds are calibrated on the labelled rows, as is the probability
-for each number of hits. Equal windows of a batch are compressed once.
+least `gain` bytes less than the ordinary one. Both thresholds are calibrated on labelled rows, as is the probability
+for each number of hits, with dictionaries that those rows had no part in: either half of the labelled rows is scored with
+dictionaries of the other half. Equal windows of a task are compressed once.
 """
 
 from __future__ import annotations
@@ -49,7 +51,7 @@ class ToxicityModel:
 class WindowLengths:
     """Compressed lengths of a word's window under both dictionaries; made once per task."""
 
-    def __init__(self, toxic: bytes, ordinary: bytes, limit: int = 500_000) -> None:
+    def __init__(self, toxic: bytes, ordinary: bytes, limit: int = 200_000) -> None:
         import zstandard as zstd
 
         settings = zstd.ZstdCompressionParameters(
@@ -75,6 +77,20 @@ class WindowLengths:
         return found
 
 
+def windows_of(text: str | None) -> list[bytes]:
+    """The windows of a text in order: words, short ones together with the word that follows."""
+    out: list[bytes] = []
+    held = b""
+    for word in _WORD.findall(text.encode().lower()) if text else ():
+        held = held + b" " + word if held else word
+        if len(word) > 3:
+            out.append(held)
+            held = b""
+    if held:
+        out.append(held)
+    return out
+
+
 def _training_labels(labels: DataFrame, id_col: str, label_col: str, max_labelled: int) -> DataFrame:
     """doc_id, y of at most `max_labelled` labelled documents, chosen by hash; a document's largest label counts."""
     rows = labels.select(F.col(id_col).alias("doc_id"), F.col(label_col).cast("int").alias("y"))
@@ -90,12 +106,12 @@ def _g2(c: Column, o: Column, all_c: Column, all_o: Column) -> Column:
 
 
 def word_support(texts: DataFrame) -> DataFrame:
-    """word, toxic, ordinary: distinct left neighbours of each word in texts (`text`, `y`) of either label."""
+    """word, half, toxic, ordinary: distinct left neighbours of each word in texts (`text`, `y`, `half`) of either label."""
     pieces = F.filter(F.split(F.lower("text"), BREAK, -1), lambda w: w != "")
-    words = texts.select("y", pieces.alias("w"))
+    words = texts.select("y", "half", pieces.alias("w"))
     pairs = F.transform("w", lambda w, i: F.struct(w.alias("word"), F.when(i > 0, F.get("w", i - 1)).alias("left")))
-    rows = words.select("y", F.explode(pairs).alias("p")).select("y", "p.word", "p.left").distinct()
-    return rows.groupBy("word").agg(
+    rows = words.select("y", "half", F.explode(pairs).alias("p")).select("y", "half", "p.word", "p.left").distinct()
+    return rows.groupBy("word", "half").agg(
         F.sum("y").alias("toxic"), F.sum(1 - F.col("y")).alias("ordinary")
     )
 
@@ -121,27 +137,41 @@ def fit_toxicity(
     chosen = _training_labels(labels.filter(train) if train is not None else labels, id_col, label_col, max_labelled)
     chosen = cut(chosen)
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).filter(F.col("text").isNotNull())
+    texts = texts.withColumn("half", F.crc32(F.concat(F.lit("half:"), F.col("doc_id").cast("string"))) % 2)
     texts = cut(texts.join(measured_broadcast(chosen, max_labelled), "doc_id"))
-    support = cut(word_support(texts).filter(F.length("word") > 3))
+    support = cut(word_support(texts))
+    n, positive = texts.agg(F.count(F.lit(1)), F.coalesce(F.sum("y"), F.lit(0))).first()
+    whole = support.groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary"))
+    model = _dictionaries(whole, max_words, min_g2, min_ratio)
+    if model is None or positive in (0, n):
+        base = positive / n if n else 0.0
+        return ToxicityModel(b" ", b" ", most=0, chance=(base,) * (LEVELS + 1))
+    seen: list[tuple[int, list[int]]] = []
+    for half in (0, 1):
+        other = _dictionaries(support.filter(F.col("half") == 1 - half), max_words, min_g2, min_ratio)
+        mine = texts.filter(F.col("half") == half)
+        seen += [(r.y, r.hits) for r in _hits_by_threshold(mine, other or model).collect()]
+    return _calibrated(model, seen)
+
+
+def _dictionaries(support: DataFrame, max_words: int, min_g2: float, min_ratio: float) -> ToxicityModel | None:
+    """Both dictionaries from the words of one part of the labelled rows; none if either would be empty."""
+    longer = F.octet_length("word") > 3
     sums = support.agg(F.sum("toxic").alias("all_c"), F.sum("ordinary").alias("all_o"))
-    rated = support.join(F.broadcast(sums)).withColumn(
+    rated = support.filter(longer).join(F.broadcast(sums)).withColumn(
         "g2", _g2(F.col("toxic"), F.col("ordinary"), F.col("all_c"), F.col("all_o"))
     )
     ratio = F.col("toxic") * F.col("all_o") >= min_ratio * F.col("ordinary") * F.col("all_c")
     good = rated.filter((F.col("toxic") >= 3) & ratio & (F.col("g2") >= min_g2))
     good_words = [r.word for r in good.orderBy(F.desc("g2"), "word").limit(max_words).collect()]
-    common = support.filter(F.col("ordinary") > 0).orderBy(F.desc("ordinary"), "word")
+    common = support.filter(longer & (F.col("ordinary") > 0)).orderBy(F.desc("ordinary"), "word")
     common_words = [r.word for r in common.limit(4 * max_words).collect()]
-    n, positive = texts.agg(F.count(F.lit(1)), F.coalesce(F.sum("y"), F.lit(0))).first()
-    base = positive / n if n else 0.0
+    if not good_words or not common_words:
+        return None
     # The last bytes of a dictionary are the cheapest to reach, so the strongest words come last.
     toxic = b" " + b" ".join(w.encode() for w in reversed(good_words)) + b" "
     ordinary = b" " + b" ".join(w.encode() for w in reversed(common_words)) + b" "
-    if not good_words or not common_words or positive in (0, n):
-        return ToxicityModel(toxic, ordinary, most=0, chance=(base,) * (LEVELS + 1))
-    model = ToxicityModel(toxic, ordinary[-len(toxic):])
-    seen = [(r.y, r.hits) for r in _hits_by_threshold(texts, model).collect()]
-    return _calibrated(model, seen)
+    return ToxicityModel(toxic, ordinary[-len(toxic):])
 
 
 def _calibrated(model: ToxicityModel, seen: list[tuple[int, list[int]]]) -> ToxicityModel:
@@ -173,12 +203,11 @@ def _hits_by_threshold(texts: DataFrame, model: ToxicityModel) -> DataFrame:
             out = []
             for text in batch.column("text").to_pylist():
                 counts = [0] * len(GRID)
-                for word, n in Counter(_WORD.findall(text.encode().lower())).items():
-                    if len(word) > 3:
-                        toxic, ordinary = lengths(word)
-                        if toxic <= GRID[-1][0] and ordinary - toxic >= GRID[0][1]:
-                            for k, (most, gain) in enumerate(GRID):
-                                counts[k] += n * (toxic <= most and ordinary - toxic >= gain)
+                for window, n in Counter(windows_of(text)).items():
+                    toxic, ordinary = lengths(window)
+                    if toxic <= GRID[-1][0] and ordinary - toxic >= GRID[0][1]:
+                        for k, (most, gain) in enumerate(GRID):
+                            counts[k] += n * (toxic <= most and ordinary - toxic >= gain)
                 out.append(counts)
             yield pa.RecordBatch.from_arrays([batch.column("y"), pa.array(out, pa.list_(pa.int32()))], ["y", "hits"])
 
@@ -198,11 +227,10 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, *, id_col: str = "doc_
             windows, hits, scores = [], [], []
             for text in batch.column("text").to_pylist():
                 n = hit = 0
-                for word in _WORD.findall(text.encode().lower()) if text else ():
-                    if len(word) > 3:
-                        n += 1
-                        toxic, ordinary = lengths(word)
-                        hit += toxic <= model.most and ordinary - toxic >= model.gain
+                for window, times in Counter(windows_of(text)).items():
+                    n += times
+                    toxic, ordinary = lengths(window)
+                    hit += times * (toxic <= model.most and ordinary - toxic >= model.gain)
                 windows.append(n)
                 hits.append(hit)
                 low = model.chance[min(LEVELS, hit)]
