@@ -1,9 +1,9 @@
 """Embedding near-duplicates: spherical k-means cells, blocked cosine products, one representative per group.
 
 Vectors are compared within a label. Equal vectors share one row with a count. Centroids come from spherical k-means on a
-bounded sample, as many as the number of vectors asks for; then every vector is assigned. Cells lose no pair: with theta
-the angle of the threshold, a vector whose neighbour lies in cell c is within 2 * theta of its own distance to c, so it
-also visits every cell that near. Owners of a cell meet owners and visitors in blocks of bounded size; a block product
+bounded sample, as many as the largest label asks for; then every vector is assigned. Cells lose no pair: with theta
+the angle of the threshold, a vector whose neighbour lies in cell c is within 2 * theta of its own distance to c, and no
+further from the plane between both centroids than from the neighbour. It visits the cells for which both hold. Owners of a cell meet owners and visitors in blocks of bounded size; a block product
 gives, per vector, the number of links and the smallest neighbour seen, never the pairs.
 
 What a product leaves for the components is a spanning forest of its links.
@@ -22,8 +22,10 @@ from pyspark.sql import functions as F
 from tidemark.llm.graph import connected_components
 from tidemark.session import cut, measured_broadcast
 
-#: Rows of a block; a product of two blocks is one matrix of this size squared.
-BLOCK = 1024
+#: Rows of a block; two blocks meet in one group.
+BLOCK = 8192
+#: Rows of either side that are multiplied at once.
+STEP = 1024
 
 
 def _unit_rows(vectors: list) -> tuple[np.ndarray, list[np.ndarray]]:
@@ -105,7 +107,7 @@ def near_duplicates(
     vector_col: str = "embedding",
     label_col: str = "label",
     threshold: float = 0.98,
-    cell_rows: int = 4096,
+    cell_rows: int = 16_384,
     max_cells: int = 4096,
     sample_rows: int = 20_000,
 ) -> DataFrame:
@@ -119,8 +121,8 @@ def near_duplicates(
     vectors = vectors.select(F.col(id_col).alias("vec_id"), F.col(vector_col).alias("embedding"), F.col(label_col).alias("label"))
     members, reps = distinct_vectors(vectors)
     members = cut(members)
-    total = reps.count()
-    cells = max(1, min(max_cells, total // cell_rows))
+    largest = reps.groupBy("label").count().agg(F.max("count")).first()[0] or 0
+    cells = max(1, min(max_cells, largest // cell_rows))
     centres: dict[int, np.ndarray] = {}
     if cells > 1:
         chosen = reps.orderBy(F.xxhash64("rep"), "rep").limit(sample_rows).select("unit").collect()
@@ -129,6 +131,7 @@ def near_duplicates(
             by_length.setdefault(len(r.unit), []).append(np.frombuffer(r.unit, np.float64))
         centres = {k: spherical_kmeans(np.array(v), cells) for k, v in by_length.items()}
     reach = 2.0 * math.acos(threshold) + 1e-6
+    chord = math.sqrt(2.0 - 2.0 * threshold) + 1e-6
 
     def assigned(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -141,9 +144,11 @@ def near_duplicates(
                     cell.append(0)
                     own.append(True)
                     continue
-                angle = np.arccos(np.clip(near @ x, -1.0, 1.0))
+                cosine = near @ x
+                angle = np.arccos(np.clip(cosine, -1.0, 1.0))
                 first = int(np.argmin(angle))
-                for c in np.flatnonzero(angle <= angle[first] + reach):
+                apart = np.linalg.norm(near - near[first], axis=1)
+                for c in np.flatnonzero((angle <= angle[first] + reach) & (cosine[first] - cosine <= chord * apart + 1e-9)):
                     rows.append(i)
                     cell.append(int(c))
                     own.append(int(c) == first)
@@ -181,10 +186,10 @@ def near_duplicates(
         links = np.zeros(len(rep), np.int64)
         parent = np.arange(len(rep))
         forest = []
-        for a in range(0, len(left), BLOCK):
-            la = left[a : a + BLOCK]
-            for b in range(0, len(right), BLOCK):
-                rb = right[b : b + BLOCK]
+        for a in range(0, len(left), STEP):
+            la = left[a : a + STEP]
+            for b in range(0, len(right), STEP):
+                rb = right[b : b + STEP]
                 near = units[la] @ units[rb].T >= limit
                 x, y = np.nonzero(near)
                 x, y = la[x], rb[y]
