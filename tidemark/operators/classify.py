@@ -9,8 +9,11 @@ from tidemark.functions.text import any_of, contains_words, searchable
 
 Rules = tuple[tuple[str, tuple[str, ...]], ...]
 
-# Origins of a decision, the most trusted first, and where an origin stands that is not among them.
-ORIGINS = ("MANUAL_REFERENCE", "NATIVE_STRUCTURED", "OFFICIAL_REGISTRY", "SECTOR_REGISTRY", "CONTEXT", "SAFE_NAME_RULE", "BACKFILL", "LLM_FALLBACK")
+# How far an origin's decision stands back behind others, and where an origin stands that is not among them.
+ORIGINS = {
+    "SOURCE_NATIVE": 0, "MANUAL_REFERENCE": 10, "OFFICIAL_SUBJECT_ACTIVITY": 15, "STRUCTURED_SOURCE": 20, "ORG_CONTEXT_SECTOR": 30,
+    "ORG_SECTOR_REGISTRY": 40, "SAFE_NAME_RULE": 50, "OFFLINE_BACKFILL": 60, "THREAT_STABILIZATION": 70, "LLM_SOURCE_FALLBACK": 90,
+}
 LAST = 999
 
 
@@ -33,14 +36,14 @@ def first_of(texts: list[Column], rules: Rules, unknown: str = "Unknown") -> Col
     return F.coalesce(*[F.nullif(first_class(t, rules, unknown=unknown), F.lit(unknown)) for t in texts], F.lit(unknown))
 
 
-def arbitrate(decisions: DataFrame, by: list[str], origins: tuple[str, ...] = ORIGINS) -> DataFrame:
-    """Q-03, Q-04: of applied decisions on a field the most trusted origin's wins, ties by value; the others are rejected.
+def arbitrate(decisions: DataFrame, by: list[str], origins: dict[str, int] = ORIGINS, ties: tuple[str, ...] = ()) -> DataFrame:
+    """Q-03, Q-04: of applied decisions on a field the most trusted origin's wins, ties by origin, value, then `ties`; the others are rejected.
 
     `decisions` has `by`, origin, value, decision.
     """
-    ranks = F.array_position(F.array(*[F.lit(o) for o in origins]), F.col("origin")).cast("int")
-    rows = decisions.withColumn("precedence", F.when(ranks > 0, (ranks - 1) * 10).otherwise(LAST))
-    w = Window.partitionBy(*by, "decision").orderBy("precedence", "origin", "value")
+    ranks = F.create_map(*[F.lit(x) for pair in origins.items() for x in pair])
+    rows = decisions.withColumn("precedence", F.coalesce(F.element_at(ranks, F.col("origin")), F.lit(LAST)))
+    w = Window.partitionBy(*by, "decision").orderBy("precedence", "origin", "value", *ties)
     rows = rows.withColumn("_at", F.row_number().over(w))
     lost = (F.col("decision") == "APPLIED") & (F.col("_at") > 1)
     return rows.withColumn("decision", F.when(lost, "REJECTED_LOWER_PRIORITY").otherwise(F.col("decision"))).drop("_at")

@@ -44,10 +44,10 @@ class MergeRules:
     claimed: str = "Ransomware"
 
 
-def recurs(*texts: Column) -> Column:
-    """F-12: whether a text tells of another attack."""
+def recurs(*texts: Column, markers: tuple[str, ...] = RECURRENCE_MARKERS) -> Column:
+    """F-12: whether a text tells of another attack: one of the markers stands in it, anywhere."""
     blob = searchable(F.concat_ws(" ", *texts))
-    return any_of([F.contains(blob, F.lit(m)) for m in RECURRENCE_MARKERS])
+    return any_of([F.contains(blob, F.lit(m)) for m in markers])
 
 
 def observations(df: DataFrame, **fields: Column) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tidemark.functions import phrases as P
+from tidemark.functions.text import base_key, searchable
 
 
 def any_phrase(blob: Column, phrases: tuple[str, ...]) -> Column:
@@ -93,3 +94,73 @@ def legal_ids(text: Column) -> Column:
     siret = F.when(F.length(digits[0]) == 14, digits[0]).otherwise("")
     siren = F.when(siret != "", F.substring(siret, 1, 9)).when(F.length(digits[1]) == 9, digits[1]).otherwise("")
     return F.struct(siret.alias("siret"), siren.alias("siren"))
+
+
+def valid_actor(candidate: Column, organisation: Column) -> Column:
+    """F-10: the candidate, unless it names nobody or the victim itself."""
+    name = searchable(candidate)
+    opens = F.lit(False)
+    for words in P.ACTOR_OPENINGS:
+        opens = opens | name.startswith(words)
+    bad = name.isin(*P.ACTOR_SENTINELS) | opens | ((organisation != "") & (base_key(candidate) == base_key(organisation)))
+    return F.when(bad, "").otherwise(F.trim(candidate))
+
+
+def valid_third_party(candidate: Column, organisation: Column) -> Column:
+    """F-11: the candidate, unless it is an article, unknown or the victim itself."""
+    bad = searchable(candidate).isin(*P.THIRD_PARTY_SENTINELS) | ((organisation != "") & (base_key(candidate) == base_key(organisation)))
+    return F.when(bad, "").otherwise(F.trim(candidate))
+
+
+def weak_identity(name: Column) -> Column:
+    """F-13: a single word that is an upper-case acronym of 2 to 12 letters or at most four signs long."""
+    raw = F.trim(F.coalesce(name, F.lit("")))
+    plain = searchable(raw)
+    letters = F.regexp_replace(raw, r"[^\p{L}]", "")
+    acronym = F.length(letters).between(2, 12) & (F.upper(letters) == letters)
+    return (plain != "") & ~plain.contains(" ") & (acronym | (F.length(plain) <= 4))
+
+
+def naf_sector(section: Column) -> Column:
+    """K-11: the sector of a NAF section letter."""
+    known = F.create_map(*[F.lit(x) for pair in P.NAF_SECTORS.items() for x in pair])
+    return F.coalesce(F.element_at(known, F.upper(F.trim(section))), F.lit(P.UNKNOWN))
+
+
+def department_location(department: Column) -> Column:
+    """K-12: where a department lies, without guessing: the two covered overseas ones, 2A, 2B and 01 to 95."""
+    value = F.upper(F.trim(F.coalesce(department, F.lit(""))))
+    number = F.when(value.rlike("^[0-9]+$"), value.cast("int"))
+    return F.when(value == "974", "La Réunion").when(value == "976", "Mayotte").when(value.isin("2A", "2B") | number.between(1, 95), "France").otherwise(P.UNKNOWN)
+
+
+def sensitivity(value: Column) -> Column:
+    """K-15: tier of a data type, the first of which a marker stands in it, anywhere; empty for none."""
+    text = searchable(value)
+    out = F.when(F.lit(False), "")
+    for tier, markers in P.SENSITIVITY:
+        out = out.when(text.rlike("|".join(map(re.escape, markers))), tier)
+    return out.otherwise("")
+
+
+def modality(sentence: Column) -> Column:
+    """K-17: what a sentence does with its claim: denied before hypothesis, negated, confirmed, claimed, reported."""
+    out = F.when(F.lit(False), "")
+    for name, pattern in P.MODALITY:
+        out = out.when(sentence.rlike(rf"(?i)\b{pattern}\b"), name)
+    return out.otherwise("unknown")
+
+
+def reason_bucket(reason: Column, days: Column, weak: tuple[str, ...]) -> Column:
+    """A-18: the reason, with its days where it is a weak one."""
+    return F.when(reason.isin(*weak) & days.isNotNull(), F.concat(reason, F.lit("_J"), days.cast("string"))).otherwise(reason)
+
+
+def in_window(day: Column, start: Column, end: Column) -> Column:
+    """C-05: whether a day is in a window, both ends included; false without a day."""
+    return F.coalesce(day.between(start, end), F.lit(False))
+
+
+def day_of(value: Column) -> Column:
+    """R-49: the day of an ISO time or of the first ten signs; null where neither is one."""
+    return F.coalesce(F.try_to_timestamp(value).cast("date"), F.try_to_timestamp(F.substring(value, 1, 10), F.lit("yyyy-MM-dd")).cast("date"))

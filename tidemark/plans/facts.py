@@ -155,7 +155,7 @@ def _i09(o: DataFrame) -> DataFrame:
     "G01_violations",
     """SELECT 'duplicate_id' AS fault, CAST(l_orderkey AS VARCHAR) AS subject FROM lineitem GROUP BY l_orderkey HAVING count(*) > 4
         UNION ALL SELECT 'without_source', CAST(o_orderkey AS VARCHAR) FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)
-        UNION ALL SELECT 'missing_source', o_orderpriority FROM orders GROUP BY 1 HAVING max(o_totalprice) < 100""",
+        UNION ALL SELECT 'missing_source', o_orderpriority FROM orders GROUP BY o_orderpriority HAVING max(o_totalprice) < 100""",
     "lineitem", "orders",
 )
 def _g01(li: DataFrame, o: DataFrame) -> DataFrame:

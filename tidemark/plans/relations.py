@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.text import searchable
 from tidemark.operators import classify as K
 from tidemark.operators import dedup as D
 from tidemark.operators import relate as R
@@ -171,24 +170,20 @@ def _a27(labels: DataFrame, d: DataFrame) -> DataFrame:
 
 @query(
     "Q03_Q04_arbitration",
-    """WITH d AS (SELECT event_id // 4 AS item, CASE event_type WHEN 'signup' THEN 'MANUAL_REFERENCE' WHEN 'click' THEN 'CONTEXT' WHEN 'view' THEN 'BACKFILL' ELSE event_type END AS origin,
+    """WITH d AS (SELECT event_id // 4 AS item, CASE event_type WHEN 'signup' THEN 'MANUAL_REFERENCE' WHEN 'click' THEN 'OFFICIAL_SUBJECT_ACTIVITY' WHEN 'view' THEN 'OFFLINE_BACKFILL' ELSE event_type END AS origin,
         CAST(user_id AS VARCHAR) AS value, CASE WHEN event_id % 3 = 0 THEN 'PROPOSED' ELSE 'APPLIED' END AS decision, event_id FROM events),
-        r AS (SELECT *, CASE origin WHEN 'MANUAL_REFERENCE' THEN 0 WHEN 'CONTEXT' THEN 40 WHEN 'BACKFILL' THEN 60 ELSE 999 END AS precedence FROM d)
-        SELECT event_id, CASE WHEN decision = 'APPLIED' AND row_number() OVER (PARTITION BY item, decision ORDER BY precedence, origin, value) > 1
-        THEN 'REJECTED_LOWER_PRIORITY' ELSE decision END AS decision FROM r
-        QUALIFY count(*) OVER (PARTITION BY item, decision, origin, value) = 1""",
+        r AS (SELECT *, CASE origin WHEN 'MANUAL_REFERENCE' THEN 10 WHEN 'OFFICIAL_SUBJECT_ACTIVITY' THEN 15 WHEN 'OFFLINE_BACKFILL' THEN 60 ELSE 999 END AS precedence FROM d)
+        SELECT event_id, CASE WHEN decision = 'APPLIED' AND row_number() OVER (PARTITION BY item, decision ORDER BY precedence, origin, value, event_id) > 1
+        THEN 'REJECTED_LOWER_PRIORITY' ELSE decision END AS decision FROM r""",
     "events",
 )
 def _q03(e: DataFrame) -> DataFrame:
-    names = F.when(F.col("event_type") == "signup", "MANUAL_REFERENCE").when(F.col("event_type") == "click", "CONTEXT")
+    names = F.when(F.col("event_type") == "signup", "MANUAL_REFERENCE").when(F.col("event_type") == "click", "OFFICIAL_SUBJECT_ACTIVITY")
     rows = e.select(
-        F.floor(F.col("event_id") / 4).alias("item"), names.when(F.col("event_type") == "view", "BACKFILL").otherwise(F.col("event_type")).alias("origin"),
+        F.floor(F.col("event_id") / 4).alias("item"), names.when(F.col("event_type") == "view", "OFFLINE_BACKFILL").otherwise(F.col("event_type")).alias("origin"),
         F.col("user_id").cast("string").alias("value"), F.when(F.col("event_id") % 3 == 0, "PROPOSED").otherwise("APPLIED").alias("decision"), "event_id",
     )
-    # Decisions alike in everything are one decision; which of them wins means nothing.
-    alike = rows.groupBy("item", "decision", "origin", "value").agg(F.count(F.lit(1)).alias("n"), F.min("event_id").alias("event_id"))
-    made = K.arbitrate(alike, ["item"])
-    return made.filter("n = 1").select("event_id", "decision")
+    return K.arbitrate(rows, ["item"], ties=("event_id",)).select("event_id", "decision")
 
 
 @query(
@@ -239,8 +234,7 @@ def _d09(e: DataFrame) -> DataFrame:
 
 @query("F12_recurrence", f"SELECT doc_id, contains({_SEARCHABLE}, 'de nouveau') OR contains({_SEARCHABLE}, 'new attack') AS again FROM documents", "documents")
 def _f12(d: DataFrame) -> DataFrame:
-    blob = searchable(F.col("text"))
-    return d.select("doc_id", (F.contains(blob, F.lit("de nouveau")) | F.contains(blob, F.lit("new attack"))).alias("again"))
+    return d.select("doc_id", D.recurs(F.col("text"), markers=("de nouveau", "new attack")).alias("again"))
 
 
 @query("F12_recurrence_markers", f"SELECT doc_id, {' OR '.join(f"contains(s, '{m}')" for m in D.RECURRENCE_MARKERS)} AS again FROM (SELECT doc_id, {_SEARCHABLE} AS s FROM documents)", "documents")

@@ -121,3 +121,100 @@ def _x08(d: DataFrame) -> DataFrame:
 )
 def _x13(d: DataFrame) -> DataFrame:
     return _sampled(d).select("doc_id", R.legal_ids(F.col("text")).alias("i")).select("doc_id", "i.siret", "i.siren")
+
+
+_NAMES = ("le hacker", "Un attaquant isolé", "LockBit", "INCONNU", "", "Nation", "N/A", "ENSAM", "La", "EDF", "abcd", "Ville de Lyon", "mots de passe hachés", "IBAN", "adresse mail", "logo")
+_NAME_SQL = f"[{', '.join(f"'{n}'" for n in _NAMES)}][(doc_id % {len(_NAMES)}) + 1]"
+_PLAIN = r"trim(regexp_replace(regexp_replace(lower(strip_accents({0})), '[^\p{{L}}\p{{N}}_\s]', ' ', 'g'), '\s+', ' ', 'g'))"
+
+
+def _named(d: DataFrame) -> DataFrame:
+    return d.select("doc_id", "source", F.get(F.array(*[F.lit(n) for n in _NAMES]), (F.col("doc_id") % len(_NAMES)).cast("int")).alias("name"))
+
+
+def _in(values: tuple[str, ...]) -> str:
+    return ", ".join(f"'{v}'" for v in values)
+
+
+@query(
+    "F10_F11_valid_names",
+    f"""WITH t AS (SELECT doc_id, {_NAME_SQL} AS name FROM documents), n AS (SELECT *, {_PLAIN.format('name')} AS s FROM t)
+        SELECT doc_id, CASE WHEN s IN ({_in(P.ACTOR_SENTINELS)}) OR {' OR '.join(f"starts_with(s, '{o}')" for o in P.ACTOR_OPENINGS)} OR s = 'lockbit' THEN '' ELSE trim(name) END AS actor,
+        CASE WHEN s IN ({_in(P.THIRD_PARTY_SENTINELS)}) OR s = 'lockbit' THEN '' ELSE trim(name) END AS third_party FROM n""",
+    "documents",
+)
+def _f10(d: DataFrame) -> DataFrame:
+    victim = F.lit("Lockbit SAS")
+    return _named(d).select("doc_id", R.valid_actor(F.col("name"), victim).alias("actor"), R.valid_third_party(F.col("name"), victim).alias("third_party"))
+
+
+@query(
+    "F13_weak_identity",
+    f"""WITH t AS (SELECT doc_id, {_NAME_SQL} AS name FROM documents), n AS (SELECT *, {_PLAIN.format('name')} AS s, regexp_replace(name, '[^\\p{{L}}]', '', 'g') AS l FROM t)
+        SELECT doc_id, s <> '' AND NOT contains(s, ' ') AND ((length(l) BETWEEN 2 AND 12 AND upper(l) = l) OR length(s) <= 4) AS weak FROM n""",
+    "documents",
+)
+def _f13(d: DataFrame) -> DataFrame:
+    return _named(d).select("doc_id", R.weak_identity(F.col("name")).alias("weak"))
+
+
+_CODES = "['974', '976', '2a', '2B', '75', '96', '00', 'x', '', '01'][(c_custkey % 10) + 1]"
+
+
+@query(
+    "K11_K12_codes",
+    f"""SELECT c_custkey, CASE chr(CAST(65 + c_custkey % 26 AS INTEGER)) {' '.join(f"WHEN '{k}' THEN '{v}'" for k, v in P.NAF_SECTORS.items())} ELSE 'Inconnu' END AS sector,
+        CASE c_custkey % 10 WHEN 0 THEN 'La Réunion' WHEN 1 THEN 'Mayotte' WHEN 2 THEN 'France' WHEN 3 THEN 'France' WHEN 4 THEN 'France' WHEN 9 THEN 'France' ELSE 'Inconnu' END AS location FROM customer""",
+    "customer",
+)
+def _k11(c: DataFrame) -> DataFrame:
+    code = F.get(F.array(*[F.lit(x) for x in ("974", "976", "2a", "2B", "75", "96", "00", "x", "", "01")]), (F.col("c_custkey") % 10).cast("int"))
+    return c.select("c_custkey", R.naf_sector(F.char(65 + F.col("c_custkey") % 26)).alias("sector"), R.department_location(code).alias("location"))
+
+
+@query(
+    "K15_sensitivity",
+    f"""WITH t AS (SELECT doc_id, {_PLAIN.format(_NAME_SQL)} AS s FROM documents) SELECT doc_id, CASE
+        {' '.join(f"WHEN {' OR '.join(f"contains(s, '{m}')" for m in markers)} THEN '{tier}'" for tier, markers in P.SENSITIVITY)} ELSE '' END AS tier FROM t""",
+    "documents",
+)
+def _k15(d: DataFrame) -> DataFrame:
+    return _named(d).select("doc_id", R.sensitivity(F.col("name")).alias("tier"))
+
+
+_SENTENCES = (
+    "Le groupe affirme avoir vole des comptes", "La direction conteste", "Il pourrait manquer des dossiers", "aucun compte", "La ville confirme le vol",
+    "Le journal indique une panne", "Rien de plus", "Les agents ne sont pas atteints",
+)
+
+
+@query(
+    "K17_modality",
+    f"""WITH t AS (SELECT doc_id, [{', '.join(f"'{s}'" for s in _SENTENCES)}][(doc_id % {len(_SENTENCES)}) + 1] AS t FROM documents)
+        SELECT doc_id, CASE {' '.join(f"WHEN regexp_matches(t, '(?i)\\b{p.replace("'", "''")}\\b') THEN '{m}'" for m, p in P.MODALITY)} ELSE 'unknown' END AS modality FROM t""",
+    "documents",
+)
+def _k17(d: DataFrame) -> DataFrame:
+    said = F.get(F.array(*[F.lit(s) for s in _SENTENCES]), (F.col("doc_id") % len(_SENTENCES)).cast("int"))
+    return d.select("doc_id", R.modality(said).alias("modality"))
+
+
+@query(
+    "A18_reason_bucket",
+    """SELECT event_id, CASE WHEN event_type = 'view' THEN event_type || '_J' || (event_id % 5) ELSE event_type END AS bucket FROM events""", "events",
+)
+def _a18(e: DataFrame) -> DataFrame:
+    return e.select("event_id", R.reason_bucket(F.col("event_type"), F.col("event_id") % 5, ("view",)).alias("bucket"))
+
+
+@query(
+    "C05_R49_days",
+    """SELECT o_orderkey, CAST(o_orderdate AS DATE) BETWEEN DATE '1996-01-01' AND DATE '1997-06-30' AS inside,
+        CASE WHEN o_orderkey % 4 = 3 THEN NULL ELSE strftime(o_orderdate, '%Y-%m-%d') END AS day FROM orders""",
+    "orders",
+)
+def _c05(o: DataFrame) -> DataFrame:
+    four, at = F.col("o_orderkey") % 4, F.col("o_orderdate")
+    said = F.when(four == 0, F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss'Z'")).when(four == 1, F.date_format(at, "yyyy-MM-dd")).when(four == 2, F.date_format(at, "yyyy-MM-dd 'um' HH")).otherwise("soon")
+    inside = R.in_window(F.to_date("o_orderdate"), F.lit("1996-01-01").cast("date"), F.lit("1997-06-30").cast("date"))
+    return o.select("o_orderkey", inside.alias("inside"), R.day_of(said).alias("day"))
