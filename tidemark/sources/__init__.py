@@ -1 +1 @@
-"""Sources of the engine."""
+"""File sources and sinks, feeds, and structured data in pages."""

@@ -1 +1 @@
-"""Streaming of the engine."""
+"""Operators over streams."""
