@@ -115,3 +115,26 @@ MODALITY = (
     ("claimed", r"(?:revendiqu[ée]e?s?|affirme|affirment|dit\s+avoir|selon\s+(?:l['’]?attaquant|le\s+groupe|les\s+pirates?))"),
     ("reported", r"(?:rapport[ée]e?s?|indique|indiquent|selon\s+(?:le|la|les|un|une)\s+)"),
 )
+
+#: X-10: unit of a count, what it counts.
+COUNT_UNITS = {
+    "personne": "people", "personnes": "people", "victime": "people", "victimes": "people", "membre": "people", "membres": "people", "agent": "people",
+    "agents": "people", "compte": "accounts", "comptes": "accounts", "utilisateur": "users", "utilisateurs": "users", "client": "clients", "clients": "clients",
+    "employe": "people", "employes": "people", "salarie": "people", "salaries": "people", "patient": "people", "patients": "people", "eleve": "people",
+    "eleves": "people", "abonne": "people", "abonnes": "people", "enregistrement": "records", "enregistrements": "records", "ligne": "records",
+    "lignes": "records", "dossier": "files", "dossiers": "files", "fichier": "files", "fichiers": "files",
+}
+#: X-12: data types by pattern, and what a sentence must hold for one to count.
+DATA_TYPES = (
+    ("adresses e-mail", r"\b(?:adresses?\s+)?e-?mails?|courriels?\b"),
+    ("numéros de téléphone", r"\b(?:num[ée]ros?\s+de\s+)?t[ée]l[ée]phones?\b"),
+    ("adresses postales", r"\badresses?\s+(?:postales?|physiques?)\b"),
+    ("noms et prénoms", r"\bnoms?\b.{0,30}\bpr[ée]noms?\b|\bpr[ée]noms?\b"),
+    ("dates de naissance", r"\bdates?\s+de\s+naissance\b"),
+    ("identifiants", r"\bidentifiants?(?:\s+de\s+connexion)?\b"),
+    ("mots de passe", r"\bmots?\s+de\s+passe|passwords?\b"),
+    ("données bancaires", r"\b(?:donn[ée]es?|coordonn[ée]es?)\s+bancaires?|\bIBAN\b|\bRIB\b"),
+    ("données de santé", r"\bdonn[ée]es?\s+(?:de\s+sant[ée]|m[ée]dicales?)\b"),
+    ("pièces d'identité", r"\bpi[èe]ces?\s+d['’ ]identit[ée]|passeports?\b"),
+)
+TYPE_TRIGGER = r"\b(?:donn[ée]es?|fuite|vol|expos|comprom|exfiltr|publi|concern|contiend|inclu)"
