@@ -4,8 +4,7 @@ Fitting. In labelled training rows every word is counted by its distinct left ne
 (copies of a text add no neighbours). Words far more often in toxic text, by likelihood ratio, are the samples of the
 toxic dictionary; the commonest words of ordinary text, to the same number of bytes, are those of the ordinary one.
 
-Scoring. A text is cut into windows of one word; a word of three bytes or less shares a window with the word after it, so
-that no part of a text is left out. A window, repeated a few times so that entropy headers weigh little, is
+Scoring. A text is cut into windows of one word, whatever its length; no part of a text is left out. A window, repeated a few times so that entropy headers weigh little, is
 compressed with either dictionary. It is a hit if the toxic dictionary brings it down to at most `most` bytes and to at
 least `gain` bytes less than the ordinary one. Both thresholds are calibrated on labelled rows, as is the probability
 for each number of hits, with dictionaries that those rows had no part in: either half of the labelled rows is scored with
@@ -51,7 +50,7 @@ class ToxicityModel:
 class WindowLengths:
     """Compressed lengths of a word's window under both dictionaries; made once per task."""
 
-    def __init__(self, toxic: bytes, ordinary: bytes, limit: int = 200_000) -> None:
+    def __init__(self, toxic: bytes, ordinary: bytes, limit: int = 300_000) -> None:
         import zstandard as zstd
 
         settings = zstd.ZstdCompressionParameters(
@@ -78,17 +77,8 @@ class WindowLengths:
 
 
 def windows_of(text: str | None) -> list[bytes]:
-    """The windows of a text in order: words, short ones together with the word that follows."""
-    out: list[bytes] = []
-    held = b""
-    for word in _WORD.findall(text.encode().lower()) if text else ():
-        held = held + b" " + word if held else word
-        if len(word) > 3:
-            out.append(held)
-            held = b""
-    if held:
-        out.append(held)
-    return out
+    """The windows of a text in order: its words, the short ones too."""
+    return _WORD.findall(text.encode().lower()) if text else []
 
 
 def _training_labels(labels: DataFrame, id_col: str, label_col: str, max_labelled: int) -> DataFrame:
