@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import itertools
+import math
 import random
 import string
 import time
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -14,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tests.llm import brute
+from tidemark.llm import lattice as lattice_module
 from tidemark.llm import queries as Q
 from tidemark.llm.decontaminate import (
     benchmark_windows,
@@ -25,8 +28,8 @@ from tidemark.llm.decontaminate import (
     rarest_terms,
     term_counts,
 )
-from tidemark.llm.lattice import Lattice
-from tidemark.llm.lm_score import score_texts
+from tidemark.llm.lattice import Lattice, pieces_of, rank_log_probs
+from tidemark.llm.lm_score import score_texts, vocabulary_path
 from tidemark.llm.mixing import mix_sources, source_targets
 from tidemark.llm.ngram_join import ngram_components
 from tidemark.llm.quality import fit_quality, score_quality
@@ -161,6 +164,57 @@ def test_lattice_sums_all_segmentations():
     assert uses @ lengths == pytest.approx(sum(len(w) + 1 for w in words))
 
 
+def test_long_words_run_alike(monkeypatch):
+    pieces = [bytes([b]) for b in range(256)] + [b" a", b"ab", b"abc", b" ab", b"bc"]
+    lattice = Lattice(pieces)
+    rng = np.random.default_rng(2)
+    log_p = np.log(rng.dirichlet(np.ones(len(pieces))))
+    words = [bytes(rng.choice(list(b"abc"), n).tolist()) for n in (1, 6, 7, 40, 300)]
+    plain, uses = lattice.log_likelihood(words, log_p), lattice.expected_counts(words, np.arange(5.0), log_p)
+    monkeypatch.setattr(lattice_module, "LONG", 6)
+    assert lattice.log_likelihood(words, log_p) == pytest.approx(plain)
+    assert lattice.expected_counts(words, np.arange(5.0), log_p) == pytest.approx(uses)
+
+
+def test_lm_marginal_over_classes(spark):
+    """Against the formula, word by word and class by class; equal texts of different classes score alike."""
+    texts = [
+        (1, "the cat sat", "en"), (2, "le chat le chien", "fr"), (3, "The cat le", None), (4, "", "en"), (5, None, "de"),
+        (6, "the cat sat", "fr"), (7, "the unseen", "xx"), (8, "z" * 3000 + " the", "en"), (8, "z" * 3000 + " the", "en"),
+    ]
+    docs = spark.createDataFrame(texts, "doc_id bigint, text string, lang string")
+    train = [t for t in texts if t[0] not in (6, 7)]
+    # without rounds of adaptation the pieces keep their first weights
+    got = score_texts(docs, train=~F.col("doc_id").isin(6, 7), rounds=0, chunk_tokens=5).collect()
+    pieces, scores = pieces_of(vocabulary_path())
+    lattice, log_p = Lattice(pieces), rank_log_probs(scores)
+
+    def words(text: str | None) -> list[bytes]:
+        return (text or "").encode().lower().split()
+
+    def wanted(text: str | None) -> float:
+        parts = []
+        for k in {t[2] for t in train}:
+            own = [t for t in train if t[2] == k]
+            counts = Counter(w for t in own for w in words(t[1]))
+            n = sum(counts.values()) + len(own)
+            total = math.log(len(own) / len(train)) + math.log((len(own) - 0.6) / n)
+            for w in words(text):
+                sub = lattice.log_likelihood([w], log_p)[0] + math.log(0.6 * max(len(counts), 1) / n)
+                total += np.logaddexp(math.log((counts[w] - 0.6) / n), sub) if counts[w] else sub
+            parts.append(total)
+        return float(np.logaddexp.reduce(parts)) / math.log(10)
+
+    assert sorted(r.doc_id for r in got) == sorted(t[0] for t in texts)
+    by_id = {t[0]: t[1] for t in texts}
+    for r in got:
+        assert r.score == pytest.approx(wanted(by_id[r.doc_id]), rel=1e-6)
+    score = {r.doc_id: r.score for r in got}
+    assert score[1] == pytest.approx(score[6], rel=1e-12)
+    named = docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text", "lang")
+    assert {r.doc_id for r in score_texts(named).collect()} == {str(t[0]) for t in texts}
+
+
 def test_lm_odd_rows(odd, none):
     got = score_texts(odd, train=F.col("doc_id") > 2)
     assert got.count() == odd.count()

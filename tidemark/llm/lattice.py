@@ -7,6 +7,7 @@ together; position by position, arcs of each length are looked up by hash.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -15,6 +16,8 @@ from tidemark.llm.shingles import _BASE, mix
 
 _U = np.uint64
 NONE = -1e30
+#: Words of more bytes are run one by one, their arcs looked up over all positions at once.
+LONG = 512
 
 
 def pieces_of(model_file: str) -> tuple[list[bytes], np.ndarray]:
@@ -95,13 +98,46 @@ class Lattice:
                 if len(rows):
                     yield s, e, rows, found[rows]
 
+    def _long_arcs(self, word: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(starts, ends, pieces) of all arcs of a long word, by start."""
+        data = np.frombuffer(b" " + word, np.uint8)
+        parts = []
+        for a in range(0, len(data), 1 << 18):
+            starts = np.arange(a, min(a + (1 << 18), len(data)))
+            h = np.zeros(len(starts), _U)
+            found = []
+            for k in range(self.longest):
+                starts = starts[starts + k < len(data)]
+                h = self._extend(h[: len(starts)], data[starts + k])
+                ids = self.find(h)
+                on = np.flatnonzero(ids >= 0)
+                found.append((starts[on], starts[on] + k + 1, ids[on]))
+            s, e, ids = (np.concatenate(c) for c in zip(*found, strict=True))
+            order = np.argsort(s, kind="stable")
+            parts.append((s[order].astype(np.int32), e[order].astype(np.int32), ids[order]))
+        s, e, ids = (np.concatenate(c) for c in zip(*parts, strict=True))
+        return s, e, ids
+
+    @staticmethod
+    def _passed(froms: np.ndarray, tos: np.ndarray, gains: np.ndarray, size: int, origin: int) -> np.ndarray:
+        """Log sums over all paths from `origin` to each place, arcs in an order in which places are whole when left."""
+        reach = [NONE] * size
+        reach[origin] = 0.0
+        for a, b, g in zip(froms.tolist(), tos.tolist(), gains.tolist(), strict=True):
+            x, y = reach[a] + g, reach[b]
+            reach[b] = x + math.log1p(math.exp(y - x)) if x > y else y + math.log1p(math.exp(x - y))
+        return np.array(reach)
+
     @staticmethod
     def _blocks(words: list[bytes], most: int = 1 << 22) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """(positions, bytes) of words of one length, each with a space before it."""
+        """(positions, bytes) of words of one length, each with a space before it; long words are left out."""
         lengths = np.array([len(w) for w in words], np.int64)
         order = np.argsort(lengths, kind="stable")
-        edges = np.flatnonzero(np.r_[True, np.diff(lengths[order]) > 0])
-        for a, b in zip(edges, np.r_[edges[1:], len(order)], strict=True):
+        order = order[lengths[order] <= LONG]
+        if not len(order):
+            return
+        edges = np.flatnonzero(np.diff(lengths[order], prepend=-1) > 0)
+        for a, b in zip(edges, [*edges[1:], len(order)], strict=True):
             step = max(1, most // (int(lengths[order[a]]) + 1))
             for i in range(a, b, step):
                 at = order[i : min(b, i + step)]
@@ -109,15 +145,22 @@ class Lattice:
                 yield at, block
 
     def log_likelihood(self, words: list[bytes], log_p: np.ndarray) -> np.ndarray:
-        """Natural log of the probability of each word, summed over all its segmentations."""
-        out = np.empty(len(words))
-        for at, block in self._blocks(words) if words else ():
-            forward = np.full((block.shape[1] + 1, len(at)), NONE)
+        """Natural log of the probability of each word, summed over all its segmentations.
+
+        With piece weights of several models, one per row of `log_p`, the result has a column for each.
+        """
+        models = np.atleast_2d(log_p)
+        out = np.empty((len(words), len(models)))
+        for at, block in self._blocks(words, (1 << 22) // len(models)) if words else ():
+            forward = np.full((block.shape[1] + 1, len(models), len(at)), NONE)
             forward[0] = 0.0
             for s, e, rows, ids in self._arcs(block):
-                forward[e, rows] = np.logaddexp(forward[e, rows], forward[s, rows] + log_p[ids])
-            out[at] = forward[-1]
-        return out
+                forward[e][:, rows] = np.logaddexp(forward[e][:, rows], forward[s][:, rows] + models[:, ids])
+            out[at] = forward[-1].T
+        for i in [i for i, word in enumerate(words) if len(word) > LONG]:
+            s, e, ids = self._long_arcs(words[i])
+            out[i] = [self._passed(s, e, gains[ids], len(words[i]) + 2, 0)[-1] for gains in models]
+        return out if log_p.ndim > 1 else out[:, 0]
 
     def expected_counts(self, words: list[bytes], counts: np.ndarray, log_p: np.ndarray) -> np.ndarray:
         """Expected number of uses of each piece in `counts` occurrences of the words."""
@@ -137,4 +180,11 @@ class Lattice:
                 backward[s, rows] = np.logaddexp(backward[s, rows], reach)
                 use = np.exp(forward[s, rows] + reach - forward[-1, rows]) * weight[rows]
                 total += np.bincount(ids, use, len(total))
+        for i in [i for i, word in enumerate(words) if len(word) > LONG]:
+            s, e, ids = self._long_arcs(words[i])
+            size, gains = len(words[i]) + 2, log_p[ids]
+            forward = self._passed(s, e, gains, size, 0)
+            backward = self._passed(e[::-1], s[::-1], gains[::-1], size, size - 1)
+            use = np.exp(forward[s] + gains + backward[e] - forward[-1]) * counts[i]
+            total += np.bincount(ids, use, len(total))
         return total

@@ -2,39 +2,45 @@
 
 The pieces of an existing subword vocabulary span a lattice over each word; the probability of a word is the sum over all
 its segmentations, by a forward recursion in log space. The vocabulary's scores are the first piece weights; expected
-counts over the training words (two forward-backward rounds) adapt them to each class of texts. A word that training has
-seen is also an arc of its own, with an absolutely discounted count, and what the discount frees is the lattice's share:
+counts over the training words (two forward-backward rounds) adapt them to each class of texts. A word that training
+texts of a class have seen is also an arc of its own, with an absolutely discounted count, and what the discount frees is
+the lattice's share:
 
     P(word | class) = max(c - d, 0) / N + d * types / N * sum over segmentations of the product of piece weights
 
-A text's probability is its class's share, times those of its words, times that of its end. Classes come from a column
-of `docs` (languages here); rows without one are a class too.
+A text's probability is the sum over all classes of the class's share, times those of its words, times that of its end,
+so a text's own class is no part of its score: equal texts score alike. Classes come from a column of `docs` (languages
+here) and are read from training rows only; rows without one are a class too.
 
 Texts stay where they are read. Tasks cut them into chunks of one class, whose words become numbers, and write two
 tables: packed chunks, and one row per chunk and distinct word. Only the second is shuffled by word, to count words over
-all documents and to run each lattice once; the numbers come back to their chunks by key.
+all documents and to run each lattice once, under all classes; the numbers come back to their chunks by word.
 """
 
 from __future__ import annotations
 
 import itertools
+import json
 import math
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.lattice import Lattice, pieces_of, rank_log_probs
-from tidemark.session import cut, scratch_path
+from tidemark.session import scratch_path
 
 VOCABULARY = "piece_bpe_32k.model"
 #: Tokens that a chunk holds; a longer text is a chunk of its own.
 CHUNK_TOKENS = 1_500_000
 #: Words whose lattices run together.
 BATCH_WORDS = 100_000
+#: Bytes of words that run together, beyond what one Arrow batch brings.
+BATCH_BYTES = 8 << 20
 DISCOUNT = 0.6
 _CHUNK = "kind int, class string, chunk bigint, word binary, at int, c bigint, blob binary"
 
@@ -72,15 +78,15 @@ class _Chunk:
         self.numbers: dict[bytes, int] = {}
         self.rows: list[np.ndarray] = []
         self.train: list[bool] = []
-        self.row_ids: list[int] = []
+        self.ids: list[str | None] = []
         self.tokens = 0
 
-    def add(self, row: int, words: list[bytes], train: bool) -> None:
+    def add(self, doc_id: str | None, words: list[bytes], train: bool) -> None:
         numbers = self.numbers
         got = np.fromiter((numbers.setdefault(w, len(numbers)) for w in words), np.uint32, len(words))
         self.rows.append(np.sort(got))
         self.train.append(train)
-        self.row_ids.append(row)
+        self.ids.append(doc_id)
         self.tokens += len(words)
 
     def written(self) -> tuple[bytes, np.ndarray]:
@@ -91,11 +97,12 @@ class _Chunk:
         counts = np.bincount(flat[train], minlength=len(self.numbers))
         # Sorted numbers as differences: mostly small, so they pack well.
         steps = np.diff(flat.astype(np.int64), prepend=0).astype(np.int32)
-        return _pack({"n": n, "steps": steps, "train": np.array(self.train, bool), "row": np.array(self.row_ids, np.int64)}), counts
+        ids = np.frombuffer(json.dumps(self.ids).encode(), np.uint8)
+        return _pack({"n": n, "steps": steps, "ids": ids}), counts
 
 
 def _chunked(rows: DataFrame, limit: int) -> DataFrame:
-    """kind 0: a packed chunk; kind 1: a chunk's word, its number and training count. `rows`: row, class, train, text."""
+    """kind 0: a packed chunk; kind 1: a chunk's word, its number and training count. `rows`: doc_id, class, train, text."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         open_chunks: dict[str | None, _Chunk] = {}
@@ -114,10 +121,10 @@ def _chunked(rows: DataFrame, limit: int) -> DataFrame:
                 yield _record(np.ones(k, np.int32), [name] * k, np.full(k, key), part, np.arange(i, i + k, dtype=np.int32), counts[i : i + k], [None] * k)
 
         for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in ("row", "class", "train", "text")]
-            for row, name, train, text in zip(*columns, strict=True):
+            columns = [batch.column(c).to_pylist() for c in ("doc_id", "class", "train", "text")]
+            for doc_id, name, train, text in zip(*columns, strict=True):
                 chunk = open_chunks.setdefault(name, _Chunk())
-                chunk.add(row, text.encode().lower().split(), train)
+                chunk.add(doc_id, text.encode().lower().split(), train)
                 if chunk.tokens >= limit:
                     yield from closed(name)
             if sum(c.tokens for c in open_chunks.values()) > 2 * limit:
@@ -134,48 +141,51 @@ def _chunked(rows: DataFrame, limit: int) -> DataFrame:
     return rows.mapInArrow(run, _CHUNK)
 
 
-def _grouped(batches: Iterable[pa.RecordBatch], columns: list[str]) -> Iterator[list[list]]:
-    """Columns of about BATCH_WORDS rows at a time."""
-    held: list[list] = [[] for _ in columns]
+def _grouped(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of about BATCH_WORDS rows, fewer where words are long."""
+    held: list[pa.RecordBatch] = []
     for batch in batches:
-        for values, c in zip(held, columns, strict=True):
-            values.extend(batch.column(c).to_pylist())
-        if len(held[0]) >= BATCH_WORDS:
-            yield held
-            held = [[] for _ in columns]
-    if held[0]:
-        yield held
-
-
-def _adapted(counts: DataFrame, pieces: list[bytes], start: np.ndarray, classes: list[str | None], rounds: int) -> dict:
-    """class -> log piece weights, from expected counts over the distinct training words of each class."""
-    weights = {k: start for k in classes}
+        held.append(batch)
+        if sum(b.num_rows for b in held) >= BATCH_WORDS or sum(b.nbytes for b in held) >= BATCH_BYTES:
+            yield pa.concat_batches(held)
+            held = []
+    if held:
+        yield pa.concat_batches(held)
+
+
+def _seen(by: pa.Array, classes: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, place of class, training count) of all classes that have a word in training."""
+    flat = by.flatten()
+    count = flat.field("c").to_numpy()
+    row = np.repeat(np.arange(len(by)), np.diff(by.offsets.to_numpy()))
+    kind = pc.index_in(flat.field("class"), value_set=pa.array(classes, pa.string())).to_numpy(zero_copy_only=False)
+    on = count > 0
+    return row[on], kind[on].astype(np.int64), count[on]
+
+
+def _adapted(counts: DataFrame, pieces: list[bytes], start: np.ndarray, classes: list[str | None], rounds: int) -> np.ndarray:
+    """Log piece weights by class, from expected counts over the distinct training words of each class."""
+    weights = np.tile(start, (len(classes), 1))
     for _ in range(rounds):
-        now = dict(weights)
 
-        def run(batches: Iterable[pa.RecordBatch], now: dict = now) -> Iterator[pa.RecordBatch]:
+        def run(batches: Iterable[pa.RecordBatch], now: np.ndarray = weights) -> Iterator[pa.RecordBatch]:
             lattice = Lattice(pieces)
-            sums: dict[str | None, np.ndarray] = {}
-            for names, words in _grouped(batches, ["class", "word"]):
-                by: dict[str | None, list[bytes]] = {}
-                for name, word in zip(names, words, strict=True):
-                    by.setdefault(name, []).append(word)
-                for name, part in by.items():
-                    got = lattice.expected_counts(part, np.ones(len(part)), now[name])
-                    sums[name] = sums[name] + got if name in sums else got
-            for name, total in sums.items():
-                used = np.flatnonzero(total > 1e-12)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([name] * len(used), pa.string()), pa.array(used, pa.int64()), pa.array(total[used])],
-                    ["class", "piece", "uses"],
-                )
-
-        uses = counts.select("class", "word").mapInArrow(run, "class string, piece bigint, uses double")
+            total = np.zeros_like(now)
+            for batch in _grouped(batches):
+                words = batch.column("word").to_pylist()
+                row, kind, _ = _seen(batch.column("by"), classes)
+                for k in np.unique(kind):
+                    part = [words[i] for i in row[kind == k]]
+                    total[k] += lattice.expected_counts(part, np.ones(len(part)), now[k])
+            k, used = np.nonzero(total > 1e-12)
+            yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(used), pa.array(total[k, used])], ["k", "piece", "uses"])
+
+        uses = counts.select("word", "by").mapInArrow(run, "k bigint, piece bigint, uses double")
         # Classes times pieces bound what comes back.
-        total = {k: np.full(len(pieces), 1e-2) for k in classes}
-        for r in uses.groupBy("class", "piece").agg(F.sum("uses").alias("uses")).collect():
-            total[r["class"]][r.piece] += r.uses
-        weights = {k: np.log(v / v.sum()) for k, v in total.items()}
+        total = np.full_like(weights, 1e-2)
+        for r in uses.groupBy("k", "piece").agg(F.sum("uses").alias("uses")).collect():
+            total[r.k, r.piece] += r.uses
+        weights = np.log(total / total.sum(axis=1, keepdims=True))
     return weights
 
 
@@ -188,112 +198,100 @@ def score_texts(
     train: Column | None = None,
     model_file: str | None = None,
     rounds: int = 2,
-    max_classes: int = 16,
     chunk_tokens: int = CHUNK_TOKENS,
 ) -> DataFrame:
     """One row per row of `docs`: doc_id, n_tokens, n_known, train_tokens, base_score, score.
 
     Tokens are the words of the text under A-Z lower case, then one end. `train`, a condition on the id, says which rows
-    are learned from (all by default). Beyond the `max_classes` commonest, classes are one. Null and blank texts are
-    just an end. Repeated rows repeat and are learned from as often; without training rows every count is 0 and the
-    lattices keep the vocabulary's own weights. An empty table gives an empty result.
+    are learned from (all by default). Null and blank texts are just an end. Repeated rows repeat and are learned from as
+    often; without training rows every count is 0 and the lattices keep the vocabulary's own weights. An empty table
+    gives an empty result. Ids come back in their own type. Classes should be few, as languages are: the driver holds a
+    row for each, and a text is weighed under every one.
     """
     pieces, scores = pieces_of(model_file or vocabulary_path())
     start = rank_log_probs(scores)
     spark = docs.sparkSession
-    id_and_text = [F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")]
+    id_type = docs.select(F.col(id_col)).schema[0].dataType
     name = F.col(class_col).cast("string") if class_col else F.lit(None).cast("string")
-    rows = docs.select(*id_and_text, name.alias("class"))
-    common = [r["class"] for r in rows.groupBy("class").count().orderBy(F.desc("count"), "class").limit(max_classes).collect()]
-    named = [k for k in common if k is not None]
-    rows = rows.withColumn("class", F.when(F.col("class").isin(named), F.col("class"))) if named else rows
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), name.alias("class"))
     learned = F.coalesce(train if train is not None else F.lit(True), F.lit(True))
-    rows = rows.withColumn("train", learned).withColumn("row", F.xxhash64("doc_id", "text", "class"))
+    rows = rows.select(F.col("doc_id").cast("string").alias("doc_id"), "class", learned.alias("train"), "text")
 
     path = scratch_path(spark, "lm-chunks")
-    _chunked(rows.select("row", "class", "train", "text"), chunk_tokens).write.parquet(path)
-    written = spark.read.schema(_CHUNK).parquet(path)
-    words = written.filter("kind = 1").withColumn("key", F.xxhash64("word"))
+    _chunked(rows, chunk_tokens).write.parquet(path)
+    words = spark.read.schema(_CHUNK).parquet(path).filter("kind = 1")
     counts = words.select("word", "class", "c").repartition("word").groupBy("word", "class").agg(F.sum("c").alias("c"))
-    counts = counts.withColumn("all", F.sum("c").over(Window.partitionBy("word")))
+    counts = counts.groupBy("word").agg(F.sum("c").alias("all"), F.collect_list(F.struct("class", "c")).alias("by"))
     count_path = scratch_path(spark, "lm-words")
     counts.write.parquet(count_path)
-    counts = spark.read.schema("word binary, class string, c bigint, all bigint").parquet(count_path)
+    counts = spark.read.schema("word binary, all bigint, by array<struct<class: string, c: bigint>>").parquet(count_path)
 
-    per_class = {
-        r["class"]: r for r in counts.groupBy("class").agg(F.sum("c").alias("n"), F.sum((F.col("c") > 0).cast("long")).alias("types")).collect()
-    }
-    ends = {r["class"]: r.n for r in rows.groupBy("class").agg(F.sum(F.col("train").cast("long")).alias("n")).collect()}
-    whole = counts.filter("c > 0").agg(F.coalesce(F.sum("c"), F.lit(0)), F.countDistinct("word")).first()
+    each = counts.filter("all > 0").select(F.inline("by")).filter("c > 0")
+    per_class = {r["class"]: r for r in each.groupBy("class").agg(F.sum("c").alias("n"), F.count("*").alias("types")).collect()}
+    ends = {r["class"]: r.n for r in rows.filter("train").groupBy("class").agg(F.count("*").alias("n")).collect()}
+    whole = counts.filter("all > 0").agg(F.coalesce(F.sum("all"), F.lit(0)), F.count("*")).first()
     end_count = sum(ends.values())
     n_all, types = whole[0] + end_count, whole[1] + (end_count > 0)
     base_over = n_all + 0.1 * (types + 1)
-    classes = list(ends)
-    weights = _adapted(counts.filter("c > 0"), pieces, start, classes, rounds) if whole[0] else {k: start for k in classes}
-    # class -> training tokens (ends too), the lattice's share, log10 of end and class
-    facts = {}
-    for k in classes:
-        n = (per_class[k].n if k in per_class else 0) + ends[k]
-        share = DISCOUNT * (per_class[k].types if k in per_class else 0) / n if n else 1.0
-        end = max(ends[k] - DISCOUNT, 0.1) / n if n else 1.0
-        facts[k] = (n, share or 1.0, math.log10(end * (ends[k] + 1) / (end_count + len(classes))))
+    classes = list(ends) or [None]
+    seen_words = counts.filter("all > 0")
+    weights = _adapted(seen_words, pieces, start, classes, rounds if whole[0] else 0)
+    # by class: training tokens (ends too), log of the lattice's share, log of class and end
+    over, log_share, log_end = (np.full(len(classes), v) for v in (1.0, math.log(0.5), math.log(0.5)))
+    for i, k in enumerate(classes if end_count else []):
+        seen, n_texts = per_class.get(k), ends[k]
+        n = (seen.n if seen else 0) + n_texts
+        over[i] = n
+        log_share[i] = math.log(DISCOUNT * max(seen.types if seen else 0, 1) / n)
+        log_end[i] = math.log((n_texts - DISCOUNT) / n * n_texts / end_count)
 
     def scored(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Log probabilities of each word, one per class."""
         lattice = Lattice(pieces)
-        for names, part, own, every in _grouped(batches, ["class", "word", "c", "all"]):
-            score = np.empty(len(part))
-            kinds = np.array([classes.index(k) for k in names])
-            own_counts = np.array(own, float)
-            for k in np.unique(kinds):
-                at = np.flatnonzero(kinds == k)
-                n, share, _ = facts[classes[k]]
-                sub = lattice.log_likelihood([part[i] for i in at], weights[classes[k]]) + math.log(share)
-                seen = np.maximum(own_counts[at] - DISCOUNT, 0.0) / max(n, 1)
-                with np.errstate(divide="ignore"):
-                    score[at] = np.logaddexp(np.log(seen), sub) / math.log(10)
-            base = np.log10((np.array(every, float) + 0.1) / base_over)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(names, pa.string()), pa.array(part, pa.binary()), pa.array(np.array(every) > 0), pa.array(base), pa.array(score)],
-                ["class", "word", "known", "base", "score"],
-            )
-
-    table = counts.mapInArrow(scored, "class string, word binary, known boolean, base double, score double")
-    table = table.select(F.xxhash64("word").alias("key"), F.coalesce("class", F.lit("")).alias("k"), "known", "base", "score")
-    back = words.select("key", F.coalesce("class", F.lit("")).alias("k"), "chunk", "at").join(table, ["key", "k"])
-    back = back.select("k", "chunk", "at", "known", "base", "score")
-    chunks = spark.read.schema(_CHUNK).parquet(path).filter("kind = 0")
-    chunks = chunks.select(F.coalesce("class", F.lit("")).alias("k0"), F.col("chunk").alias("chunk0"), "class", "blob")
+        for batch in _grouped(batches):
+            part, every = batch.column("word"), batch.column("all").to_numpy()
+            logs = lattice.log_likelihood(part.to_pylist(), weights) + log_share
+            row, kind, count = _seen(batch.column("by"), classes)
+            logs[row, kind] = np.logaddexp(logs[row, kind], np.log((count - DISCOUNT) / over[kind]))
+            base = np.log10((every + 0.1) / base_over)
+            limits = np.arange(len(part) + 1, dtype=np.int32) * len(classes)
+            packed = pa.ListArray.from_arrays(pa.array(limits), pa.array(logs.astype(np.float32).ravel()))
+            yield pa.RecordBatch.from_arrays([part, pa.array(every > 0), pa.array(base), packed], ["word", "known", "base", "logs"])
+
+    table = counts.mapInArrow(scored, "word binary, known boolean, base double, logs array<float>")
+    back = words.select("word", "chunk", "at").join(table, "word").drop("word")
+    chunks = spark.read.schema(_CHUNK).parquet(path).filter("kind = 0").select(F.col("chunk").alias("chunk0"), "blob")
     base_end = math.log10((end_count + 0.1) / base_over)
 
     def joined(left: pa.Table, right: pa.Table) -> pa.Table:
         at = right.column("at").to_numpy()
-        known, base, score = (np.zeros(len(at)) for _ in range(3))
+        known, base, logs = np.zeros(len(at)), np.zeros(len(at)), np.zeros((len(at), len(classes)), np.float32)
         known[at] = right.column("known").to_numpy(zero_copy_only=False)
-        base[at], score[at] = right.column("base").to_numpy(), right.column("score").to_numpy()
+        base[at] = right.column("base").to_numpy()
+        logs[at] = right.column("logs").combine_chunks().flatten().to_numpy().reshape(-1, len(classes))
         out = []
-        for name, blob in zip(left.column("class").to_pylist(), left.column("blob").to_pylist(), strict=True):
+        for blob in left.column("blob").to_pylist():
             packed = _unpack(blob)
             n, flat = packed["n"], np.cumsum(packed["steps"].astype(np.int64))
             limits = np.r_[0, np.cumsum(n)]
 
             def total(values: np.ndarray, flat: np.ndarray = flat, limits: np.ndarray = limits) -> np.ndarray:
-                return np.diff(np.r_[0.0, np.cumsum(values[flat])][limits])
-
-            out.append(
-                pa.table(
-                    {
-                        "row": packed["row"], "n_tokens": n + 1,
-                        "n_known": np.rint(total(known)).astype(np.int64) + (end_count > 0),
-                        "base_score": total(base) + base_end, "score": total(score) + facts[name][2],
-                    }
-                )
-            )
+                return np.diff(np.r_[0.0, np.cumsum(values[flat], dtype=float)][limits])
+
+            score = np.full(len(n), -np.inf)
+            for k in range(len(classes)):
+                score = np.logaddexp(score, total(logs[:, k]) + log_end[k])
+            columns = {
+                "doc_id": pa.array(json.loads(packed["ids"].tobytes()), pa.string()), "n_tokens": n + 1,
+                "n_known": np.rint(total(known)).astype(np.int64) + (end_count > 0),
+                "base_score": total(base) + base_end, "score": score / math.log(10),
+            }
+            out.append(pa.table(columns))
         return pa.concat_tables(out)
 
-    kind = "row bigint, n_tokens bigint, n_known bigint, base_score double, score double"
-    found = chunks.groupBy("k0", "chunk0").cogroup(back.groupBy("k", "chunk")).applyInArrow(joined, kind)
-    found = cut(found.dropDuplicates(["row"]))
-    # A text's numbers follow from its id, class and words alone, so repeated rows share them.
-    return rows.select("doc_id", "row").join(found, "row").select(
-        "doc_id", "n_tokens", "n_known", F.lit(int(n_all)).cast("long").alias("train_tokens"), "base_score", "score"
-    )
+    kind = "doc_id string, n_tokens bigint, n_known bigint, base_score double, score double"
+    found = chunks.groupBy("chunk0").cogroup(back.groupBy("chunk")).applyInArrow(joined, kind)
+    return found.select(
+        F.col("doc_id").cast(id_type).alias("doc_id"), "n_tokens", "n_known",
+        F.lit(int(n_all)).cast("long").alias("train_tokens"), "base_score", "score",
+    )
