@@ -55,21 +55,24 @@ class Lattice:
             data[i, : len(p)] = np.frombuffer(p, np.uint8)
         lengths = np.array([len(p) for p in pieces])
         hashes = np.zeros(len(pieces), _U)
+        self._bits = max(16, (32 * len(pieces)).bit_length())
+        # Where some piece goes on; a place taken by chance only costs a look.
+        self._open = np.zeros(1 << self._bits, bool)
         for k in range(self.longest):
             on = lengths > k
             hashes[on] = self._extend(hashes[on], data[on, k])
+            self._open[self._place(hashes[on], 0)] = True
         self._hash = hashes
-        # Two tables of places; a piece that finds the first taken goes to the second.
-        self._bits = 22
+        # Three tables of places; a piece that finds its place in one taken goes to the next.
         self._tables = [np.full(1 << self._bits, -1, np.int32) for _ in range(3)]
-        for i, h in enumerate(hashes):
-            for k, table in enumerate(self._tables):
-                at = self._place(h, k)
-                if table[at] < 0:
-                    table[at] = i
-                    break
-            else:
-                raise ValueError("no place for a piece")
+        left = np.arange(len(pieces))
+        for k, table in enumerate(self._tables):
+            places = self._place(hashes[left], k)
+            taken, first = np.unique(places, return_index=True)
+            table[taken] = left[first]
+            left = np.delete(left, first)
+        if len(left):
+            raise ValueError("no place for a piece")
 
     @staticmethod
     def _extend(h: np.ndarray, byte: np.ndarray) -> np.ndarray:
@@ -80,23 +83,31 @@ class Lattice:
 
     def find(self, h: np.ndarray) -> np.ndarray:
         """Numbers of the pieces with these hashes, -1 for none."""
-        out = np.full(len(h), -1, np.int32)
-        for k, table in enumerate(self._tables):
-            got = table[self._place(h, k)]
-            out = np.where((out < 0) & (got >= 0) & (self._hash[got] == h), got, out)
+        out = self._tables[0][self._place(h, 0)]
+        at = np.flatnonzero(out >= 0)
+        for k in (1, 2, 3):
+            at = at[self._hash[out[at]] != h[at]]
+            out[at] = self._tables[k][self._place(h[at], k)] if k < 3 else -1
+            at = at[out[at] >= 0]
         return out
 
     def _arcs(self, block: np.ndarray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
         """(start, end, rows, pieces) of all arcs in a block of equally long words, by start."""
         n, length = block.shape
+        columns = np.ascontiguousarray(block.T)
         for s in range(length):
-            h = np.zeros(n, _U)
+            rows, h = np.arange(n), np.zeros(n, _U)
             for e in range(s + 1, min(length, s + self.longest) + 1):
-                h = self._extend(h, block[:, e - 1])
+                h = self._extend(h, columns[e - 1][rows])
+                on = self._open[self._place(h, 0)]
+                if not on.all():
+                    rows, h = rows[on], h[on]
+                if not len(rows):
+                    break
                 found = self.find(h)
-                rows = np.flatnonzero(found >= 0)
-                if len(rows):
-                    yield s, e, rows, found[rows]
+                hit = found >= 0
+                if hit.any():
+                    yield s, e, rows[hit], found[hit]
 
     def _long_arcs(self, word: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(starts, ends, pieces) of all arcs of a long word, by start."""
