@@ -196,3 +196,22 @@ def test_redirects_follow_to_the_end_and_leave_loops(spark):
 def test_searchable_and_keys(spark):
     row = spark.sql("SELECT 'Éco-le  À BÂle, n°5' AS t").select(X.searchable(F.col("t")).alias("s"), X.contains_words(X.searchable(F.col("t")), "a bale").alias("c")).first()
     assert row.s == "eco le a bale n 5" and row.c
+
+
+def test_territories_with_two_keys_are_an_error(spark):
+    from tidemark.operators import policies as X
+
+    rows = spark.createDataFrame([("CD33",), (None,)], "name string")
+    fine = spark.createDataFrame([("departement", "33", "a"), ("departement", "33", "a")], "kind string, value string, key string")
+    assert sorted(plain(X.territorial_keys(rows, "name", fine, "k").collect())) == [("", ""), ("CD33", "a")]
+    clash = fine.union(spark.createDataFrame([("departement", "33", "b")], fine.schema))
+    with pytest.raises(Exception, match="two keys for departement 33"):
+        X.territorial_keys(rows, "name", clash, "k").collect()
+
+
+def test_next_run_ids_fill_gaps(spark):
+    from tidemark.operators import policies as X
+
+    log = spark.createDataFrame([("R",), ("R-2",), ("R-4",), ("S-2",), ("T-1",), ("T",), ("U-02",)], "run string")
+    wanted = spark.createDataFrame([("R",), ("S",), ("T",), ("U",)], "base string")
+    assert {r.base: r.run_id for r in X.next_run_ids(wanted, log, "base", "run").collect()} == {"R": "R-3", "S": "S", "T": "T-2", "U": "U"}
