@@ -90,10 +90,61 @@ SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = top THEN 'res
 FROM q JOIN m USING (d)
 """
 
+SEARCH = rf"""
+WITH d AS (SELECT doc_id, regexp_extract_all({_FOLDED}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT item_id, unnest(regexp_extract_all({_FOLDED}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+q AS (SELECT item_id, term, count(*) AS times FROM b GROUP BY 1, 2),
+s AS (SELECT count(*)::BIGINT AS n_docs, sum(len(w))::BIGINT AS n_terms FROM d WHERE len(w) > 0),
+u AS (SELECT doc_id, len(w)::BIGINT AS n, unnest(w) AS term FROM d),
+t AS (SELECT doc_id, n, term, count(*) AS tf FROM u GROUP BY 1, 2, 3),
+f AS (SELECT term, count(*) AS df FROM t GROUP BY 1),
+v AS (SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS w FROM f, s),
+m AS (SELECT doc_id, term, tf, 25 + (75 * n * n_docs) // n_terms AS m FROM t, s),
+x AS (
+  SELECT item_id, doc_id, sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+  FROM q JOIN v USING (term) JOIN m USING (term) GROUP BY 1, 2),
+r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank FROM x WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 10
+"""
+
+FILTER_AUDIT = r"""
+WITH d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t FROM documents),
+w AS (SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w, min(doc_id) OVER (PARTITION BY t) AS first FROM d),
+l AS (SELECT doc_id, max(quality) = 1 AS good, max(toxic) = 1 AS toxic FROM labels GROUP BY 1),
+x AS (
+  SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+    concat(CASE WHEN len(w) < 200 THEN 'A' END, CASE WHEN 100 * len(list_distinct(w)) < 50 * len(w) THEN 'B' END,
+      CASE WHEN 100 * len(regexp_extract_all(t, '[A-Z]')) > 3 * length(t) THEN 'C' END,
+      CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' END, CASE WHEN first < doc_id THEN 'E' END) AS fails
+  FROM w LEFT JOIN l USING (doc_id)),
+c AS (SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS n_good, count(*) FILTER (toxic) AS n_toxic FROM x GROUP BY 1, 2),
+f AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f),
+o AS (
+  SELECT a.f || b.f || c.f || d.f || e.f AS filter_order FROM f AS a, f AS b, f AS c, f AS d, f AS e
+  WHERE len(list_distinct([a.f, b.f, c.f, d.f, e.f])) = 5),
+s AS (SELECT filter_order, unnest(range(1, 6)) AS step FROM o),
+p AS (SELECT filter_order, step::INT AS step, substr(filter_order, step, 1) AS here, substr(filter_order, 1, step - 1) AS earlier FROM s),
+y AS (
+  SELECT *, contains(fails, here) AS failing, length(translate(fails, earlier, '')) < length(fails) AS gone
+  FROM c, p),
+z AS (
+  SELECT part, filter_order, step, any_value(here) AS here,
+    coalesce(sum(n) FILTER (NOT failing AND NOT gone), 0)::BIGINT AS kept, coalesce(sum(n) FILTER (failing AND NOT gone), 0)::BIGINT AS removed,
+    coalesce(sum(n) FILTER (failing AND gone), 0)::BIGINT AS redundant, coalesce(sum(n) FILTER (fails = here), 0)::BIGINT AS unique_fails,
+    coalesce(sum(n_good) FILTER (failing AND NOT gone), 0)::BIGINT AS good_lost,
+    coalesce(sum(n_toxic) FILTER (failing AND NOT gone), 0)::BIGINT AS toxic_lost
+  FROM y GROUP BY 1, 2, 3)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+  (sum(removed) OVER (PARTITION BY part, here))::BIGINT AS shapley
+FROM z
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op1_mixing": MIXING,
     "op3_ngram_join": NGRAM_JOIN,
     "op4_decontamination": DECONTAMINATION,
     "op6_embeddings": EMBEDDINGS,
     "op8_warc": WARC,
+    "op11_search": SEARCH,
+    "op12_filter_audit": FILTER_AUDIT,
 }

@@ -7,14 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.llm.bpe import build_lexicon, decode_ids, encode_texts
 from tidemark.llm.decontaminate import contamination_report, decontaminate
 from tidemark.llm.embeddings import near_duplicates
+from tidemark.llm.filter_audit import audit_filters
 from tidemark.llm.html_text import extract_text
 from tidemark.llm.lm_score import score_texts
 from tidemark.llm.mixing import mix_sources
 from tidemark.llm.ngram_join import ngram_components
 from tidemark.llm.oracle import ORACLE_SQL as ORACLE_SQL
 from tidemark.llm.quality import fit_quality, score_quality
+from tidemark.llm.ranked_search import build_index, search
 from tidemark.llm.secrets import scan_secrets, secret_report
 from tidemark.llm.toxicity import fit_toxicity, fold, score_toxicity
 from tidemark.llm.warc import plan_records, read_warc, write_warc
@@ -91,6 +94,27 @@ def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_text(table(spark, sf_dir, "pages"))
 
 
+def op11_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents of every benchmark item."""
+    return search(build_index(table(spark, sf_dir, "documents")), table(spark, sf_dir, "benchmark"))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five filters in all orders over all documents, by language."""
+    return audit_filters(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every document's token ids and of the text they decode to."""
+    docs = table(spark, sf_dir, "documents")
+    decoded = decode_ids(encode_texts(docs, build_lexicon(docs)))
+    return decoded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("text", 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_mixing": op1_mixing,
     "op2_lm_score": op2_lm_score,
@@ -102,4 +126,7 @@ QUERIES: dict[str, Query] = {
     "op8_warc": op8_warc,
     "op9_secrets": op9_secrets,
     "op10_html": op10_html,
+    "op11_search": op11_search,
+    "op12_filter_audit": op12_filter_audit,
+    "op13_bpe": op13_bpe,
 }
