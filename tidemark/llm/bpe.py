@@ -12,30 +12,35 @@ from __future__ import annotations
 
 import heapq
 import json
+import re
+from array import array
 from collections import Counter
 from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.lexicon import Lexicon, compile_lexicon
-from tidemark.session import scratch_path
+from tidemark.session import cut, scratch_path
 
 VOCABULARY = "byte_bpe_50k.json"
-#: The split pattern of byte-level vocabularies, a fixed value.
-SPLIT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
-#: Beyond these blocks, Unicode versions differ in what is a letter or number; texts with such characters are split by
-#: the library itself.
-UNSURE = regex.compile(
-    r"[^\x00-\u0557\u0600-\u0887\u0900-\u0BFF\u0E00-\u0FFF\u1E00-\u206F\u20A0-\u2BFF\u3000-\uA6FF\uAC00-\uD7A3\uE000-\uFFEF\U0001F000-\U0001FAFF]"
-)
+#: The split pattern of byte-level vocabularies, a fixed value, for a class of letters, of numbers and of spaces.
+SPLIT = r"'(?:s|t|re|ve|m|ll|d)| ?[{letter}]+| ?[{number}]+| ?[^{letter}{number}{space}]+|[{space}]+(?![^{space}])|[{space}]+"
+#: Blocks in which no Unicode version changes what is a letter or number; the last holds neither. Texts with other
+#: characters are split by the library itself.
+SURE = r"\x00-\u0557\u0600-\u0887\u0900-\u0BFF\u0E00-\u0FFF\u1E00-\u206F\u20A0-\u2BFF\u3000-\uA6FF\uAC00-\uD7A3\uE000-\uFFEF\U0001F300-\U0001FAFF"
+UNSURE = re.compile(f"[^{SURE}]")
 #: Words of a task counted, or kept with their ids, before they are sent on or forgotten; longer words are not kept.
 HELD, KEPT_CHARS = 200_000, 64
+#: The rank of a pair that does not merge.
+NO_RANK = 1 << 62
 #: Ids that leave a task's Python side together.
 FLUSH = 1 << 20
 
@@ -63,45 +68,67 @@ class Vocabulary:
         ids, back = stored["model"]["vocab"], {c: b for b, c in enumerate(byte_characters())}
         pairs = (m.split(" ") if isinstance(m, str) else m for m in stored["model"]["merges"])
         self.start = [ids[c] for c in byte_characters()]
-        self.merges = {(ids[a], ids[b]): (rank, ids[a + b]) for rank, (a, b) in enumerate(pairs)}
+        pairs = list(pairs)
+        self.ranks = {(ids[a], ids[b]): rank for rank, (a, b) in enumerate(pairs)}
+        self.made = [ids[a + b] for a, b in pairs]
         self.special = {t["content"]: t["id"] for t in stored["added_tokens"]}
         tokens = {i: t for t, i in ids.items()} | {i: t for t, i in self.special.items()}
-        self.bytes_of = {
-            i: bytes(back[c] for c in t) if all(c in back for c in t) else t.encode() for i, t in tokens.items()
-        }
+        size = 1 + max(tokens)
+        known = (tokens.get(i, "") for i in range(size))
+        plain = [bytes(back[c] for c in t) if all(c in back for c in t) else t.encode() for t in known]
+        self.table = pa.array([*plain, b""], pa.binary())
         longest = sorted(map(regex.escape, self.special), key=len, reverse=True)
         self.special_at = regex.compile("(" + "|".join(longest) + ")") if longest else None
 
     def merge(self, word: bytes) -> list[int]:
         """The ids of a word: the pair of the lowest rank first, the leftmost of equal ones. n log n for n bytes."""
         ids = [self.start[b] for b in word]
-        if len(ids) < 2:
-            return ids
-        merges, end = self.merges, len(ids)
+        if len(ids) <= KEPT_CHARS:
+            return self._merge_short(ids)
+        rank_of, end = self.ranks.get, len(ids)
         after, before = list(range(1, end + 1)), list(range(-1, end - 1))
-        queue = [(m[0], i) for i in range(end - 1) if (m := merges.get((ids[i], ids[i + 1])))]
+        queue = [(r, i) for i, pair in enumerate(pairwise(ids)) if (r := rank_of(pair, NO_RANK)) < NO_RANK]
         heapq.heapify(queue)
         while queue:
             rank, i = heapq.heappop(queue)
             j = after[i]
-            if ids[i] < 0 or j >= end:
+            if ids[i] < 0 or j >= end or rank_of((ids[i], ids[j])) != rank:
                 continue
-            found = merges.get((ids[i], ids[j]))
-            if found is None or found[0] != rank:
-                continue
-            ids[i], ids[j] = found[1], -1
-            after[i] = after[j]
-            if after[j] < end:
-                before[after[j]] = i
-                if m := merges.get((ids[i], ids[after[i]])):
-                    heapq.heappush(queue, (m[0], i))
-            if before[i] >= 0 and (m := merges.get((ids[before[i]], ids[i]))):
-                heapq.heappush(queue, (m[0], before[i]))
+            ids[i], ids[j] = self.made[rank], -1
+            after[i] = k = after[j]
+            if k < end:
+                before[k] = i
+                if (r := rank_of((ids[i], ids[k]), NO_RANK)) < NO_RANK:
+                    heapq.heappush(queue, (r, i))
+            if (h := before[i]) >= 0 and (r := rank_of((ids[h], ids[i]), NO_RANK)) < NO_RANK:
+                heapq.heappush(queue, (r, h))
         return [x for x in ids if x >= 0]
 
-    def decode(self, ids: Iterable[int]) -> str:
-        """The text of `ids`; numbers that are no token are skipped, bytes that are no UTF-8 become U+FFFD."""
-        return b"".join(map(self.bytes_of.get, filter(self.bytes_of.__contains__, ids))).decode("utf-8", "replace")
+    def _merge_short(self, ids: list[int]) -> list[int]:
+        """The same for few bytes, with the ranks of all pairs in a list instead of a queue."""
+        rank_of = self.ranks.get
+        ranks = [rank_of(pair, NO_RANK) for pair in pairwise(ids)]
+        while ranks and (best := min(ranks)) < NO_RANK:
+            i = ranks.index(best)
+            ids[i] = self.made[best]
+            del ids[i + 1], ranks[i]
+            if i:
+                ranks[i - 1] = rank_of((ids[i - 1], ids[i]), NO_RANK)
+            if i < len(ranks):
+                ranks[i] = rank_of((ids[i], ids[i + 1]), NO_RANK)
+        return ids
+
+    def decode_lists(self, lists: pa.ListArray) -> pa.Array:
+        """The texts of lists of ids; what is no token is skipped, bytes that are no UTF-8 become U+FFFD."""
+        ids = lists.flatten().fill_null(-1).to_numpy(zero_copy_only=False)
+        # the last entry of the table is empty
+        at = np.where((ids >= 0) & (ids < len(self.table) - 1), ids, len(self.table) - 1)
+        ends = np.cumsum(np.concatenate([[0], np.asarray(lists.value_lengths().fill_null(0))]), dtype=np.int32)
+        joined = pc.binary_join(pa.ListArray.from_arrays(pa.array(ends), self.table.take(pa.array(at))), b"")
+        try:
+            return joined.cast(pa.string())
+        except pa.ArrowInvalid:
+            return pa.array([raw.decode("utf-8", "replace") for raw in joined.to_pylist()], pa.string())
 
 
 @lru_cache(maxsize=2)
@@ -110,17 +137,31 @@ def _vocabulary(path: str) -> Vocabulary:
 
 
 @lru_cache(maxsize=1)
-def _library_split() -> Callable:
+def _splits() -> tuple[Callable, Callable]:
+    """Splitters of texts in sure blocks, and of all others."""
     from tokenizers.pre_tokenizers import ByteLevel
 
-    return ByteLevel(add_prefix_space=False, use_regex=True).pre_tokenize_str
+    def members(category: str) -> str:
+        """The sure characters of a category, for a character class: a plain class is matched faster than a property."""
+        runs: list[list[int]] = []
+        for c in range(0x10000):
+            if not UNSURE.match(chr(c)) and regex.match(category, chr(c)):
+                if runs and runs[-1][1] == c - 1:
+                    runs[-1][1] = c
+                else:
+                    runs.append([c, c])
+        return "".join(f"\\u{a:04x}-\\u{b:04x}" for a, b in runs)
+
+    classes = {"letter": members(r"\p{L}"), "number": members(r"\p{N}"), "space": members(r"\s")}
+    return re.compile(SPLIT.format(**classes)).findall, ByteLevel(add_prefix_space=False, use_regex=True).pre_tokenize_str
 
 
 def words_of(text: str) -> list[str]:
     """The pre-tokens of a text without special tokens; joined they are the text."""
-    if UNSURE.search(text):
-        return [text[a:b] for _, (a, b) in _library_split()(text)]
-    return SPLIT.findall(text)
+    sure, other = _splits()
+    if not text.isascii() and UNSURE.search(text):
+        return [text[a:b] for _, (a, b) in other(text)]
+    return sure(text)
 
 
 def _parts(vocabulary: Vocabulary, text: str) -> list[str]:
@@ -155,13 +196,23 @@ def word_counts(docs: DataFrame, vocabulary: str, text_col: str = "text") -> Dat
 def build_lexicon(
     docs: DataFrame, *, text_col: str = "text", vocabulary: str | None = None, max_words: int = 50_000, path: str | None = None
 ) -> str:
-    """Path of the compiled lexicon of the `max_words` most frequent words of all texts, ties by the word.
+    """Path of the compiled lexicon of the most frequent words of all texts, at most `max_words`.
 
-    Counts cover all texts; `max_words` bounds what the driver holds and the file, not what can be encoded. The file is
-    written through Spark's file system to `path`, by default under the shared folder.
+    Counts cover all texts. Words are taken by classes of counts (eight a doubling), the highest first, while a class fits
+    whole, so no task ranks words and the driver gets a few hundred sums and the chosen words alone. `max_words` bounds
+    the file, not what can be encoded. It is written through Spark's file system to `path`, by default under the shared
+    folder.
     """
     spark, vocabulary = docs.sparkSession, vocabulary or vocabulary_path()
-    frequent = word_counts(docs, vocabulary, text_col).orderBy(F.desc("n"), "word").limit(max_words)
+    level = F.floor(8 * F.log2("n")).cast("int").alias("level")
+    counted = cut(word_counts(docs, vocabulary, text_col).filter("n > 1").select("word", level))
+    least, taken = 1 << 30, 0
+    for row in counted.groupBy("level").count().orderBy(F.desc("level")).collect():
+        taken += row["count"]
+        if taken > max_words:
+            break
+        least = row["level"]
+    frequent = counted.filter(F.col("level") >= least)
     known = _vocabulary(vocabulary)
     words = sorted(r.word.encode() for r in frequent.select("word").collect())
     path = path or scratch_path(spark, "lexicon")
@@ -203,7 +254,7 @@ def encode_texts(
         def ids_of(word: str) -> bytes:
             raw = word.encode()
             ids = mapped.find(raw) if len(word) <= KEPT_CHARS else None
-            made = np.array(known.merge(raw) if ids is None else ids, dtype=np.int32).tobytes()
+            made = array("i", known.merge(raw) if ids is None else ids).tobytes()
             if len(word) <= KEPT_CHARS:
                 if len(held) >= HELD:
                     held.clear()
@@ -252,15 +303,16 @@ def decode_ids(encoded: DataFrame, *, id_col: str = "doc_id", ids_col: str = "id
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _vocabulary(vocabulary)
         for batch in batches:
-            texts: list[str] = []
-            first = size = 0
-            for i, ids in enumerate(batch.column("ids")):
-                texts.append(known.decode(ids.as_py() or ()))
-                size += len(texts[-1])
-                if size >= 4 * FLUSH or i + 1 == batch.num_rows:
-                    piece = batch.slice(first, i + 1 - first)
-                    yield pa.RecordBatch.from_arrays([*piece.columns, pa.array(texts, pa.string())], ["doc_id", "ids", "text"])
-                    texts, first, size = [], i + 1, 0
+            lists = batch.column("ids")
+            # tokens before each row; a row of more than FLUSH ids is a piece of its own
+            ends = np.cumsum(np.asarray(lists.value_lengths().fill_null(0), dtype=np.int64))
+            first = 0
+            while first < batch.num_rows:
+                most = (ends[first - 1] if first else 0) + FLUSH
+                upto = max(first + 1, int(np.searchsorted(ends, most, side="right")))
+                piece = batch.slice(first, upto - first)
+                yield pa.RecordBatch.from_arrays([*piece.columns, known.decode_lists(piece.column("ids"))], ["doc_id", "ids", "text"])
+                first = upto
 
     rows = encoded.select(F.col(id_col).alias("doc_id"), F.col(ids_col).alias("ids"))
     kind = rows.schema["doc_id"].dataType.simpleString()

@@ -127,18 +127,26 @@ class Lexicon:
         self.arc_at, self.end_at, self.ids = numbers(self.arcs), numbers(self.states), numbers(n_ids)
         self.arc_n, self.end_n = view[at : at + self.arcs], view[at + self.arcs : at + self.arcs + self.states]
         self.labels = at + self.arcs + self.states
+        self.read: dict[int, dict[int, tuple[int, list[int]]]] = {}
+
+    def _arcs(self, state: int) -> dict[int, tuple[int, list[int]]]:
+        """label -> (target, ids emitted) of a state, kept once it has been read."""
+        low, high = self.first[state], self.first[state + 1]
+        labels = self.map[self.labels + low : self.labels + high]
+        emitted = (self.ids[self.arc_at[a] : self.arc_at[a] + self.arc_n[a]].tolist() for a in range(low, high))
+        self.read[state] = arcs = dict(zip(labels, zip(self.target[low:high], emitted, strict=True), strict=True))
+        return arcs
 
     def find(self, word: bytes) -> list[int] | None:
         """The ids of `word`, None if it is not in the lexicon."""
-        state, out = self.root, []
-        first, find, base = self.first, self.map.find, self.labels
-        for i in range(len(word)):
-            arc = find(word[i : i + 1], base + first[state], base + first[state + 1]) - base
-            if arc < 0:
+        state, out, read = self.root, [], self.read
+        for label in word:
+            found = (read.get(state) or self._arcs(state)).get(label)
+            if found is None:
                 return None
-            if n := self.arc_n[arc]:
-                out += self.ids[self.arc_at[arc] : self.arc_at[arc] + n]
-            state = self.target[arc]
+            state = found[0]
+            if found[1]:
+                out += found[1]
         n = self.end_n[state]
         if n == NO_END:
             return None
