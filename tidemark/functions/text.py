@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tidemark.functions.match import bind
+
 # Suffixes, legal forms and trailing words that an organisation key drops.
 TLDS = ("fr", "com", "net", "org", "eu", "io", "app")
 LEGAL_FORMS = ("sas", "sarl", "sa", "eurl")
@@ -15,21 +17,34 @@ STOPWORDS = ("de", "du", "des", "la", "le", "les", "et", "d", "l", "of", "the",
 
 
 def _folding() -> tuple[str, str]:
-    """Latin letters whose compatibility decomposition is one ASCII letter with marks, and those letters."""
-    pairs = []
-    for code in range(0xC0, 0x250):
-        base = [c for c in unicodedata.normalize("NFKD", chr(code)) if not unicodedata.combining(c)]
-        if len(base) == 1 and base[0].isascii() and base[0] != chr(code):
-            pairs.append((chr(code), base[0]))
-    return "".join(a for a, _ in pairs), "".join(b for _, b in pairs)
+    """Characters that stand for one other, marks aside, in compatibility form, and those; then marks, which go."""
+    pairs, marks = [], []
+    for code in range(0xA0, 0x10000):
+        c = chr(code)
+        if unicodedata.combining(c):
+            marks.append(c)
+        elif not 0xD800 <= code < 0xE000:
+            base = [x for x in unicodedata.normalize("NFKD", c) if not unicodedata.combining(x)]
+            if len(base) == 1 and base[0] != c and ord(base[0]) < 0x10000:
+                pairs.append((c, base[0]))
+    return "".join([a for a, _ in pairs] + marks), "".join(b for _, b in pairs)
 
 
-_ACCENTED, _PLAIN = _folding()
+_FOLDED, _PLAIN = _folding()
+#: Signs of several letters, a fixed table: the ligatures of U+FB00 on, and others that stand in names.
+_SEVERAL = (("\ufb00", "ff"), ("\ufb01", "fi"), ("\ufb02", "fl"), ("\ufb03", "ffi"), ("\ufb04", "ffl"), ("\ufb05", "st"), ("\ufb06", "st"), ("\u2122", "TM"), ("\u2116", "No"))
 
 
 def strip_accents(c: Column) -> Column:
-    """T-01: Latin letters without their marks."""
-    return F.translate(c, _ACCENTED, _PLAIN)
+    """T-01: letters without their marks, composed or not, and compatibility forms as what they stand for.
+
+    Signs of several letters outside the fixed table stay, as do those beyond U+FFFF.
+    """
+    several = c
+    for sign, letters in _SEVERAL:
+        several = F.replace(several, F.lit(sign), F.lit(letters))
+    plain = F.translate(F.when(c.rlike(f"[{''.join(s for s, _ in _SEVERAL)}]"), several).otherwise(c), _FOLDED, _PLAIN)
+    return F.when(c.rlike(r"[^\x00-\x7F]"), plain).otherwise(c)
 
 
 def collapse(c: Column) -> Column:
@@ -39,7 +54,13 @@ def collapse(c: Column) -> Column:
 
 def searchable(c: Column) -> Column:
     """T-02: no accents, lower case, other signs than word characters as spaces, collapsed."""
-    return collapse(F.regexp_replace(F.lower(strip_accents(F.coalesce(c, F.lit("")))), r"(?U)[^\w\s]", " "))
+
+    def spaced(folded: Column) -> Column:
+        # white space is no word character either, so one pass makes a single space of every run of both
+        foreign = folded.rlike(r"[^\x00-\x7F]")
+        return F.trim(F.when(foreign, F.regexp_replace(folded, r"(?U)\W+", " ")).otherwise(F.regexp_replace(folded, r"\W+", " ")))
+
+    return bind(F.lower(strip_accents(F.coalesce(c, F.lit("")))), spaced)
 
 
 def contains_words(haystack: Column, needle: str | Column) -> Column:

@@ -8,17 +8,23 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tidemark.functions import phrases as P
-from tidemark.functions.text import base_key, searchable
+from tidemark.functions.match import bind, every_phrase, first_label, holds, phrases_in
+from tidemark.functions.text import any_of, base_key, searchable
+
+SURE_PREFIXES = tuple(p for p in P.CYBER_PREFIXES if p not in P.AMBIGUOUS_PREFIXES)
 
 
 def any_phrase(blob: Column, phrases: tuple[str, ...]) -> Column:
     """Whether a searchable text holds one of the phrases between word boundaries: one pass, whatever their number."""
-    return F.concat(F.lit(" "), blob, F.lit(" ")).rlike(" (?:" + "|".join(map(re.escape, phrases)) + ") ")
+    return F.size(phrases_in(blob, phrases)) > 0
 
 
 def any_prefix(blob: Column, prefixes: tuple[str, ...]) -> Column:
-    """Whether a word of a searchable text starts with one of the prefixes."""
-    return F.concat(F.lit(" "), blob).rlike(" (?:" + "|".join(map(re.escape, prefixes)) + ")")
+    """Whether a word of a searchable text starts with one of the prefixes: words are first told by how they begin."""
+    head = min(map(len, prefixes))
+    heads = sorted({p[:head] for p in prefixes})
+    whole = "^(?:" + "|".join(map(re.escape, prefixes)) + ")"
+    return F.exists(F.split(blob, " "), lambda w: F.substring(w, 1, head).isin(*heads) & w.rlike(whole))
 
 
 def is_physical(blob: Column) -> Column:
@@ -28,14 +34,14 @@ def is_physical(blob: Column) -> Column:
 
 def has_marker(blob: Column) -> Column:
     """F-02: a telling cyber marker; ambiguous ones do not count in a physical context."""
-    sure = tuple(p for p in P.CYBER_PREFIXES if p not in P.AMBIGUOUS_PREFIXES)
-    prefixed = any_prefix(blob, sure) | (any_prefix(blob, P.AMBIGUOUS_PREFIXES) & ~is_physical(blob))
+    prefixed = any_prefix(blob, SURE_PREFIXES) | (any_prefix(blob, P.AMBIGUOUS_PREFIXES) & ~is_physical(blob))
     return prefixed | any_phrase(blob, P.CYBER_PHRASES)
 
 
 def has_negation(blob: Column) -> Column:
     """F-04: whether a claim is denied in so many words."""
-    return blob.rlike("|".join(P.NEGATIONS))
+    told = any_of([F.contains(blob, F.lit(claim)) for claim in P.NEGATED_CLAIMS])
+    return told & blob.rlike("|".join(P.NEGATIONS))
 
 
 def without_negations(blob: Column) -> Column:
@@ -47,26 +53,50 @@ def without_negations(blob: Column) -> Column:
 
 def looks_cyber(blob: Column) -> Column:
     """F-01: a phrase of the threat table, ambiguous ones outside a physical context only, or a marker."""
-    every = tuple(p for _, phrases in P.THREAT_RULES for p in phrases)
+    every = every_phrase(P.THREAT_RULES)
     doubtful = tuple(p for p in every if p.startswith(P.AMBIGUOUS_PREFIXES))
     sure = tuple(p for p in every if p not in doubtful)
-    return any_phrase(blob, sure) | (any_phrase(blob, doubtful) & ~is_physical(blob)) | has_marker(blob)
 
+    def judged(hits: Column) -> Column:
+        physical = holds(hits, P.PHYSICAL_MARKERS)
+        marked = any_prefix(blob, SURE_PREFIXES) | (any_prefix(blob, P.AMBIGUOUS_PREFIXES) & ~physical)
+        return holds(hits, (*sure, *P.CYBER_PHRASES)) | (holds(hits, doubtful) & ~physical) | marked
 
-def threat(blob: Column, default: Column | None = None) -> Column:
+    return bind(phrases_in(blob, (*every, *P.CYBER_PHRASES, *P.PHYSICAL_MARKERS)), judged)
+
+
+def threat_signals(blob: Column) -> Column:
+    """K-01: struct of what a text says of threats: empty, negated, hits (phrases of the table outside denials), marker.
+
+    The marker is looked for only where no phrase was found.
+    """
+
+    def told(evidence: Column) -> Column:
+        return bind(phrases_in(evidence, every_phrase(P.THREAT_RULES)), lambda hits: F.struct(
+            (blob == "").alias("empty"), has_negation(blob).alias("negated"), hits.alias("hits"),
+            F.when(F.size(hits) == 0, has_marker(evidence)).otherwise(F.lit(False)).alias("marker"),
+        ))
+
+    return bind(F.when(has_negation(blob), without_negations(blob)).otherwise(blob), told)
+
+
+def threat_of(signals: Column, default: Column | None = None) -> Column:
     """K-01: specific threats first, then the source's default, then intrusion; a denial alone is unknown.
 
-    A default of ransomware always wins. `blob` should be a column of a projection of its own: it is named often.
+    A default of ransomware always wins.
     """
     given = F.coalesce(default, F.lit("")) if default is not None else F.lit("")
-    evidence = without_negations(blob)
     rules = dict(P.THREAT_RULES)
-    out = F.when(blob == "", F.when(given != "", given).otherwise(P.UNKNOWN)).when(given == P.RANSOMWARE, P.RANSOMWARE)
-    for label in P.SPECIFIC:
-        out = out.when(any_phrase(evidence, rules[label]), label)
-    out = out.when(given != "", given).when(any_phrase(evidence, rules[P.INTRUSION]), P.INTRUSION)
-    # nothing of the table matched by now
-    return out.when(has_negation(blob), P.UNKNOWN).when(has_marker(evidence), P.OTHER).otherwise(P.UNKNOWN)
+    specific = first_label(signals["hits"], tuple((label, rules[label]) for label in P.SPECIFIC))
+    out = F.when(signals["empty"], F.when(given != "", given).otherwise(P.UNKNOWN)).when(given == P.RANSOMWARE, P.RANSOMWARE)
+    # without a specific threat, all that can have been found is intrusion
+    rest = F.when(given != "", given).when(F.size(signals["hits"]) > 0, P.INTRUSION).when(signals["negated"], P.UNKNOWN)
+    return out.otherwise(F.coalesce(specific, rest.when(signals["marker"], P.OTHER).otherwise(P.UNKNOWN)))
+
+
+def threat(blob: Column, default: Column | None = None) -> Column:
+    """K-01 of a searchable text at once."""
+    return bind(threat_signals(blob), lambda signals: threat_of(signals, default))
 
 
 def claim_status(text: Column) -> Column:

@@ -86,7 +86,9 @@ def _threat_sql(default: str) -> str:
 def _k01(d: DataFrame) -> DataFrame:
     five = F.col("doc_id") % 5
     default: Column = F.when(five == 0, P.LEAK).when(five == 1, P.RANSOMWARE).otherwise("")
-    return _sampled(d).select("doc_id", R.threat(F.col("blob")).alias("threat"), R.threat(F.col("blob"), default).alias("with_default"))
+    rows = _sampled(d).select("doc_id", R.threat_signals(F.col("blob")).alias("told"))
+    told = F.col("told")
+    return rows.select("doc_id", R.threat_of(told).alias("threat"), R.threat_of(told, default).alias("with_default"))
 
 
 _STATUS_SQL = " ".join(rf"WHEN regexp_matches(t, '(?i)(^|[^\p{{L}}\p{{N}}_]){p}($|[^\p{{L}}\p{{N}}_])') THEN '{s}'" for p, s in P.CLAIM_STATUS)
