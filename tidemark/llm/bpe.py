@@ -194,7 +194,7 @@ def word_counts(docs: DataFrame, vocabulary: str, text_col: str = "text") -> Dat
 
 
 def build_lexicon(
-    docs: DataFrame, *, text_col: str = "text", vocabulary: str | None = None, max_words: int = 50_000, path: str | None = None
+    docs: DataFrame, *, text_col: str = "text", vocabulary: str | None = None, max_words: int = 200_000, path: str | None = None
 ) -> str:
     """Path of the compiled lexicon of the most frequent words of all texts, at most `max_words`.
 

@@ -16,8 +16,9 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.llm.graph import connected_components
 from tidemark.session import cut, measured_broadcast
@@ -100,6 +101,19 @@ def spherical_kmeans(sample: np.ndarray, k: int, rounds: int = 8, seed: int = 7)
     return centres
 
 
+def _number() -> Column:
+    return F.when(F.col("vec_id").isNotNull(), F.xxhash64("vec_id"))
+
+
+def _named(vectors: DataFrame, found: DataFrame) -> DataFrame:
+    """`found` for the numbers of ids, with the ids themselves; a component is its smallest id."""
+    names = vectors.filter("vec_id is not null").select(_number().alias("number"), F.col("vec_id").alias("name")).distinct()
+    found = cut(found.withColumnRenamed("vec_id", "number").join(cut(names), "number", "left"))
+    first = found.groupBy("component_id").agg(F.min("name").alias("first"))
+    out = found.join(first, "component_id", "left").select(F.col("name").alias("vec_id"), "n_links", F.col("first").alias("component_id"))
+    return out.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)))
+
+
 def near_duplicates(
     vectors: DataFrame,
     *,
@@ -116,9 +130,13 @@ def near_duplicates(
     Links join rows of equal label, not null, with cosine >= threshold in double precision. Rows with unusable vectors
     or null labels link with nothing. Vectors of other lengths never link. `sample_rows` bounds what k-means is fitted
     on and `max_cells` its centroids, which are broadcast; cells beyond `cell_rows` only mean more blocks. Repeated ids
-    are rows of their own. A null id gets no links and is kept. An empty table gives an empty result.
+    are rows of their own. A null id gets no links and is kept. An empty table gives an empty result. Ids may be of any
+    type that sorts; those that are no whole numbers are told by 64-bit hashes meanwhile.
     """
     vectors = vectors.select(F.col(id_col).alias("vec_id"), F.col(vector_col).alias("embedding"), F.col(label_col).alias("label"))
+    if not isinstance(vectors.schema["vec_id"].dataType, T.IntegralType):
+        limits = {"threshold": threshold, "cell_rows": cell_rows, "max_cells": max_cells, "sample_rows": sample_rows}
+        return _named(vectors, near_duplicates(vectors.withColumn("vec_id", _number()), **limits))
     members, reps = distinct_vectors(vectors)
     members = cut(members)
     largest = reps.groupBy("label").count().agg(F.max("count")).first()[0] or 0

@@ -73,11 +73,11 @@ def write_warc(planned: DataFrame, path: str) -> None:
     record = F.concat(
         F.lit(VERSION),
         header("WARC-Type", F.col("record_type")),
-        header("WARC-Record-ID", F.concat(F.lit("<urn:page:"), F.col("page_id").cast("string"), F.lit(">"))),
+        header("WARC-Record-ID", F.concat(F.lit("<urn:page:"), F.url_encode(F.col("page_id").cast("string")), F.lit(">"))),
         header("WARC-Target-URI", _clean(F.col("url"))),
         header("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("payload_digest"))),
         header("WARC-Payload-Length", F.col("payload_bytes")),
-        header("WARC-Refers-To", F.concat(F.lit("<urn:page:"), F.col("refers_to").cast("string"), F.lit(">"))),
+        header("WARC-Refers-To", F.concat(F.lit("<urn:page:"), F.url_encode(F.col("refers_to").cast("string")), F.lit(">"))),
         header("Content-Length", F.octet_length(body)),
         eol, body, F.lit("\r\n\r"),
     )
@@ -178,12 +178,13 @@ def _chains(rows: DataFrame) -> DataFrame:
     return entries.groupBy("file", "split").applyInArrow(kept, "file string, offset bigint")
 
 
-def read_warc(spark: SparkSession, path: str) -> DataFrame:
+def read_warc(spark: SparkSession, path: str, id_type: str = "bigint") -> DataFrame:
     """page_id, url, payload_bytes, payload_digest, record_type, refers_to of each record of the archives under `path`.
 
     Lengths and digests of responses are those of the payload as read; a revisit gives what its header says of the full
     payload. A record whose payload holds version lines is put together from its pieces. Bytes that no chain reaches,
-    and everything behind a damaged header, are not records.
+    and everything behind a damaged header, are not records. Ids come back as `id_type`, null where a record's id is none
+    of that type: give the type of the pages written.
     """
     # Payloads stay behind: only lengths, headers and digests are shuffled.
     slim = _placed(candidates(spark, path).drop("value"))
@@ -208,12 +209,15 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
         found = F.regexp_extract("head", rf"(?:^|\n){name}: {pattern}\r\n", 1)
         return F.when(found != "", found)
 
+    def page(name: str) -> Column:
+        return F.url_decode(field(name, "<urn:page:([^>\r\n]*)>")).try_cast(id_type)
+
     revisit = field("WARC-Type", "([a-z]+)") == "revisit"
     return whole.select(
-        field("WARC-Record-ID", "<urn:page:(-?[0-9]+)>").cast("long").alias("page_id"),
+        page("WARC-Record-ID").alias("page_id"),
         field("WARC-Target-URI", "([^\r\n]*)").alias("url"),
         F.when(revisit, field("WARC-Payload-Length", "([0-9]+)").cast("long")).otherwise(F.col("declared")).alias("payload_bytes"),
         F.when(revisit, field("WARC-Payload-Digest", "sha1:([A-Z2-7]+)")).otherwise(F.col("digest")).alias("payload_digest"),
         field("WARC-Type", "([a-z]+)").alias("record_type"),
-        field("WARC-Refers-To", "<urn:page:(-?[0-9]+)>").cast("long").alias("refers_to"),
+        page("WARC-Refers-To").alias("refers_to"),
     )
