@@ -27,31 +27,48 @@ from tidemark.session import cut, measured_broadcast, scratch_path, table
 MARK = "[SECRET]"
 
 
+def _key() -> Column:
+    """What tells rows apart: rows without an id are no repeats of each other, nor are rows of one id with other texts."""
+    return F.xxhash64("doc_id", "text")
+
+
 def _keyed(docs: DataFrame) -> DataFrame:
-    """`docs` with a row key: rows without an id are told apart, and so are rows of one id with other texts."""
-    return docs.withColumn("_row", F.xxhash64("doc_id", "text"))
+    """row (the key) and text: all that operators need, so no other column of `docs` can clash with theirs."""
+    return docs.select(_key().alias("row"), "text")
+
+
+def _packed(docs: DataFrame) -> DataFrame:
+    """row (the key) and doc, a struct of all columns, whatever their names."""
+    return docs.select(_key().alias("row"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
 
 
 def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
     """Rows of `docs` whose key is not among the doc_id of `gone`, which an operator gave for `_keyed` rows."""
-    gone = cut(gone.select(F.col("doc_id").alias("_row")).distinct())
-    return _keyed(docs).join(measured_broadcast(gone, 1_000_000), "_row", "left_anti").select(docs.columns)
+    gone = cut(gone.select(F.col("doc_id").alias("row")).distinct())
+    return _packed(docs).join(measured_broadcast(gone, 1_000_000), "row", "left_anti").select("doc.*")
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects what the compression-distance classifier scores 0.3 or more."""
+    """Rejects what the compression-distance classifier scores 0.3 or more.
+
+    Null and empty texts get the score of texts without hits and stay; repeated rows are judged alike; an empty table
+    stays empty; other columns pass through, whatever their names. The same holds for the next two stages.
+    """
     model = fit_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
-    return _without(docs, score_toxicity(_keyed(docs), model, id_col="_row").filter("score >= 0.3"))
+    return _without(docs, score_toxicity(_keyed(docs), model, id_col="row").filter("score >= 0.3"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest id of each group, one without an id where no other is; of repeated rows, one."""
-    groups = cut(ngram_components(_keyed(docs), id_col="_row").filter("n_shingles > 0"))
+    """Keeps the document with the smallest id of each group, one without an id where no other is; of repeated rows, one.
+
+    Null and empty texts are in no group and stay, once for each id where rows repeat.
+    """
+    groups = cut(ngram_components(_keyed(docs), id_col="row").filter("n_shingles > 0"))
     several = cut(groups.filter("doc_id <> component_id").select("component_id").distinct())
     members = groups.join(measured_broadcast(several, 1_000_000), "component_id", "left_semi").distinct()
-    ids = _keyed(docs).select("_row", F.col("doc_id").alias("_id"))
-    named = members.join(ids, F.col("doc_id") == F.col("_row")).drop("_row")
-    first = F.min(F.struct(F.col("_id").isNull().alias("none"), "_id", "doc_id"))["doc_id"]
+    ids = docs.select(_key().alias("row"), F.col("doc_id").alias("id"))
+    named = members.join(ids, F.col("doc_id") == F.col("row")).drop("row")
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "doc_id"))["doc_id"]
     keepers = named.groupBy("component_id").agg(first.alias("keeper"))
     gone = members.join(keepers, "component_id").filter("doc_id <> keeper")
     again = groups.groupBy("doc_id").count().filter("count > 1").limit(1).count()
@@ -60,8 +77,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects documents that the benchmark contaminates."""
-    report = contamination_report(decontaminate(_keyed(docs), table(spark, sf_dir, "benchmark"), id_col="_row"))
+    """Rejects documents that the benchmark contaminates. Null and empty texts hold no words and stay."""
+    report = contamination_report(decontaminate(_keyed(docs), table(spark, sf_dir, "benchmark"), id_col="row"))
     return _without(docs, report.filter("contaminated"))
 
 
@@ -83,19 +100,26 @@ def masked(text: Column, found: Column) -> Column:
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Masks secrets in place; n_chars follows the text."""
-    rows = docs.withColumn("_row", F.xxhash64("doc_id", "text"))
-    found = scan_secrets(rows, id_col="_row").filter(F.size("found") > 0).dropDuplicates(["doc_id"])
-    found = cut(found.select(F.col("doc_id").alias("_row"), "found"))
-    joined = rows.join(measured_broadcast(found, 1_000_000), "_row", "left")
-    text = masked(F.col("text"), F.col("found"))
-    hit = F.col("found").isNotNull()
-    out = joined.withColumn("n_chars", F.when(hit, F.length(text).cast("long")).otherwise(F.col("n_chars")))
-    return out.withColumn("text", F.when(hit, text).otherwise(F.col("text"))).select(docs.columns)
+    """Masks secrets in place; n_chars follows the text.
+
+    Texts without secrets, null and empty ones among them, stay as they are; repeated rows are masked alike; an empty
+    table stays empty; other columns pass through, whatever their names.
+    """
+    found = scan_secrets(_keyed(docs), id_col="row").filter(F.size("found") > 0).dropDuplicates(["doc_id"])
+    found = cut(found.select(F.col("doc_id").alias("row"), "found"))
+    joined = _packed(docs).join(measured_broadcast(found, 1_000_000), "row", "left")
+    text, hit = masked(F.col("doc")["text"], F.col("found")), F.col("found").isNotNull()
+    shown = joined.select("doc", hit.alias("hit"), F.when(hit, text).otherwise(F.col("doc")["text"]).alias("shown"))
+    new = {"text": F.col("shown"), "n_chars": F.when(F.col("hit"), F.length("shown").cast("long")).otherwise(F.col("doc")["n_chars"])}
+    return shown.select(*[new.get(c, F.col("doc")[c]).alias(c) for c in docs.columns])
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """What the mix takes of each document; sources weigh 1, 2, 3, repeating."""
+    """What the mix takes of each document; sources weigh 1, 2, 3, repeating.
+
+    Null and empty texts have size 0 and nothing is taken of them; a null source is a source of its own; repeated rows
+    count each time; an empty table gives an empty mix.
+    """
     return mix_sources(docs).select("doc_id", "source", "size", "source_size", "target", "taken")
 
 
