@@ -13,7 +13,8 @@ from tidemark.functions.match import bind
 # Suffixes, legal forms and trailing words that an organisation key drops.
 TLDS = ("fr", "com", "net", "org", "eu", "io", "app")
 LEGAL_FORMS = ("sas", "sarl", "sa", "eurl")
-STOPWORDS = ("de", "du", "des", "la", "le", "les", "et", "d", "l", "of", "the", "and")
+INCIDENT_SUFFIXES = ("pirate", "piratee", "pirates", "piratees", "revendique", "revendiquee")
+STOPWORDS = ("de", "du", "des", "la", "le", "les", "d", "l", "a", "au", "aux", "pour", "en", "et")
 
 
 def _folding() -> tuple[str, str]:
@@ -79,20 +80,20 @@ def any_of(conditions: list[Column]) -> Column:
     return reduce(lambda a, b: a | b, conditions) if conditions else F.lit(False)
 
 
-def base_key(c: Column, trailing: tuple[str, ...] = ()) -> Column:
-    """T-05: an organisation's key: no accents, site suffix, punctuation, legal form or trailing incident word."""
-    plain = F.lower(strip_accents(F.coalesce(c, F.lit(""))))
-    plain = F.regexp_replace(F.trim(plain), r"\.(" + "|".join(TLDS) + ")$", "")
-    words = F.split(collapse(F.regexp_replace(plain, r"[^a-z0-9]+", " ")), " ")
+def base_key(c: Column, trailing: tuple[str, ...] = INCIDENT_SUFFIXES) -> Column:
+    """T-05: an organisation's key: no accents, site suffix, punctuation, legal form or trailing incident words; a number
+    joins the word before it. Letters of any script stay, as does the underscore."""
+    plain = F.regexp_replace(F.lower(F.trim(strip_accents(F.coalesce(c, F.lit(""))))), r"\.(" + "|".join(TLDS) + ")$", "")
+    words = F.split(F.trim(F.regexp_replace(plain, r"(?U)\W+", " ")), " ")
     key = F.array_join(F.filter(words, lambda w: ~w.isin(*LEGAL_FORMS)), " ")
     if trailing:
-        key = F.regexp_replace(key, r"(\s(" + "|".join(trailing) + "))+$", "")
-    return F.regexp_replace(key, r"\b([a-z]+) ([0-9]+)\b", "$1$2")
+        key = F.regexp_replace(key, "(?:(?:^| )(?:" + "|".join(trailing) + "))+$", "")
+    return F.regexp_replace(key, r"(?<=[a-z]) (?=[0-9])", "")
 
 
 def acronym(c: Column) -> Column:
-    """T-07: initials of the words that are no stop words, in upper case."""
-    words = F.filter(F.split(searchable(c), " "), lambda w: (w != "") & ~w.isin(*STOPWORDS))
+    """T-07: initials of the words of an organisation's key that are no stop words, in upper case."""
+    words = F.filter(F.split(base_key(c), " "), lambda w: (w != "") & ~w.isin(*STOPWORDS))
     return F.upper(F.array_join(F.transform(words, lambda w: F.substring(w, 1, 1)), ""))
 
 
@@ -109,11 +110,16 @@ def leading_marker(c: Column) -> Column:
 
 
 def cut_at(c: Column, markers: list[str]) -> Column:
-    """T-10: text before the earliest marker that does not open it."""
-    at = [F.nullif(F.locate(m, c), F.lit(0)) for m in markers]
-    places = F.array_compact(F.array(*[F.when(p > 1, p) for p in at]))
-    first = F.array_min(places)
-    return F.trim(F.when(F.size(places) > 0, F.substring(c, F.lit(1), first - 1)).otherwise(c))
+    """T-10: text before the earliest marker that does not open it, without separators at either end.
+
+    Markers are looked for in the searchable form (T-02), whose places are taken for those of the text.
+    """
+
+    def found(blob: Column) -> Column:
+        at = F.filter(F.array(*[F.locate(m, blob) for m in markers]), lambda p: p > 1)
+        return F.when(F.size(at) > 0, F.btrim(F.substring(c, F.lit(1), F.array_min(at) - 1), F.lit(" -\u2013\u2014\u2022,;\t"))).otherwise(c)
+
+    return bind(searchable(c), found)
 
 
 def split_list(c: Column) -> Column:

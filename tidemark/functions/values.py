@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tidemark.functions.text import strip_accents
+from tidemark.functions.text import searchable, strip_accents
 
-# Month names, French and English, without accents.
+# Month names, French and English, without accents, and English abbreviations.
 MONTHS = {
     "janvier": 1, "fevrier": 2, "mars": 3, "avril": 4, "mai": 5, "juin": 6, "juillet": 7, "aout": 8, "septembre": 9,
     "octobre": 10, "novembre": 11, "decembre": 12, "january": 1, "february": 2, "march": 3, "april": 4, "may": 5,
     "june": 6, "july": 7, "august": 8, "september": 9, "october": 10, "november": 11, "december": 12,
+    "jan": 1, "feb": 2, "mar": 3, "apr": 4, "jun": 6, "jul": 7, "aug": 8, "sep": 9, "sept": 9, "oct": 10, "nov": 11, "dec": 12,
 }
 
 
@@ -33,16 +34,17 @@ def parse_date(c: Column) -> Column:
         return F.nullif(F.regexp_extract(plain, pattern, g), F.lit(""))
 
     iso = r"^(\d{4})-(\d{2})-(\d{2})([t ].*)?$"
-    ymd, dmy, dots = r"\b(\d{4})-(\d{1,2})-(\d{1,2})\b", r"\b(\d{1,2})/(\d{1,2})/(\d{4})\b", r"\b(\d{1,2})\.(\d{1,2})\.(\d{4})\b"
-    named = r"\b(\d{1,2})(?:er|st|nd|rd|th)?\s+([a-z]+)\.?,?\s+(\d{4})\b"
-    word = part(named, 2)
-    month = F.lit(None).cast("int")
-    for name, number in MONTHS.items():
-        month = F.when((word == name) | (word == name[:3]), number).otherwise(month)
+    ymd, dmy, dots = r"\b(\d{4})-(\d{2})-(\d{2})\b", r"\b(\d{2})/(\d{2})/(\d{4})\b", r"\b(\d{2})\.(\d{2})\.(\d{4})\b"
+    named = r"\b(\d{1,2})\s+([a-z]+)\s+(\d{4})\b"
+    blob = searchable(c)
+    day, word, year = (F.nullif(F.regexp_extract(blob, named, g), F.lit("")) for g in (1, 2, 3))
+    month = F.when(F.lit(False), F.lit(None).cast("int"))
+    for number in sorted(set(MONTHS.values())):
+        month = month.when(word.isin(*[name for name, n in MONTHS.items() if n == number]), number)
     return F.coalesce(
         _made(part(iso, 1), part(iso, 2), part(iso, 3)), _made(part(ymd, 1), part(ymd, 2), part(ymd, 3)),
         _made(part(dmy, 3), part(dmy, 2), part(dmy, 1)), _made(part(dots, 3), part(dots, 2), part(dots, 1)),
-        _made(part(named, 3), month, part(named, 1)),
+        _made(year, month, day),
     )
 
 
@@ -98,7 +100,7 @@ def digits_only(c: Column) -> Column:
 def item_id(source: Column, native: Column, date: Column, key: Column, url: Column) -> Column:
     """C-14: ITM- and 16 hex digits of the native id's hash, else of the natural key's."""
     has = F.coalesce(native, F.lit("")) != ""
-    payload = F.when(has, F.concat_ws("|", source, F.lit("SOURCE_ITEM"), native)).otherwise(
+    payload = F.when(has, F.concat_ws("|", F.coalesce(source, F.lit("")), F.lit("SOURCE_ITEM"), native)).otherwise(
         F.concat_ws("|", *[F.coalesce(x, F.lit("")) for x in (source, date, key, url)])
     )
     return F.concat(F.lit("ITM-"), F.substring(F.sha2(payload, 256), 1, 16))
@@ -106,7 +108,7 @@ def item_id(source: Column, native: Column, date: Column, key: Column, url: Colu
 
 def incident_id(key: Column, anchor: Column) -> Column:
     """C-14: INC- and 12 upper-case hex digits."""
-    return F.concat(F.lit("INC-"), F.upper(F.substring(F.sha2(F.concat_ws("|", key, anchor), 256), 1, 12)))
+    return F.concat(F.lit("INC-"), F.upper(F.substring(F.sha2(F.concat_ws("|", F.coalesce(key, F.lit("")), F.coalesce(anchor, F.lit(""))), 256), 1, 12)))
 
 
 def content_hash(source: Column, version: Column, text: Column) -> Column:
@@ -128,8 +130,8 @@ def coverage(done: Column, expected: Column) -> Column:
 
 
 def freshness_score(days: Column) -> Column:
-    """C-18."""
-    return F.when(days <= 2, 100.0).when(days <= 7, 80.0).when(days <= 30, 50.0).otherwise(20.0)
+    """C-18; 0 where no day is known."""
+    return F.when(days.isNull(), 0.0).when(days <= 2, 100.0).when(days <= 7, 80.0).when(days <= 30, 50.0).otherwise(20.0)
 
 
 def efficiency_score(per_call: Column) -> Column:

@@ -42,8 +42,8 @@ def _t04(d: DataFrame) -> DataFrame:
 @query(
     "T05_base_key",
     r"""SELECT c_custkey, regexp_replace(array_to_string(list_filter(string_split(trim(regexp_replace(regexp_replace(
-        lower(strip_accents(c_name)), '\.(fr|com|net|org|eu|io|app)$', ''), '[^a-z0-9]+', ' ', 'g')), ' '),
-        lambda w: w NOT IN ('sas', 'sarl', 'sa', 'eurl')), ' '), '\b([a-z]+) ([0-9]+)\b', '\1\2', 'g') AS key FROM customer""",
+        lower(strip_accents(c_name)), '\.(fr|com|net|org|eu|io|app)$', ''), '[^\p{L}\p{N}_]+', ' ', 'g')), ' '),
+        lambda w: w NOT IN ('sas', 'sarl', 'sa', 'eurl')), ' '), '([a-z]) ([0-9])', '\1\2', 'g') AS key FROM customer""",
     "customer",
 )
 def _t05(c: DataFrame) -> DataFrame:
@@ -54,7 +54,7 @@ def _t05(c: DataFrame) -> DataFrame:
     "T07_acronym",
     r"""SELECT p_partkey, upper(array_to_string(list_transform(list_filter(string_split(trim(regexp_replace(
         lower(p_name), '[^a-z0-9_]+', ' ', 'g')), ' '), lambda w: w <> '' AND w NOT IN
-        ('de','du','des','la','le','les','et','d','l','of','the','and')), lambda w: w[1]), '')) AS acronym FROM part""",
+        ('de','du','des','la','le','les','d','l','a','au','aux','pour','en','et','sas','sarl','sa','eurl')), lambda w: w[1]), '')) AS acronym FROM part""",
     "part",
 )
 def _t07(p: DataFrame) -> DataFrame:
@@ -83,9 +83,10 @@ def _t09(d: DataFrame) -> DataFrame:
 
 @query(
     "T10_cut_at",
-    """WITH p AS (SELECT doc_id, text, list_min(list_filter([strpos(text, ' of '), strpos(text, ' the '), strpos(text, ' der '),
-        strpos(text, ' de ')], lambda x: x > 1)) AS pos FROM documents)
-        SELECT doc_id, md5(trim(CASE WHEN pos IS NULL THEN text ELSE substr(text, 1, pos - 1) END, ' ')) AS digest FROM p""",
+    r"""WITH s AS (SELECT doc_id, text, trim(regexp_replace(lower(strip_accents(coalesce(text, ''))), '[^\p{L}\p{N}_]+', ' ', 'g')) AS s FROM documents),
+        p AS (SELECT doc_id, text, list_min(list_filter([strpos(s, ' of '), strpos(s, ' the '), strpos(s, ' der '), strpos(s, ' de ')],
+          lambda x: x > 1)) AS pos FROM s)
+        SELECT doc_id, md5(CASE WHEN pos IS NULL THEN text ELSE trim(substr(text, 1, pos - 1), ' -–—•,;' || chr(9)) END) AS digest FROM p""",
     "documents",
 )
 def _t10(d: DataFrame) -> DataFrame:
