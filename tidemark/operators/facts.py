@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.functions.text import norm_key
+
 
 def known(value: Column, sentinels: tuple[str, ...]) -> Column:
     """Whether a value says something: not null, not blank, no sentinel."""
@@ -216,3 +218,162 @@ def changed_counts(before: DataFrame, after: DataFrame, key: str, parts: list[st
     return both.agg(
         F.count_if(b.isNull()).alias("added"), F.count_if(a.isNull()).alias("removed"), F.count_if(a != b).alias("modified"), F.count_if(a == b).alias("unchanged")
     )
+
+
+def counted(facts: DataFrame, key: str, records: str = "records", rank: Column | None = None) -> DataFrame:
+    """N-06: the counts that the facts of a key give: one row per (key, unit, semantic), that of its first record.
+
+    `facts` has key, source, item, `records` (array<struct<value, raw, unit, kind, scope, status>>, values as text) and a
+    legacy count: affected_count, affected_raw, affected_unit, claim_status. `rank` orders sources (none: all alike), then
+    their names, items and places in the array. Facts read in that order, records before the legacy count:
+
+    * A record belongs to its unit (blank: unknown) and semantic (`unique` or `total` where kind or scope tell so, else the
+      kind, the scope, or unspecified). The first one stands; later ones of the same value add their source to it.
+    * A legacy count adds its source to the earliest standing count of its unit with its value. Without one it takes
+      the unit's semantic if records of the key, later ones too, know just one; else it is unspecified.
+
+    Records without a value and legacy counts without a value or unit give nothing. Returns key, unit, semantic, value, raw,
+    status, source, sources (array, in order of sources), place (struct to order a key's counts by).
+
+    Nothing is gathered by key: equal records are one before any shuffle, and lists hold sources.
+    """
+    place = F.struct((F.lit(0) if rank is None else rank).alias("r"), F.coalesce("source", F.lit("")).alias("s"), F.coalesce(F.col("item").cast("string"), F.lit("")).alias("i"))
+    base = facts.select(F.col(key), place.alias("_p"), F.trim(F.coalesce("source", F.lit(""))).alias("source"), records, "affected_count", "affected_raw", "affected_unit", "claim_status")
+    own = base.select(key, "_p", "source", F.posexplode(records).alias("n", "x")).filter("x.value IS NOT NULL")
+    stated = own.select(
+        key, F.struct("_p", "n").alias("place"), "source", F.lit(False).alias("legacy"), F.col("x.value").cast("string").alias("value"),
+        F.trim(F.coalesce("x.raw", F.lit(""))).alias("raw"), _or(norm_key(F.col("x.unit")), "unknown").alias("unit"),
+        _semantic(F.col("x.kind"), F.col("x.scope")).alias("semantic"), _status(F.col("x.status")).alias("status"),
+    )
+    unit = norm_key(F.col("affected_unit"))
+    legacy = base.filter(F.col("affected_count").isNotNull() & ~unit.isin("", "unknown")).select(
+        key, F.struct("_p", F.lit(2**31 - 1).alias("n")).alias("place"), "source", F.lit(True).alias("legacy"), F.col("affected_count").cast("string").alias("value"),
+        F.trim(F.coalesce("affected_raw", F.lit(""))).alias("raw"), unit.alias("unit"), F.lit(None).cast("string").alias("semantic"), _status(F.col("claim_status")).alias("status"),
+    )
+    # Equal records of a source: the first one can stand, the last one can meet a count that stands by then.
+    same = [key, "unit", "semantic", "legacy", "value", "source"]
+    rows = stated.unionByName(legacy).groupBy(*same).agg(F.min(F.struct("place", "raw", "status")).alias("first"), F.max("place").alias("last"))
+
+    known_ = rows.filter("NOT legacy").groupBy(key, "unit").agg(F.min("semantic").alias("lo"), F.max("semantic").alias("hi"))
+    rows = rows.join(known_, [key, "unit"], "left")
+    only = F.when(F.col("lo") == F.col("hi"), F.col("lo"))
+    rows = rows.withColumn("home", F.when(F.col("legacy"), F.coalesce(only, F.lit("unspecified"))).otherwise(F.col("semantic")))
+
+    # What records alone make stand, and where a value first stands among it: earlier legacy counts cannot meet that.
+    first = F.struct(F.col("first.place").alias("place"), "value", "source", F.col("first.raw").alias("raw"), F.col("first.status").alias("status"))
+    stands = rows.filter("NOT legacy").groupBy(key, "unit", "semantic").agg(F.min(first).alias("e"))
+    earliest = stands.groupBy(key, "unit", F.col("e.value").alias("value")).agg(F.min("e.place").alias("met"))
+    rows = rows.join(earliest, [key, "unit", "value"], "left")
+    # A legacy count that meets nothing when it is first read opens its own count, unless one stands there.
+    opens = rows.filter("NOT legacy OR met IS NULL OR met > first.place")
+    entries = opens.groupBy(key, "unit", F.col("home").alias("semantic")).agg(F.min(first).alias("e")).select(key, "unit", "semantic", "e.*")
+
+    target = entries.groupBy(key, "unit", "value").agg(F.min("place").alias("met"))
+    adds = rows.drop("met").join(target, [key, "unit", "value"], "left")
+    mark = [key, "unit", "value", "place"]
+    # A record agrees with the count of its own semantic, a legacy one with the earliest that stands by then.
+    by_record = adds.filter("NOT legacy").select(key, "unit", F.col("home").alias("semantic"), "value", "source", F.col("first.place").alias("p"))
+    by_legacy = adds.filter("legacy AND met <= last").select(key, "unit", "value", F.col("met").alias("place"), "source", F.col("last").alias("p"))
+    told = by_record.join(entries.select(key, "unit", "semantic", "value", "place"), [key, "unit", "semantic", "value"]).select(*mark, "source", "p")
+    every = told.unionByName(by_legacy.select(*mark, "source", "p")).filter("source <> ''")
+    ranked = F.struct(F.col("p._p.r").alias("r"), "source")
+    sources = every.groupBy(*mark).agg(F.array_sort(F.collect_set(ranked)).alias("l"))
+    named = entries.join(sources, mark, "left").withColumn("sources", F.coalesce(F.transform("l", lambda x: x["source"]), F.array().cast("array<string>")))
+    return named.select(key, "unit", "semantic", "value", "raw", "status", "source", "sources", "place")
+
+
+# States of a claim as they are shown, units, and the order in which units and semantics tell of an incident.
+STATUSES = {
+    "confirmed": "confirmé", "reported": "rapporté", "claimed": "revendiqué", "unknown": "documenté", "unconfirmed": "non confirmé", "denied": "démenti",
+}
+UNITS = {
+    "people": "personnes", "accounts": "comptes", "users": "utilisateurs", "clients": "clients", "records": "enregistrements", "files": "fichiers",
+}
+UNIT_ORDER = ("people", "clients", "users", "accounts", "records", "files")
+CLAIM_ORDER = {"confirmed": 6, "reported": 5, "claimed": 4, "hypothesis": 3, "denied": 2, "negated": 2, "unknown": 1}
+SUBSTANTIAL = 40
+
+
+def _or(text: Column, otherwise: str) -> Column:
+    return F.coalesce(F.nullif(text, F.lit("")), F.lit(otherwise))
+
+
+def _semantic(kind: Column, scope: Column) -> Column:
+    k, s = norm_key(kind), norm_key(scope)
+    both = F.concat_ws(" ", k, s)
+    named = F.when(both.rlike("unique|dedupli"), "unique").when(both.rlike("total|ensemble|all"), "total")
+    return F.coalesce(named, F.nullif(k, F.lit("")), _or(s, "unspecified"))
+
+
+def _status(status: Column) -> Column:
+    return F.when(norm_key(status).isin(*STATUSES), norm_key(status)).otherwise("unknown")
+
+
+def _labelled(value: Column, labels: dict[str, str], otherwise: Column) -> Column:
+    out = F.when(F.lit(False), F.lit(None).cast("string"))
+    for k, label in labels.items():
+        out = out.when(value == k, label)
+    return out.otherwise(otherwise)
+
+
+def shown_count(count: Column) -> Column:
+    """N-08: a count as text: its raw wording, else the number with spaces and its unit."""
+    number = F.coalesce(F.translate(F.format_number(count["value"].try_cast("bigint"), 0), ",", " "), F.trim(count["value"]))
+    unit = _labelled(F.lower(count["unit"]), UNITS, count["unit"])
+    unit = F.when((count["semantic"] == "unique") & (unit == UNITS["records"]), F.concat(unit, F.lit(" uniques"))).otherwise(unit)
+    plain = F.trim(F.concat_ws(" ", F.nullif(number, F.lit("")), F.nullif(unit, F.lit(""))))
+    return F.coalesce(F.nullif(F.trim(count["raw"]), F.lit("")), plain)
+
+
+def foremost_count(counts: DataFrame, key: str) -> DataFrame:
+    """N-08: per key the count that tells most, as struct `count`: by unit, then unique, total, others, source and place."""
+    unit = F.coalesce(*[F.when(F.lower("unit") == u, i) for i, u in enumerate(UNIT_ORDER)], F.lit(9))
+    semantic = F.when(F.col("semantic") == "unique", 0).when(F.col("semantic") == "total", 1).otherwise(2)
+    told = F.struct("unit", "semantic", "value", "raw", "status", "source", "sources")
+    return counts.groupBy(key).agg(F.min_by(told, F.struct(unit, semantic, F.col("place._p.r"), "place")).alias("count"))
+
+
+def display_summary(impact: Column, count: Column, kinds: Column, fallback: Column) -> Column:
+    """N-08: impact, the foremost count and up to five kinds of data as sentences.
+
+    The fallback where there is none of them, and where it has over 40 characters and no impact is known.
+    """
+    said = F.trim(F.coalesce(impact, F.lit("")))
+    first = F.when(said != "", F.when(said.rlike(r"[.!?]$"), said).otherwise(F.concat(said, F.lit("."))))
+    value = shown_count(count)
+    state = _labelled(count["status"], STATUSES, F.lit(STATUSES["unknown"]))
+    second = F.when(value != "", F.concat(F.upper(F.substring(value, 1, 1)), F.substr(value, F.lit(2)), F.lit(" ("), state, F.lit(").")))
+    listed = F.filter(kinds, lambda k: k.isNotNull() & (k != ""))
+    more = F.when(F.size(listed) > 5, "…").otherwise("")
+    third = F.when(F.size(listed) > 0, F.concat(F.lit("Données exposées : "), F.array_join(F.slice(listed, 1, 5), ", "), more, F.lit(".")))
+    whole = F.concat_ws(" ", first, second, third)
+    kept = F.trim(F.coalesce(fallback, F.lit("")))
+    return F.when((whole == "") | ((said == "") & (F.length(kept) > SUBSTANTIAL)), kept).otherwise(whole)
+
+
+def primary_claim(claims: DataFrame, key: str, kind: str) -> DataFrame:
+    """N-12: per key the claim of a type that stands: by status, then date, then evidence (missing first).
+
+    `claims` has key, type, status, value, date, evidence.
+    """
+    rows = claims.filter(F.col("type") == kind).withColumn("status", _claim_status(F.col("status")))
+    order = F.struct(-_weight(F.col("status")), F.coalesce("date", F.lit("")), F.coalesce("evidence", F.lit("")), F.coalesce("value", F.lit("")))
+    return rows.groupBy(key).agg(F.min_by(F.struct("status", "value", "date", "evidence"), order).alias("c")).select(key, "c.*")
+
+
+def claim_history(claims: DataFrame, key: str) -> DataFrame:
+    """N-12: a key's claims, equal ones once, with their place in time: by date (none: last), status and evidence."""
+    text = {c: F.coalesce(F.col(c), F.lit("")) for c in ("value", "date")}
+    evidence = F.trim(F.regexp_replace(F.coalesce("evidence", F.lit("")), r"\s+", " "))
+    rows = claims.select(key, "type", _claim_status(F.col("status")).alias("status"), *[v.alias(c) for c, v in text.items()], evidence.alias("evidence")).distinct()
+    order = [_or(F.col("date"), "9999-99-99"), -_weight(F.col("status")), F.col("evidence"), F.col("type"), F.col("value")]
+    return rows.withColumn("place", F.row_number().over(Window.partitionBy(key).orderBy(*order)).cast("long"))
+
+
+def _claim_status(status: Column) -> Column:
+    plain = F.lower(F.trim(F.coalesce(status, F.lit(""))))
+    return F.when(plain.isin(*CLAIM_ORDER), plain).otherwise("unknown")
+
+
+def _weight(status: Column) -> Column:
+    return F.coalesce(*[F.when(status == s, w) for s, w in CLAIM_ORDER.items()])

@@ -87,3 +87,67 @@ def upsert(existing: DataFrame, incoming: DataFrame, key: str, first_seen: str)
 def replace_sources(existing: DataFrame, incoming: DataFrame, source: str) -> DataFrame:
     """J-22: rows of sources that are read anew go, then the new ones come."""
     return existing.join(incoming.select(source).distinct(), source, "left_anti").unionByName(incoming)
+
+
+def _looked_up(source: Column, native: Column, url: Column, item: Column) -> Column:
+    """By what a row is found: native id of a source, else url of a source, else its own id; null for none of them."""
+
+    def by(stage: str, within: Column, value: Column) -> Column:
+        return F.struct(F.lit(stage).alias("stage"), within.alias("within"), value.alias("value"))
+
+    found = F.when((source != "") & (native != ""), by("native", source, native)).when((source != "") & (url != ""), by("url", source, url))
+    return found.when(item != "", by("id", F.lit(""), item))
+
+
+def _placed(items: DataFrame) -> DataFrame:
+    """Items as they can be found: look, url, date, organisation, item; one row for each way."""
+    blank = F.lit("")
+    fields = {c: F.coalesce(F.col(c).cast("string"), blank) for c in ("source", "native", "url", "date", "organisation", "item")}
+    s, n, u, i = (F.col(c) for c in ("source", "native", "url", "item"))
+    ways = F.array_compact(F.array(F.when(n != "", _looked_up(s, n, blank, blank)), _looked_up(s, blank, u, blank), _looked_up(blank, blank, blank, i)))
+    return items.select(*[v.alias(c) for c, v in fields.items()]).select(F.explode(ways).alias("look"), "url", "date", "organisation", "item")
+
+
+def _asked(refs: DataFrame) -> DataFrame:
+    fields = ("source", "native", "url", "date", "organisation", "item")
+    clean = refs.select("ref", *[F.trim(F.coalesce(F.col(c).cast("string"), F.lit(""))).alias(c) for c in fields])
+    look = _looked_up(F.col("source"), F.col("native"), F.col("url"), F.col("item"))
+    return clean.select("ref", look.alias("look"), F.col("url").alias("_url"), F.col("date").alias("_date"), F.col("organisation").alias("_organisation"))
+
+
+def _agreement() -> Column:
+    """How much of what a reference tells an item bears out: url before day before name. By an id nothing narrows."""
+    stage = F.col("look.stage")
+    url = (stage == "native") & (F.col("_url") != "") & (F.col("_url") == F.col("url"))
+    day, name = ((stage != "id") & (F.col(f"_{c}") != "") & (F.col(f"_{c}") == F.col(c)) for c in ("date", "organisation"))
+    return url.cast("int") * 4 + day.cast("int") * 2 + name.cast("int")
+
+
+def resolved_sides(refs: DataFrame, items: DataFrame) -> DataFrame:
+    """J-09: ref, status, item, candidates: the one item that a stable reference means.
+
+    Both have source, native, url, date, organisation, item; `refs` also ref, which is unique. A reference is looked up by
+    source and native id if it has them, else by source and url, else by item id, with no way back from a failed look. Of
+    several items found, those that agree in url stay if there are any, then those of the day, then those of the name: which
+    are the items of greatest agreement in this order. RESOLVED with one left, AMBIGUOUS with more (`candidates` of
+    them, see `ambiguous_items`), LEGACY for a single item by its id, else MISSING. Nulls are blank; blank fields do not narrow.
+
+    Items that agree in all that is compared are one row before the join, so copies of one url do not multiply.
+    """
+    alike = _placed(items).groupBy("look", "url", "date", "organisation").agg(F.count(F.lit(1)).alias("n"), F.min("item").alias("item"))
+    asked = _asked(refs)
+    found = asked.join(alike, "look").withColumn("agreement", _agreement())
+    best = found.groupBy("ref", "agreement").agg(F.sum("n").alias("n"), F.min("item").alias("item"))
+    best = best.groupBy("ref").agg(F.max_by(F.struct("n", "item"), "agreement").alias("b")).select("ref", "b.*")
+    rows = asked.select("ref", "look").join(best, "ref", "left")
+    by_id, n = F.coalesce(F.col("look.stage") == "id", F.lit(False)), F.coalesce("n", F.lit(0)).cast("long")
+    status = F.when(n == 1, F.when(by_id, "LEGACY").otherwise("RESOLVED")).when((n > 1) & ~by_id, "AMBIGUOUS").otherwise("MISSING")
+    return rows.select("ref", status.alias("status"), F.when(n == 1, F.col("item")).alias("item"), F.when(by_id & (n != 1), 0).otherwise(n).alias("candidates"))
+
+
+def ambiguous_items(refs: DataFrame, items: DataFrame) -> DataFrame:
+    """J-09: ref, item: the items between which an ambiguous reference cannot choose."""
+    unsure = resolved_sides(refs, items).filter("status = 'AMBIGUOUS'").select("ref")
+    found = _asked(refs).join(unsure, "ref").join(_placed(items), "look").withColumn("agreement", _agreement())
+    top = found.groupBy("ref").agg(F.max("agreement").alias("agreement"))
+    return found.join(top, ["ref", "agreement"]).select("ref", "item")
