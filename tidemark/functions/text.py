@@ -97,11 +97,17 @@ def acronym(c: Column) -> Column:
     return F.upper(F.array_join(F.transform(words, lambda w: F.substring(w, 1, 1)), ""))
 
 
+#: Signs that decorate a name wherever they stand, and those that go at its ends.
+DECORATION = r"[\xA0\u200B\u2022\u25A0-\u27BF\uFE0F\x{1F000}-\x{1FAFF}]"
+NAME_ENDS = " -\u2013\u2014\u2022\t"
+
+
 def clean_name(c: Column) -> Column:
-    """T-08: a name without www., leading decoration or trailing brackets."""
-    out = F.regexp_replace(F.coalesce(c, F.lit("")), r"^[^\p{L}\p{N}(\[]+", "")
-    out = F.regexp_replace(out, r"^(?i)www\.", "")
-    return collapse(F.regexp_replace(out, r"(\s*[\(\[][^\)\]]*[\)\]]\s*)+$", ""))
+    """T-08: a name without decoration, brackets at its end or www.; white space collapsed. Null is empty."""
+    plain = F.regexp_replace(F.coalesce(c, F.lit("")), DECORATION, " ")
+    out = F.btrim(F.regexp_replace(plain, r"(?U)\s+", " "), F.lit(NAME_ENDS))
+    out = F.trim(F.regexp_replace(out, r"(\s*[\(\[][^\)\]]*[\)\]]\s*)+$", ""))
+    return F.btrim(F.regexp_replace(out, r"^(?i)www\.", ""), F.lit(NAME_ENDS))
 
 
 def leading_marker(c: Column) -> Column:

@@ -123,3 +123,18 @@ def audit_pairs(rows: DataFrame, rules: MergeRules, companies: DataFrame | None
     missed = open_.groupBy("left_id", "right_id", "days_apart", "pairs").agg(best.alias("best"))
     missed = missed.select(F.lit(MISSED).alias("risk"), "best.reason", "left_id", "right_id", "days_apart", "best.company", "pairs")
     return missed.unionByName(false.filter("pairs > 0"))
+
+
+def review_priority(risk: Column, reason: Column, days_apart: Column) -> Column:
+    """O-05: 100 for a merge of a claim with its report, 90 to 99 for other false merges by how far apart they are, 70 for one
+    company's pairs, 50 to 59 for other missed ones."""
+    far = F.least(days_apart, F.lit(9))
+    claimed = (reason == "CLAIM_REPORTED") | F.contains(reason, F.lit("RANSOMWARE"))
+    missed = F.when(F.contains(reason, F.lit(COMPANY)), F.lit(70)).otherwise(50 + far)
+    return F.when(risk == FALSE, F.when(claimed, F.lit(100)).otherwise(90 + far)).otherwise(missed).cast("long")
+
+
+def review_queue(pairs: DataFrame) -> DataFrame:
+    """O-05: the pairs of J-13 with their priority, in the order in which they are to be looked at."""
+    rows = pairs.withColumn("priority", review_priority(F.col("risk"), F.col("reason"), F.col("days_apart")))
+    return rows.orderBy(F.desc("priority"), "risk", "left_id", "right_id")

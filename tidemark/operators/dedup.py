@@ -215,22 +215,67 @@ def components(rows: DataFrame, rules: MergeRules = MergeRules()) -> DataFrame:
     return named.select("id", "key", F.when(alone, F.col("id")).otherwise(F.col("component")).alias("component"))
 
 
-def incidents(members: DataFrame) -> DataFrame:
-    """D-05, D-10: per component the key, earliest day and its basis, sources and urls sorted and joined, and counts.
-
-    `members` are `observations` with their component.
+def incidents(
+    members: DataFrame, *, preferred: str | None = None, silent: tuple[str, ...] = (), unknown: tuple[str, str, str] = ("Inconnu", "Inconnu", "Inconnu"),
+    threats: tuple[str, ...] = (),
+) -> DataFrame:
+    """D-05, D-10, D-11: one row per component.
+
+    `members` are `observations` with their component, and, if they have them, name, sector, threat, place, collected.
+
+    * date, basis: the earliest event day, else the earliest publication (D-05). key: the smallest. items, n_sources.
+    * name: the commonest one other than that of the first member (by source, published, key, url, id), the smallest on a tie;
+      that member's where no other is known.
+    * sector, place: the commonest known label among members of the `preferred` source, else among all; a tie goes to the
+      smallest, but to unknown for sectors of all members. `unknown` names the unknown sector, place and threat.
+    * threat: the first of `threats` that a member has.
+    * sources, urls: sorted and joined, of members whose source is not `silent`, or of all where all are.
+    * first_seen, last_seen: of the days of collection; empty for none.
+
+    Labels are counted before they meet, so a component's members never do; what is listed is its sources and urls.
     """
+    have = set(members.columns)
+    rows = members.withColumns({c: F.coalesce(F.col(c).cast("string"), F.lit("")) if c in have else F.lit("") for c in ("name", "sector", "threat", "place", "collected")})
     event = F.min(F.nullif("event", F.lit("")))
     published = F.min(F.nullif("published", F.lit("")))
+    speaks = ~F.col("source").isin(*silent) if silent else F.lit(True)
 
     def joined(c: str) -> Column:
-        return F.array_join(F.array_sort(F.collect_set(F.nullif(F.col(c), F.lit("")))), " | ")
+        told = F.collect_set(F.when(speaks, F.nullif(F.col(c), F.lit(""))))
+        every = F.collect_set(F.nullif(F.col(c), F.lit("")))
+        return F.array_join(F.array_sort(F.when(F.count_if(speaks) > 0, told).otherwise(every)), " | ")
 
-    return members.groupBy("component").agg(
+    order = F.array(*[F.lit(t) for t in threats]) if threats else F.array().cast("array<string>")
+    rank = F.min(F.when(F.array_position(order, F.col("threat")) > 0, F.array_position(order, F.col("threat"))))
+    whole = rows.groupBy("component").agg(
         F.min("key").alias("key"), F.coalesce(event, published, F.lit("")).alias("date"),
         F.when(event.isNotNull(), "EVENT").otherwise("PUBLICATION").alias("basis"), joined("source").alias("sources"),
         joined("url").alias("urls"), F.count(F.lit(1)).alias("items"), F.countDistinct("source").alias("n_sources"),
+        F.min_by("name", F.struct("source", "published", "key", "url", "id")).alias("_first"), F.coalesce(F.get(order, (rank - 1).cast("int")), F.lit(unknown[2])).alias("threat"),
+        F.coalesce(F.min(F.nullif("collected", F.lit(""))), F.lit("")).alias("first_seen"), F.coalesce(F.max(F.nullif("collected", F.lit(""))), F.lit("")).alias("last_seen"),
+    )
+
+    liked = (F.col("source") == preferred) if preferred else F.lit(False)
+    fields = F.inline(F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).alias("label")) for f in ("name", "sector", "place")]))
+    counts = rows.select("component", liked.alias("_liked"), fields).filter("label <> ''").groupBy("component", "field", "label").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if("_liked").alias("liked")
     )
+    counts = counts.filter(~(((F.col("field") == "sector") & (F.col("label") == unknown[0])) | ((F.col("field") == "place") & (F.col("label") == unknown[1]))))
+    counts = counts.join(whole.select("component", "_first"), "component").filter("NOT (field = 'name' AND label = _first)")
+    by_liked, by_all = F.struct(-F.col("liked"), "label"), F.struct(-F.col("n"), "label")
+    chosen = counts.groupBy("component", "field").agg(
+        F.max("liked").alias("liked"), F.min_by("label", by_liked).alias("of_liked"), F.min_by("label", by_all).alias("of_all"),
+        # the same label is first and last among the commonest ones only if it has no equal
+        F.max_by("label", F.struct("n", "label")).alias("last_of_all"),
+    )
+    single = (F.col("field") != "sector") | (F.col("of_all") == F.col("last_of_all"))
+    best = F.when((F.col("field") != "name") & (F.col("liked") > 0), F.col("of_liked")).when(single, F.col("of_all"))
+    told = chosen.groupBy("component").agg(*[F.max(F.when(F.col("field") == f, best)).alias(f) for f in ("name", "sector", "place")])
+    out = whole.join(told, "component", "left")
+    out = out.withColumns({"name": F.coalesce("name", "_first"), "sector": F.coalesce("sector", F.lit(unknown[0])), "place": F.coalesce("place", F.lit(unknown[1]))})
+    return out.select(
+        "component", "key", "date", "basis", "name", "sector", "threat", "place", "sources", "urls", "items", "n_sources", "first_seen", "last_seen"
+    )
 
 
 def priority_label(df: DataFrame, by: str, label: str, order: tuple[str, ...], unknown: str) -> DataFrame:

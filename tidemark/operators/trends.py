@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.values import pct_change, ratio
 from tidemark.operators.aggregate import period_counts
 
 
-def confidence(n: Column, multi: Column, known: Column) -> Column:
-    """P-01: 0 to 100 from volume, the share with several sources and the share that is known."""
-    return F.bround(100 * (0.55 * F.least(F.lit(1.0), n / 12.0) + 0.25 * multi / n + 0.20 * known / n), 0).cast("long")
+def confidence(n: Column, multi: Column, known_ratio: Column) -> Column:
+    """P-01: 0 to 100 from volume, the share with several sources and the share of fields that are known."""
+    shared = ratio(multi, n)
+    return F.bround(100 * (0.55 * F.least(F.lit(1.0), n / 12.0) + 0.25 * shared + 0.20 * known_ratio), 0).cast("long")
 
 
 def base_rate(current: Column, previous: Column) -> Column:
@@ -18,26 +20,43 @@ def base_rate(current: Column, previous: Column) -> Column:
     return F.when((previous >= 10) & (current >= 20), F.bround((current - previous) * 100.0 / previous, 1))
 
 
-def dimension_signals(df: DataFrame, day: str, as_of: Column, days: list[int], label: str, *, least: int = 3, delta: int = 2, change: float = 50.0) -> DataFrame:
-    """P-03: labels with at least `least` rows now, `delta` more than before and `change` percent up."""
-    c = period_counts(df, day, as_of, days, label)
-    grown = F.col("current") - F.col("previous")
-    up = (F.col("previous") == 0) | (grown * 100.0 / F.nullif(F.col("previous"), F.lit(0)) >= change)
-    kind = F.when(F.col("previous") == 0, "emerging").otherwise("acceleration")
-    found = c.filter((F.col("current") >= least) & (grown >= delta) & up)
-    return found.select("days", F.col(label).alias("label"), F.col("current").alias("now"), F.col("previous").alias("before"), kind.alias("kind"))
+def dimension_signals(
+    df: DataFrame, day: str, as_of: Column, days: list[int], label: str, *, multi: Column | None = None, known_fields: Column | None = None, fields: int = 1,
+    unknown: str = "Inconnu", least: int = 3, delta: int = 2, change: float = 50.0, max_share: float = 60.0, excess: float = 25.0,
+) -> DataFrame:
+    """P-03: labels that grow: days, label, kind, now, before, delta, change, share, base_rate, excess, score.
 
-
-def above_base(signals: DataFrame, totals: DataFrame, *, max_share: float = 60.0, excess: float = 25.0) -> DataFrame:
-    """P-03: where a base rate is known, signals of a label that dominates or does not outgrow it go.
-
-    `totals` has days, total (rows now) and base_rate.
+    At least `least` rows now, `delta` more than before, and `change` percent up if there were any before. Where the change
+    of all rows is known (P-02), labels with more than `max_share` percent of them are no signal, nor are those that grow
+    less than `excess` points faster. A label that was not there before has grown by 100 percent. Rows without a label, or
+    of an `unknown` one, count in the totals only. `multi` tells rows of several sources and `known_fields` how many of
+    `fields` are known, for the score (P-01). One pass over the rows gives labels and totals.
     """
-    joined = signals.join(F.broadcast(totals), "days")
-    share = 100.0 * F.col("now") / F.col("total")
-    change = F.when(F.col("before") > 0, (F.col("now") - F.col("before")) * 100.0 / F.col("before"))
-    keep = F.col("base_rate").isNull() | ((share <= max_share) & (change.isNull() | (change - F.col("base_rate") >= excess)))
-    return joined.filter(keep).select(signals.columns)
+    told = F.coalesce(F.trim(F.col(label)), F.lit(""))
+    named = F.when(~told.isin("", unknown), F.col(label))
+    age = F.datediff(as_of, F.col(day))
+    rows = df.select(
+        age.alias("_age"), named.alias("label"), F.coalesce(multi if multi is not None else F.lit(False), F.lit(False)).alias("_multi"),
+        F.coalesce(known_fields if known_fields is not None else F.lit(0), F.lit(0)).alias("_known"),
+    ).filter((F.col("_age") >= 0) & (F.col("_age") < 2 * max(days)))
+    rows = rows.withColumn("days", F.explode(F.array(*[F.lit(d).cast("long") for d in days]))).filter(F.col("_age") < 2 * F.col("days"))
+    in_now = F.col("_age") < F.col("days")
+    counts = rows.groupBy("days", "label").agg(
+        F.count_if(in_now).alias("now"), F.count_if(~in_now).alias("before"), F.count_if(in_now & F.col("_multi")).alias("_multi"),
+        F.sum(F.when(in_now, F.col("_known")).otherwise(0)).alias("_known"),
+    )
+    totals = counts.groupBy("days").agg(F.sum("now").alias("total"), F.sum("before").alias("_past"))
+    # one row for each of the given window lengths
+    c = counts.filter("label IS NOT NULL").join(F.broadcast(totals), "days")
+    now, before, base = F.col("now"), F.col("before"), F.col("base_rate")
+    c = c.withColumns({
+        "delta": now - before, "change": pct_change(now, before), "base_rate": base_rate(F.col("total"), F.col("_past")), "share": ratio(now, F.col("total"), 1, 100.0),
+        "kind": F.when(before == 0, "emerging").otherwise("acceleration"), "score": confidence(now, F.col("_multi"), F.col("_known") / (now * fields)),
+    })
+    c = c.withColumn("excess", F.bround(F.col("change") - base, 1))
+    grown = (now >= least) & (F.col("delta") >= delta) & ((before == 0) | (F.col("change") >= change))
+    apart = base.isNull() | ((F.col("share") <= max_share) & (F.col("excess") >= excess))
+    return c.filter(grown & apart).select("days", "label", "kind", "now", "before", "delta", "change", "share", "base_rate", "excess", "score")
 
 
 def new_pairs(df: DataFrame, day: str, as_of: Column, days: list[int], first: str, second: str, *, least: int = 3) -> DataFrame:

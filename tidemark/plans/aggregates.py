@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.values import pct_change
@@ -246,17 +246,39 @@ def _w02(o: DataFrame) -> DataFrame:
     return rows.withColumn("change", pct_change(F.col("current"), F.col("previous")))
 
 
-@query(
-    "P03_signals",
-    _WINDOWS + """, g AS (SELECT days, threat AS label, count(*) FILTER (age < days) AS now, count(*) FILTER (age >= days) AS before FROM v GROUP BY 1, 2)
-        SELECT CAST(days AS BIGINT) AS days, label, now, before, CASE WHEN before = 0 THEN 'emerging' ELSE 'acceleration' END AS kind FROM g
-        WHERE now >= 3 AND now - before >= 2 AND (before = 0 OR (now - before) * 100.0::DOUBLE / before >= 50)""",
-    "orders",
-)
-def _p03(o: DataFrame) -> DataFrame:
+_SIGNALS = """a AS (SELECT date_diff('day', CAST(o_orderdate AS DATE), DATE '{as_of}') AS age, {label} AS label, o_orderkey % 4 = 0 AS multi,
+      CASE WHEN o_orderstatus = 'P' THEN 1 ELSE 2 END AS known FROM orders),
+    w AS (SELECT label, multi, known, age, unnest([7, 30, 90, 365]) AS days FROM a WHERE age >= 0),
+    g AS (SELECT days, label, count(*) FILTER (age < days) AS now, count(*) FILTER (age >= days) AS before, count(*) FILTER (age < days AND multi) AS multi,
+      coalesce(sum(known) FILTER (age < days), 0) AS known FROM w WHERE age < 2 * days GROUP BY 1, 2),
+    t AS (SELECT days, sum(now) AS total, sum(before) AS past FROM g GROUP BY 1),
+    s AS (SELECT *, now - before AS delta, CASE WHEN before = 0 THEN 100.0::DOUBLE ELSE round_even((now - before) * 100.0::DOUBLE / before, 1) END AS change,
+      round_even(now * 100.0::DOUBLE / nullif(total, 0), 1) AS share, CASE WHEN past >= 10 AND total >= 20 THEN round_even((total - past) * 100.0::DOUBLE / past, 1) END AS base_rate,
+      CASE WHEN before = 0 THEN 'emerging' ELSE 'acceleration' END AS kind,
+      CAST(round_even(100 * (0.55::DOUBLE * least(1.0::DOUBLE, now / 12.0::DOUBLE) + 0.25::DOUBLE * coalesce(round_even(multi * 1.0::DOUBLE / nullif(now, 0), 4), 0) + 0.20::DOUBLE * known / nullif(now * 2, 0)), 0) AS BIGINT) AS score
+      FROM g JOIN t USING (days) WHERE label NOT IN ('', '{unknown}'))
+    SELECT CAST(days AS BIGINT) AS days, label, kind, now, before, delta, change, share, base_rate, round_even(change - base_rate, 1) AS excess, score FROM s
+    WHERE now >= 3 AND delta >= 2 AND (before = 0 OR change >= 50) AND (base_rate IS NULL OR (share <= 60 AND round_even(change - base_rate, 1) >= 25))"""
+
+
+def _signals(o: DataFrame, label: Column, unknown: str, as_of: str = _AS_OF) -> DataFrame:
     from tidemark.operators.trends import dimension_signals
 
-    return dimension_signals(_day(o).withColumnRenamed("o_orderpriority", "label"), "day", F.lit(_AS_OF).cast("date"), [7, 30, 90, 365], "label")
+    known_fields = F.when(F.col("o_orderstatus") == "P", 1).otherwise(2)
+    return dimension_signals(
+        _day(o).withColumn("label", label), "day", F.lit(as_of).cast("date"), [7, 30, 90, 365], "label", multi=F.col("o_orderkey") % 4 == 0, known_fields=known_fields, fields=2, unknown=unknown,
+    )
+
+
+@query("P03_signals", "WITH " + _SIGNALS.format(label="o_orderpriority", as_of=_AS_OF, unknown="4-NOT SPECIFIED"), "orders")
+def _p03(o: DataFrame) -> DataFrame:
+    return _signals(o, F.col("o_orderpriority"), "4-NOT SPECIFIED")
+
+
+@query("P03_customer_signals", "WITH " + _SIGNALS.format(label="(o_custkey % 97)::VARCHAR", as_of="1996-08-01", unknown="5"), "orders")
+def _p03_customers(o: DataFrame) -> DataFrame:
+    """Many small labels, in the midst of the orders' days."""
+    return _signals(o, (F.col("o_custkey") % 97).cast("string"), "5", "1996-08-01")
 
 
 @query(
@@ -275,7 +297,7 @@ def _p04(o: DataFrame) -> DataFrame:
 @query(
     "P01_confidence",
     """WITH u AS (SELECT user_id, count(*) AS n, count(*) FILTER (event_type IN ('view', 'click')) AS multi, count(*) FILTER (event_type <> 'error') AS known FROM events GROUP BY 1),
-        s AS (SELECT user_id, CAST(round_even(100 * (0.55::DOUBLE * least(1.0::DOUBLE, n / 12.0::DOUBLE) + 0.25::DOUBLE * multi / n + 0.20::DOUBLE * known / n), 0) AS BIGINT) AS score FROM u)
+        s AS (SELECT user_id, CAST(round_even(100 * (0.55::DOUBLE * least(1.0::DOUBLE, n / 12.0::DOUBLE) + 0.25::DOUBLE * round_even(multi * 1.0::DOUBLE / n, 4) + 0.20::DOUBLE * known / n), 0) AS BIGINT) AS score FROM u)
         SELECT user_id, score, CASE WHEN score >= 75 THEN 'high' WHEN score >= 50 THEN 'medium' ELSE 'low' END AS band FROM s""",
     "events",
 )
@@ -285,7 +307,7 @@ def _p01(e: DataFrame) -> DataFrame:
     u = e.groupBy("user_id").agg(
         F.count(F.lit(1)).alias("n"), F.count_if(F.col("event_type").isin("view", "click")).alias("multi"), F.count_if(F.col("event_type") != "error").alias("known")
     )
-    score = confidence(F.col("n"), F.col("multi"), F.col("known"))
+    score = confidence(F.col("n"), F.col("multi"), F.col("known") / F.col("n"))
     return u.select("user_id", score.alias("score"), F.when(score >= 75, "high").when(score >= 50, "medium").otherwise("low").alias("band"))
 
 
@@ -377,18 +399,6 @@ def _o04(o: DataFrame) -> DataFrame:
     return c.withColumn("r", F.row_number().over(first)).filter("r = 1").drop("r").orderBy(F.desc("n"), "kind", "label").limit(10)
 
 
-@query(
-    "O05_review_priority",
-    """WITH p AS (SELECT event_id, user_id % 15 AS days, event_type AS risk FROM events)
-        SELECT event_id, CASE risk WHEN 'error' THEN 90 + least(days, 9) WHEN 'signup' THEN 70 ELSE 50 + least(days, 9) END AS priority FROM p""",
-    "events",
-)
-def _o05(e: DataFrame) -> DataFrame:
-    d = F.least(F.col("user_id") % 15, F.lit(9))
-    p = F.when(F.col("event_type") == "error", 90 + d).when(F.col("event_type") == "signup", F.lit(70)).otherwise(50 + d)
-    return e.select("event_id", p.cast("long").alias("priority"))
-
-
 @query(
     "O07_queue_order",
     """WITH q AS (SELECT user_id, count(*) FILTER (event_type = 'error') AS unknown FROM events GROUP BY 1)

@@ -33,9 +33,7 @@ def _observed(o: DataFrame) -> DataFrame:
 _CLASS = "key, source, named, day, recurs"
 
 
-@query(
-    "J13_audit_pairs",
-    f"""WITH i AS (
+_PAIRS = f"""i AS (
       SELECT lpad(o_orderkey::VARCHAR, 12, '0') AS id, (o_custkey // 20)::VARCHAR AS c, 's' || (o_orderkey % 3) AS source, o_orderkey % 7 = 0 AS named,
         o_orderdate::DATE AS day, CASE WHEN o_orderkey % 4 = 0 THEN 'u' || (o_custkey // 20) ELSE '' END AS url, o_orderkey % 17 = 0 AS recurs,
         CASE o_orderkey % {_SPELLINGS} WHEN 1 THEN 'user' || (o_custkey // 20) WHEN 2 THEN (o_custkey // 20) || ' user'
@@ -54,13 +52,42 @@ _CLASS = "key, source, named, day, recurs"
         WHEN len(few) < len(many) AND array_to_string(few, '') = array_to_string(many, '') THEN '{A.CONCATENATION}'
         WHEN len(few) = len(many) AND len(few) > 1 AND list_sort(few) = list_sort(many) THEN '{A.PERMUTATION}' END AS reason FROM q WHERE k <> j),
     o AS (SELECT '{A.MISSED}' AS risk, reason, l, r, gap, company FROM s WHERE reason IS NOT NULL
-      UNION ALL SELECT '{A.FALSE}', 'CANONICAL_NAME', l, r, gap, '' FROM q WHERE k = j AND gap <= 3 AND NOT one_url)
-    SELECT risk, reason, l AS left_id, r AS right_id, gap AS days_apart, company, count(*) AS pairs FROM o GROUP BY ALL""",
-    "orders",
-)
+      UNION ALL SELECT '{A.FALSE}', 'CANONICAL_NAME', l, r, gap, '' FROM q WHERE k = j AND gap <= 3 AND NOT one_url),
+    g AS (SELECT risk, reason, l AS left_id, r AS right_id, gap AS days_apart, company, count(*) AS pairs FROM o GROUP BY ALL)"""
+
+
+@query("J13_audit_pairs", f"WITH {_PAIRS} SELECT * FROM g", "orders")
 def _j13(o: DataFrame) -> DataFrame:
+    return _j13_pairs(o)
+
+
+def _j13_pairs(o: DataFrame) -> DataFrame:
     c = F.floor(F.col("o_custkey") / 20).cast("long")
     owned = o.filter(c % 3 == 0).select(c.alias("c")).distinct()
     spelled = F.explode(F.array(*[_spelled(F.col("c"), F.lit(n)) for n in range(_SPELLINGS)]))
     companies = owned.select(spelled.alias("key"), F.col("c").cast("string").alias("company")).distinct()
     return A.audit_pairs(_observed(o), _RULES, companies)
+
+
+@query(
+    "O05_review_queue",
+    f"""WITH {_PAIRS} SELECT risk, reason, left_id, right_id, pairs, CASE WHEN risk = '{A.FALSE}' THEN 90 + least(days_apart, 9) WHEN reason = '{A.COMPANY}' THEN 70
+        ELSE 50 + least(days_apart, 9) END AS priority FROM g""",
+    "orders",
+)
+def _o05(o: DataFrame) -> DataFrame:
+    return A.review_queue(_j13_pairs(o)).drop("days_apart", "company")
+
+
+@query(
+    "O05_review_priority",
+    f"""WITH p AS (SELECT event_id, user_id % 15 AS days, CASE event_type WHEN 'error' THEN 'CANONICAL_NAME' WHEN 'signup' THEN 'SHARED_COMPANY_ID' WHEN 'view' THEN 'CLAIM_REPORTED' ELSE 'PERMUTATION' END AS reason,
+          event_type IN ('error', 'view') AS merged FROM events)
+        SELECT event_id, CASE WHEN merged AND reason = 'CLAIM_REPORTED' THEN 100 WHEN merged THEN 90 + least(days, 9) WHEN reason = '{A.COMPANY}' THEN 70 ELSE 50 + least(days, 9) END AS priority FROM p""",
+    "events",
+)
+def _o05_priority(e: DataFrame) -> DataFrame:
+    kind = F.col("event_type")
+    reason = F.when(kind == "error", "CANONICAL_NAME").when(kind == "signup", A.COMPANY).when(kind == "view", "CLAIM_REPORTED").otherwise(A.PERMUTATION)
+    risk = F.when(kind.isin("error", "view"), A.FALSE).otherwise(A.MISSED)
+    return e.select("event_id", A.review_priority(risk, reason, F.col("user_id") % 15).alias("priority"))

@@ -222,6 +222,42 @@ def _d10(e: DataFrame) -> DataFrame:
     return D.incidents(rows.join(D.components(rows, _RULES).select("id", "component"), "id"))
 
 
+_TOLD = ("error", "signup")
+
+
+@query(
+    "D10_D11_rollup",
+    """WITH m AS (SELECT user_id::VARCHAR AS component, lpad(event_id::VARCHAR, 12, '0') AS id, event_type AS source, CASE WHEN event_type = 'error' THEN strftime(ts, '%Y-%m-%d') ELSE '' END AS event,
+        strftime(ts, '%Y-%m-%d') AS published, 'u' || (event_id % 3) AS url, 'name ' || (event_id % 4) AS name, CASE event_id % 5 WHEN 0 THEN 'Inconnu' WHEN 1 THEN '' ELSE 's' || (event_id % 5) END AS sector,
+        'p' || (event_id % 3) AS place, event_type AS threat, CASE WHEN event_id % 6 > 0 THEN strftime(ts, '%Y-%m') ELSE '' END AS collected FROM events),
+    w AS (SELECT component, min(nullif(event, '')) AS e, min(published) AS p, count(*) AS items, count(DISTINCT source) AS n_sources, min(nullif(collected, '')) AS first_seen, max(nullif(collected, '')) AS last_seen,
+        min(CASE threat WHEN 'error' THEN 0 WHEN 'signup' THEN 1 END) AS r, count(*) FILTER (source <> 'view') AS speaking,
+        string_agg(DISTINCT source, ' | ' ORDER BY source) FILTER (source <> 'view') AS ss, string_agg(DISTINCT url, ' | ' ORDER BY url) FILTER (source <> 'view') AS su,
+        string_agg(DISTINCT source, ' | ' ORDER BY source) AS ws, string_agg(DISTINCT url, ' | ' ORDER BY url) AS wu, arg_min(name, (source, published, url, id)) AS head FROM m GROUP BY 1),
+    n AS (SELECT component, name FROM (SELECT m.component, m.name, count(*) AS n FROM m JOIN w USING (component) WHERE m.name <> w.head GROUP BY ALL)
+        QUALIFY row_number() OVER (PARTITION BY component ORDER BY n DESC, name) = 1),
+    sc AS (SELECT component, sector, count(*) AS n, count(*) FILTER (source = 'purchase') AS l FROM m WHERE sector NOT IN ('', 'Inconnu') GROUP BY ALL),
+    s AS (SELECT component, CASE WHEN max(l) > 0 THEN arg_min(sector, (-l, sector)) WHEN arg_min(sector, (-n, sector)) = arg_max(sector, (n, sector)) THEN arg_min(sector, (-n, sector)) END AS sector FROM sc GROUP BY 1),
+    pc AS (SELECT component, place, count(*) AS n, count(*) FILTER (source = 'purchase') AS l FROM m GROUP BY ALL),
+    p AS (SELECT component, CASE WHEN max(l) > 0 THEN arg_min(place, (-l, place)) ELSE arg_min(place, (-n, place)) END AS place FROM pc GROUP BY 1)
+    SELECT component, component AS key, coalesce(e, w.p) AS date, CASE WHEN e IS NULL THEN 'PUBLICATION' ELSE 'EVENT' END AS basis, coalesce(name, head) AS name, coalesce(sector, 'Inconnu') AS sector,
+      CASE r WHEN 0 THEN 'error' WHEN 1 THEN 'signup' ELSE 'Inconnu' END AS threat, place, CASE WHEN speaking > 0 THEN ss ELSE ws END AS sources, CASE WHEN speaking > 0 THEN su ELSE wu END AS urls,
+      items, n_sources, coalesce(first_seen, '') AS first_seen, coalesce(last_seen, '') AS last_seen
+    FROM w LEFT JOIN n USING (component) LEFT JOIN s USING (component) LEFT JOIN p USING (component)""",
+    "events",
+)
+def _d10_rollup(e: DataFrame) -> DataFrame:
+    """Each user's events as one component."""
+    k, day = F.col("event_id"), F.date_format("ts", "yyyy-MM-dd")
+    rows = e.select(
+        F.col("user_id").cast("string").alias("component"), F.col("user_id").cast("string").alias("key"), F.lpad(k.cast("string"), 12, "0").alias("id"), F.col("event_type").alias("source"),
+        F.when(F.col("event_type") == "error", day).otherwise("").alias("event"), day.alias("published"), F.concat(F.lit("u"), (k % 3).cast("string")).alias("url"),
+        F.concat(F.lit("name "), (k % 4).cast("string")).alias("name"), F.when(k % 5 == 0, "Inconnu").when(k % 5 == 1, "").otherwise(F.concat(F.lit("s"), (k % 5).cast("string"))).alias("sector"),
+        F.concat(F.lit("p"), (k % 3).cast("string")).alias("place"), F.col("event_type").alias("threat"), F.when(k % 6 > 0, F.date_format("ts", "yyyy-MM")).otherwise("").alias("collected"),
+    )
+    return D.incidents(rows, preferred="purchase", silent=("view",), threats=_TOLD)
+
+
 @query(
     "D09_priority_label",
     """SELECT user_id, coalesce(min_by(event_type, array_position(['purchase', 'error', 'signup'], event_type)) FILTER (event_type IN ('purchase', 'error', 'signup')), 'Unknown')

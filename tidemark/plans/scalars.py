@@ -63,13 +63,15 @@ def _t07(p: DataFrame) -> DataFrame:
 
 @query(
     "T08_clean_name",
-    r"""SELECT page_id, trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(h, '^[^\p{L}\p{N}(\[]+', ''),
-        '^(?i)www\.', ''), '(\s*[\(\[][^\)\]]*[\)\]]\s*)+$', ''), '\s+', ' ', 'g')) AS name
-        FROM (SELECT page_id, '** ' || regexp_extract(url, '://([^/]+)', 1) || ' (site) [x]' AS h FROM pages)""",
+    r"""WITH h AS (SELECT page_id, '🔴 ● ' || CASE page_id % 3 WHEN 0 THEN 'WWW.' WHEN 1 THEN chr(160) ELSE '- ' END || regexp_extract(url, '://([^/]+)', 1) || ' ★ x (site) [x]' AS h FROM pages),
+        a AS (SELECT page_id, trim(regexp_replace(regexp_replace(h, '[\x{A0}\x{200B}\x{2022}\x{25A0}-\x{27BF}\x{FE0F}\x{1F000}-\x{1FAFF}]', ' ', 'g'), '\s+', ' ', 'g'), E' -\u2013\u2014\u2022\t') AS a FROM h)
+        SELECT page_id, trim(regexp_replace(trim(regexp_replace(a, '(\s*[\(\[][^\)\]]*[\)\]]\s*)+$', '')), '^(?i)www\.', ''), E' -\u2013\u2014\u2022\t') AS name FROM a""",
     "pages",
 )
 def _t08(p: DataFrame) -> DataFrame:
-    h = F.concat(F.lit("** "), F.regexp_extract("url", "://([^/]+)", 1), F.lit(" (site) [x]"))
+    host, three = F.regexp_extract("url", "://([^/]+)", 1), F.col("page_id") % 3
+    lead = F.when(three == 0, "WWW.").when(three == 1, "\xa0").otherwise("- ")
+    h = F.concat(F.lit("\U0001F534 \u25CF "), lead, host, F.lit(" \u2605 x (site) [x]"))
     return p.select("page_id", T.clean_name(h).alias("name"))
 
 
