@@ -77,3 +77,36 @@ def test_streams(spark, tmp_path):
 def test_set_hash_ignores_order(spark):
     a = spark.range(100).select(F.col("id"))
     assert X.set_hash(a, F.col("id")).first() == X.set_hash(a.orderBy(F.desc("id")), F.col("id")).first()
+
+
+def test_absolute_urls(spark):
+    base = "https://a.example/x/y/z.html?q=1#f"
+    want = {
+        "https://b.example/1": "https://b.example/1", "//b.example/1": "https://b.example/1", "/r?s=/../": "https://a.example/r?s=/../", "n": "https://a.example/x/y/n", "./n": "https://a.example/x/y/n",
+        "../n#k": "https://a.example/x/n#k", "../../../n": "https://a.example/n", "?p=2": "https://a.example/x/y/z.html?p=2", "mailto:a@b": "mailto:a@b", "../": "https://a.example/x/",
+    }
+    df = spark.createDataFrame([(i, base, h) for i, h in enumerate(want)], "i int, base string, href string")
+    assert [r.u for r in df.select("i", feeds.absolute_url(F.col("base"), F.col("href")).alias("u")).orderBy("i").collect()] == list(want.values())
+
+
+def test_dated_links_by_distance(spark):
+    def link(name, label="A label long enough"):
+        return f'<a href="/{name}">{label} {name}</a>'
+
+    cases = [
+        (f"{link('a')} 2024-01-02 ........ {link('b')}", {("2024-01-02", "a")}),
+        (f"{link('a')} ................ 2024-01-02 {link('b')}", {("2024-01-02", "b")}),
+        (f"{link('a', '2024-01-03 a label with a day')} {link('b')}", {("2024-01-03", "a")}),
+        (f"{link('a')} 2024-01-02 x 2024-01-03 {'.' * 99} {link('b')} 3 mars 2024", {("2024-01-02", "a"), ("2024-03-03", "b")}),
+        (f"{link('a')}{'.' * 1600}2024-01-02{'.' * 1600}{link('b')}", set()),
+        (f"{link('a')}{'é' * 1400}2024-01-02{'.' * 1350}{link('b')}", {("2024-01-02", "b")}),
+        ("2024-01-02 <a href='javascript:x()'>A label long enough</a> <a href='#p'>A label long enough</a> <a href='/c'>short</a>", set()),
+        (f"12024-01-02 2024-01-02-03 99/99/2024 1er mai 2024 June 9, 2024 {link('a')}", set()),
+        ("", set()),
+        (None, set()),
+    ]
+    df = spark.createDataFrame([(i, "https://z.example/p", h) for i, (h, _) in enumerate(cases)], "id int, url string, html string")
+    got = {i: set() for i in range(len(cases))}
+    for r in feeds.dated_links(df, "id", "url", "html").collect():
+        got[r.id].add((str(r.day), r.url.removeprefix("https://z.example/")))
+    assert list(got.values()) == [want for _, want in cases]

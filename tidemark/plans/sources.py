@@ -92,3 +92,22 @@ def _s26(o: DataFrame) -> DataFrame:
 )
 def _r01(o: DataFrame) -> DataFrame:
     return S.window_coverage(o.select(F.to_date("o_orderdate").alias("day")), "1996-01-01", "1996-06-30")
+
+
+@query(
+    "S14_dated_links",
+    """SELECT page_id, CASE page_id % 3 WHEN 0 THEN '2024-01-02' WHEN 1 THEN '2024-05-01' ELSE '2024-03-07' END AS day,
+          CASE page_id % 3 WHEN 0 THEN 'https://z.example/a/b/' || page_id WHEN 1 THEN 'https://z.example/r/' || page_id ELSE 'https://y.example/q' END AS url, 'A long label ' || page_id AS title FROM pages
+        UNION ALL SELECT page_id, '2024-06-09', 'https://z.example/a/n' || page_id, 'Another label' FROM pages WHERE page_id % 3 < 2""",
+    "pages",
+)
+def _s14(p: DataFrame) -> DataFrame:
+    """A list of dated links before each page; what the page itself gives is left out."""
+    k, three = F.col("page_id").cast("string"), F.col("page_id") % 3
+    day = F.when(three == 0, "2024-01-02").when(three == 1, "1 mai 2024").otherwise("07/03/2024")
+    href = F.when(three == 0, F.concat(F.lit("./b/"), k)).when(three == 1, F.concat(F.lit("../r/x/../"), k)).otherwise("//y.example/q")
+    first = F.concat(F.lit("<li>"), day, F.lit(' <a class="c" href="'), href, F.lit('">A <b>long</b> label '), k, F.lit("</a></li>"), F.repeat(F.lit("."), F.lit(1600)))
+    second = F.concat(F.lit('<a href="#top">A link within the page</a><a href="n'), k, F.lit('">Another label</a> <i>9 June 2024</i><a href="s">short</a>'), F.repeat(F.lit("."), F.lit(1600)))
+    html = F.concat(first, F.when(three < 2, second).otherwise(""), F.coalesce("html", F.lit("")))
+    got = S.dated_links(p.select("page_id", F.lit("https://z.example/a/index.html?x=1").alias("url"), html.alias("html")), "page_id", "url", "html")
+    return got.filter(F.col("title").rlike("^(A long|Another) label"))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tidemark.functions.text import strip_html
+from tidemark.functions.values import parse_date
 from tidemark.operators.facts import first_alias, records_of
 
 _RSS = "title string, link string, description string, pubDate string, guid string"
@@ -95,3 +97,85 @@ def latest_publication(rows: DataFrame, day: str, days: int = 30) -> DataFrame:
     """S-26: rows of the last `days` days before the latest day of all."""
     newest = rows.agg(F.max(day).alias("_newest"))
     return rows.join(F.broadcast(newest)).filter(F.datediff("_newest", F.col(day)) <= days).drop("_newest")
+
+
+# Month names as they stand beside a day in pages, and how a day can be written.
+DAY_MONTHS = (
+    "janvier", "février", "fevrier", "mars", "avril", "mai", "juin", "juillet", "août", "aout", "septembre", "octobre", "novembre", "décembre", "decembre",
+    "january", "february", "march", "april", "may", "june", "july", "august", "september", "october", "november", "december",
+    "jan", "feb", "mar", "apr", "jun", "jul", "aug", "sep", "sept", "oct", "nov", "dec",
+)
+_MONTH = "(?:" + "|".join(DAY_MONTHS) + ")"
+WRITTEN_DAY = (
+    rf"(?iU)(?<![\d/-])(?:\d{{4}}-\d{{2}}-\d{{2}}|\d{{1,2}}[/.]\d{{1,2}}[/.]\d{{4}}|\d{{1,2}}(?:er)?\s+{_MONTH}\.?\s+\d{{4}}|{_MONTH}\.?\s+\d{{1,2}},?\s+\d{{4}})(?![\d/-])"
+)
+LINK = r"""(?is)<a[^>]+href=["']([^"']+)["'][^>]*>(.*?)</a>"""
+NEAR, LEAST_LABEL = 1500, 12
+
+
+def absolute_url(base: Column, href: Column) -> Column:
+    """A link as its page means it: whole, without a scheme, from the root, a query, or from the page's folder, with dots resolved."""
+    page = F.regexp_replace(F.coalesce(base, F.lit("")), r"[?#].*$", "")
+    origin = F.regexp_extract(page, r"^([A-Za-z][A-Za-z0-9+.-]*://[^/]*)", 1)
+    folder = F.regexp_replace(F.substr(page, F.length(origin) + 1), r"[^/]*$", "")
+    whole = F.when(href.startswith("/"), href).otherwise(F.concat(F.when(folder == "", "/").otherwise(folder), href))
+    path, rest = F.regexp_extract(whole, r"^([^?#]*)", 1), F.regexp_extract(whole, r"^[^?#]*(.*)$", 1)
+
+    def step(kept: Column, part: Column) -> Column:
+        up = F.slice(kept, F.lit(1), F.greatest(F.size(kept) - 1, F.lit(0)))
+        return F.when(part == "..", up).when(part == ".", kept).otherwise(F.concat(kept, F.array(part)))
+
+    steps = F.split(F.regexp_replace(path, r"^/", ""), "/")
+    walked = F.aggregate(steps, F.array().cast("array<string>"), step)
+    ends = F.when(F.element_at(steps, -1).isin(".", "..") & (F.size(walked) > 0), "/").otherwise("")
+    clean = F.when(path.rlike(r"(^|/)\.\.?(/|$)"), F.concat(F.lit("/"), F.array_join(walked, "/"), ends)).otherwise(path)
+    out = F.when(href.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), href).when(href.startswith("//"), F.concat(F.regexp_extract(page, r"^([A-Za-z][A-Za-z0-9+.-]*:)", 1), href))
+    return out.when(href.startswith("?"), F.concat(page, href)).otherwise(F.concat(origin, clean, rest))
+
+
+def _places(pages: DataFrame, id: str, html: str, pattern: str) -> DataFrame:
+    """id, n, start, end, match of the matches of a pattern in a text: where they stand follows from what is between them."""
+    matches = F.regexp_extract_all(F.col(html), F.lit(pattern), F.lit(0))
+    both = F.arrays_zip(F.slice(F.split(F.col(html), pattern, -1), F.lit(1), F.size(matches)).alias("between"), matches.alias("match"))
+    each = pages.filter(F.col(html).isNotNull()).select(id, F.posexplode(both).alias("n", "x"))
+    w = Window.partitionBy(id).orderBy("n").rowsBetween(Window.unboundedPreceding, 0)
+    length = F.length("x.match")
+    end = F.sum(F.length("x.between") + length).over(w)
+    return each.select(id, "n", (end - length).alias("start"), end.alias("end"), F.col("x.match").alias("match"))
+
+
+def dated_links(pages: DataFrame, id: str, url: str, html: str) -> DataFrame:
+    """S-14: id, day, url, title: days written in a page's text, each with the link nearest to it.
+
+    A link counts if it has an address (none within the page, no script) and a label of 12 characters, and if all of it is at
+    most 1500 characters before the day or after it. Nearest is the one that holds the day, else the one whose nearer edge
+    is the fewest characters from the day's start, the earlier of two. Written days that C-01 does not read (a month first,
+    "1er") are none. An address is given once a page, with its first day. Pages
+    without html give nothing; ids are unique.
+
+    Days and links of a page are sorted into one sequence, and each day looks at the link before it and at that after it, so
+    the work grows with the page and not with pairs.
+    """
+    found = _places(pages, id, html, LINK)
+    href, label = F.regexp_extract("match", LINK, 1), strip_html(F.regexp_extract("match", LINK, 2))
+    links = found.select(id, "start", "end", href.alias("href"), label.alias("title"))
+    links = links.filter(~F.col("href").startswith("#") & ~F.contains(F.lower("href"), F.lit("javascript:")) & (F.length("title") >= LEAST_LABEL))
+    days = _places(pages, id, html, WRITTEN_DAY).select(id, "start", "end", parse_date(F.col("match")).alias("day"))
+    link = F.struct("start", "end", "href", "title")
+    line = links.select(id, "start", F.lit(0).alias("kind"), F.lit(None).cast("date").alias("day"), F.lit(None).cast("bigint").alias("until"), link.alias("link")).unionByName(
+        days.filter("day IS NOT NULL").select(id, "start", F.lit(1).alias("kind"), "day", F.col("end").alias("until"), F.lit(None).cast(links.select(link.alias("l")).schema["l"].dataType).alias("link"))
+    )
+    before = Window.partitionBy(id).orderBy("start", "kind")
+    after = Window.partitionBy(id).orderBy(F.desc("start"), F.desc("kind"))
+    line = line.withColumns({"prev": F.last("link", ignorenulls=True).over(before), "next": F.last("link", ignorenulls=True).over(after)}).filter("kind = 1")
+
+    def distance(near: str) -> Column:
+        a, z = F.col(f"{near}.start"), F.col(f"{near}.end")
+        gap = F.when(F.col("start").between(a, z), 0).otherwise(F.least(F.abs(a - F.col("start")), F.abs(z - F.col("start"))))
+        return F.when((a >= F.col("start") - NEAR) & (z <= F.col("until") + NEAR), gap)
+
+    back, ahead = distance("prev"), distance("next")
+    nearest = F.when(back.isNotNull() & (ahead.isNull() | (back <= ahead)), F.col("prev")).when(ahead.isNotNull(), F.col("next"))
+    told = line.select(id, "start", "day", nearest.alias("x")).filter("x IS NOT NULL").join(pages.select(id, F.col(url).alias("_base")), id)
+    whole = told.select(id, "start", "day", absolute_url(F.col("_base"), F.col("x.href")).alias("url"), F.col("x.title").alias("title"))
+    return whole.groupBy(id, "url").agg(F.min_by(F.struct("day", "title"), "start").alias("f")).select(id, "f.day", "url", "f.title")
