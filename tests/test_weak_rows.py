@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import clean_name
+from tidemark.operators import aggregate as G
 from tidemark.operators import audit as A
 from tidemark.operators import dedup as D
 from tidemark.operators import trends as P
@@ -76,3 +77,15 @@ def test_review_order(spark):
     rows = [(A.FALSE, "CLAIM_REPORTED", 2), (A.FALSE, "MERGE_REVIEW_RANSOMWARE_CORROBORATION", 0), (A.FALSE, "CANONICAL_NAME", 3), (A.FALSE, "ALIAS", 14), (A.MISSED, A.COMPANY, 9), (A.MISSED, A.PERMUTATION, 0), (A.MISSED, A.CONTAINMENT, 12)]
     df = spark.createDataFrame([(i, *r, f"l{i}", f"r{i}") for i, r in enumerate(rows)], "i int, risk string, reason string, days_apart int, left_id string, right_id string")
     assert [(r.i, r.priority) for r in A.review_queue(df).collect()] == [(0, 100), (1, 100), (3, 99), (2, 93), (4, 70), (6, 59), (5, 50)]
+
+
+def test_places(spark):
+    rows = [("a", v) for v in (5, 1, 9, 9, 9, None)] + [("b", 2), ("c", None), (None, 7)] + [("d", v) for v in range(20)]
+    got = G.ordered_places(spark.createDataFrame(rows, "k string, v int"), "k", "v", median=0.5, p90=0.9, first=0.0, last=1.0)
+    assert {r.k: (r.n, r["first"], r.median, r.p90, r["last"], r.largest) for r in got.collect()} == {"a": (5, 1, 9, 9, 9, 9), "b": (1, 2, 2, 2, 2, 2), None: (1, 7, 7, 7, 7, 7), "d": (20, 0, 10, 18, 19, 19)}
+
+
+def test_first_ids(spark):
+    rows = [("a", i % 30) for i in range(90)] + [("b", 3), ("b", None), (None, 1)]
+    got = G.first_ids(spark.createDataFrame(rows, "k string, v int"), "k", "v")
+    assert {r.k: r.ids for r in got.collect()} == {"a": list(range(12)), "b": [3], None: [1]}

@@ -31,17 +31,21 @@ def entropy(df: DataFrame, label: str, *by: str) -> DataFrame:
     return h.select(*by, F.when(F.col("k") > 1, F.bround(F.col("h") / F.log2("k"), 3)).otherwise(0.0).alias("entropy"))
 
 
-def upper_median(values: Column) -> Column:
-    """A-19: of a list, the value at place n div 2 in ascending order; null for none."""
-    ordered = F.array_sort(values)
-    return F.get(ordered, F.floor(F.size(ordered) / 2).cast("int"))
+def ordered_places(df: DataFrame, by: str, value: str, **shares: float) -> DataFrame:
+    """A-19: by, n, largest, and for each of `shares` the value at place min(n - 1, floor(share * n)) in ascending order.
 
+    Null values do not count, and groups of nulls alone are left out. Equal values are one row with their number before
+    they are sorted, and no group is gathered: a sort of distinct values finds the place.
+    """
+    counts = df.filter(F.col(value).isNotNull()).groupBy(by, value).agg(F.count(F.lit(1)).alias("_n"))
+    group = Window.partitionBy(by)
+    upto = counts.withColumns({"_upto": F.sum("_n").over(group.orderBy(value)), "n": F.sum("_n").over(group)})
 
-def upper_quantile(values: Column, q: float) -> Column:
-    """A-19: the value at place min(n - 1, floor(q * n))."""
-    ordered = F.array_sort(values)
-    place = F.least(F.size(ordered) - 1, F.floor(F.size(ordered) * q).cast("int"))
-    return F.when(F.size(ordered) > 0, F.get(ordered, place))
+    def at(share: float) -> Column:
+        place = F.least(F.col("n") - 1, F.floor(F.col("n") * share))
+        return F.min(F.when(F.col("_upto") > place, F.col(value)))
+
+    return upto.groupBy(by).agg(F.max("n").alias("n"), F.max(value).alias("largest"), *[at(share).alias(name) for name, share in shares.items()])
 
 
 def unpivot_coverage(df: DataFrame, source: str, fields: list[str], everything: str = "ALL") -> DataFrame:
@@ -99,8 +103,7 @@ def gaps(df: DataFrame, by: str, day: str) -> DataFrame:
     """W-04: per group, the upper median and the largest gap between neighbouring distinct days."""
     w = Window.partitionBy(by).orderBy(day)
     rows = df.select(by, day).distinct().withColumn("gap", F.datediff(F.col(day), F.lag(day).over(w)).cast("long"))
-    lists = rows.filter("gap IS NOT NULL").groupBy(by).agg(F.collect_list("gap").alias("g"))
-    return lists.select(by, upper_median(F.col("g")).alias("median_gap"), F.array_max("g").alias("max_gap"))
+    return ordered_places(rows, by, "gap", median_gap=0.5).select(by, "median_gap", F.col("largest").alias("max_gap"))
 
 
 def drift(history: DataFrame, by: str, order: str, value: str, lookback: int = 5, drop: float = 2.0) -> DataFrame:
@@ -121,8 +124,9 @@ def month_spine(df: DataFrame, day: str, cap: int = 36) -> DataFrame:
 def round_robin(df: DataFrame, stratum: str, key: str, n: int) -> DataFrame:
     """W-11: n rows, one of each stratum in turn, within a stratum by hash of the key."""
     w = Window.partitionBy(stratum).orderBy(F.sha2(F.col(key).cast("string"), 256))
-    rows = df.withColumn("turn", F.row_number().over(w).cast("long"))
-    return rows.orderBy("turn", stratum).limit(n)
+    # no stratum gives more than n, so no more of one is sorted
+    rows = df.withColumn("turn", F.row_number().over(w)).filter(F.col("turn") <= n)
+    return rows.withColumn("turn", F.col("turn").cast("long")).orderBy("turn", stratum).limit(n)
 
 
 def page(df: DataFrame, order: list[Column], number: int, size: int) -> DataFrame:
@@ -138,3 +142,10 @@ def numbered(df: DataFrame, order: list[Column], name: str) -> DataFrame:
     before = sizes.join(F.broadcast(earlier), F.col("_p") < F.col("_part"), "left").groupBy("_part").agg(F.coalesce(F.sum("_m"), F.lit(0)).alias("_before"))
     place = F.row_number().over(Window.partitionBy("_part").orderBy(*order))
     return placed.join(F.broadcast(before), "_part").withColumn(name, (place + F.col("_before")).cast("long")).drop("_part", "_before")
+
+
+def first_ids(df: DataFrame, by: str, id: str, most: int = 12) -> DataFrame:
+    """O-10: by, ids: the `most` smallest distinct ids of a group, in order; only these are ever gathered."""
+    w = Window.partitionBy(by).orderBy(id)
+    few = df.filter(F.col(id).isNotNull()).select(by, id).distinct().withColumn("_at", F.row_number().over(w)).filter(F.col("_at") <= most)
+    return few.groupBy(by).agg(F.array_sort(F.collect_list(id)).alias("ids"))

@@ -131,11 +131,8 @@ def _a17(e: DataFrame) -> DataFrame:
 )
 def _a19(li: DataFrame) -> DataFrame:
     o = li.groupBy("l_suppkey", "l_orderkey").agg(F.max("l_quantity").alias("v"))
-    v = o.groupBy("l_suppkey").agg(F.collect_list("v").alias("v"))
-    return v.select(
-        "l_suppkey", F.size("v").cast("long").alias("documented"), A.upper_median(F.col("v")).alias("median"),
-        A.upper_quantile(F.col("v"), 0.9).alias("p90"), F.array_max("v").alias("largest"),
-    )
+    found = A.ordered_places(o, "l_suppkey", "v", median=0.5, p90=0.9)
+    return found.select("l_suppkey", F.col("n").alias("documented"), "median", "p90", "largest")
 
 
 @query(
@@ -422,8 +419,8 @@ def _o09(o: DataFrame) -> DataFrame:
     "events",
 )
 def _o10(e: DataFrame) -> DataFrame:
-    ids = e.groupBy("user_id").agg(F.array_sort(F.collect_set("event_id")).alias("ids"))
-    return ids.select("user_id", F.array_join(F.transform(F.slice("ids", 1, 12), lambda x: x.cast("string")), ",").alias("ids"))
+    ids = A.first_ids(e, "user_id", "event_id")
+    return ids.select("user_id", F.array_join(F.transform("ids", lambda x: x.cast("string")), ",").alias("ids"))
 
 
 @query(
