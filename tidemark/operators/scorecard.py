@@ -38,7 +38,7 @@ def scorecard(active: DataFrame, items: DataFrame, incidents: DataFrame, runs: D
     told = items.groupBy("source").agg(F.count(F.lit(1)).alias("items"), F.countDistinct(known_key).alias("organisations"), F.max(day).alias("latest"), *lacking.values())
     state = {s: F.count_if(F.col("status") == s.upper()).alias(f"{s}_runs") for s in ("ok", "partial", "fail")}
     history = last_n(runs, "source", ["as_of", "run_id"], recent).groupBy("source").agg(
-        F.count(F.lit(1)).alias("recent_runs"), *state.values(), F.bround(F.avg(F.coalesce("duration_s", F.lit(0.0))), 2).alias("avg_duration_s"),
+        F.count(F.lit(1)).alias("recent_runs"), *state.values(), (F.rint(F.avg(F.coalesce("duration_s", F.lit(0.0))) * 100) / 100).alias("avg_duration_s"),
         F.sum("calls").alias("calls"), F.sum("collected").alias("collected"),
     )
     rows = active.select("source").distinct()
