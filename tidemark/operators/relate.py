@@ -115,12 +115,34 @@ def _asked(refs: DataFrame) -> DataFrame:
     return clean.select("ref", look.alias("look"), F.col("url").alias("_url"), F.col("date").alias("_date"), F.col("organisation").alias("_organisation"))
 
 
-def _agreement() -> Column:
-    """How much of what a reference tells an item bears out: url before day before name. By an id nothing narrows."""
+#: What can agree, of what weight: url before day before name.
+_NARROWING = (("url", 4), ("date", 2), ("organisation", 1))
+
+
+def _by_agreement(rows: DataFrame, prefix: str, given: bool) -> DataFrame:
+    """Rows once for each set of fields in which they may agree (its weights' sum is `level`), other fields blank.
+
+    A native id is narrowed by all fields, an url by day and name, an id by nothing. `given`: blank fields agree with nothing.
+    """
     stage = F.col("look.stage")
-    url = (stage == "native") & (F.col("_url") != "") & (F.col("_url") == F.col("url"))
-    day, name = ((stage != "id") & (F.col(f"_{c}") != "") & (F.col(f"_{c}") == F.col(c)) for c in ("date", "organisation"))
-    return url.cast("int") * 4 + day.cast("int") * 2 + name.cast("int")
+    most = F.when(stage == "native", 7).when(stage == "url", 3).otherwise(0)
+    each = rows.withColumn("level", F.explode(F.sequence(F.lit(0), most)))
+    for name, weight in _NARROWING:
+        counts = F.col("level").bitwiseAND(F.lit(weight)) > 0
+        if given:
+            each = each.filter(~counts | (F.col(prefix + name) != ""))
+        each = each.withColumn(prefix + name, F.when(counts, F.col(prefix + name)).otherwise(""))
+    return each.select(*[c for c in each.columns if c not in {prefix + n for n, _ in _NARROWING}], *[F.col(prefix + n).alias(f"by_{n}") for n, _ in _NARROWING])
+
+
+_LOOK = ["look", "level", "by_url", "by_date", "by_organisation"]
+
+
+def _found(refs: DataFrame, items: DataFrame) -> DataFrame:
+    """ref, and its greatest level at which items agree with it: n, item (the smallest), and what it looked by."""
+    held = _by_agreement(_placed(items), "", False).groupBy(*_LOOK).agg(F.count(F.lit(1)).alias("n"), F.min("item").alias("item"))
+    met = _by_agreement(_asked(refs), "_", True).join(held, _LOOK)
+    return met.groupBy("ref").agg(F.max_by(F.struct("n", "item", *_LOOK), "level").alias("b")).select("ref", "b.*")
 
 
 def resolved_sides(refs: DataFrame, items: DataFrame) -> DataFrame:
@@ -132,22 +154,17 @@ def resolved_sides(refs: DataFrame, items: DataFrame) -> DataFrame:
     are the items of greatest agreement in this order. RESOLVED with one left, AMBIGUOUS with more (`candidates` of
     them, see `ambiguous_items`), LEGACY for a single item by its id, else MISSING. Nulls are blank; blank fields do not narrow.
 
-    Items that agree in all that is compared are one row before the join, so copies of one url do not multiply.
+    Items are counted for each set of fields (eight at most) and a reference meets one count for each, so references and
+    items of one common id or url make no pairs.
     """
-    alike = _placed(items).groupBy("look", "url", "date", "organisation").agg(F.count(F.lit(1)).alias("n"), F.min("item").alias("item"))
-    asked = _asked(refs)
-    found = asked.join(alike, "look").withColumn("agreement", _agreement())
-    best = found.groupBy("ref", "agreement").agg(F.sum("n").alias("n"), F.min("item").alias("item"))
-    best = best.groupBy("ref").agg(F.max_by(F.struct("n", "item"), "agreement").alias("b")).select("ref", "b.*")
-    rows = asked.select("ref", "look").join(best, "ref", "left")
+    best = _found(refs, items).select("ref", "n", "item")
+    rows = _asked(refs).select("ref", "look").join(best, "ref", "left")
     by_id, n = F.coalesce(F.col("look.stage") == "id", F.lit(False)), F.coalesce("n", F.lit(0)).cast("long")
     status = F.when(n == 1, F.when(by_id, "LEGACY").otherwise("RESOLVED")).when((n > 1) & ~by_id, "AMBIGUOUS").otherwise("MISSING")
     return rows.select("ref", status.alias("status"), F.when(n == 1, F.col("item")).alias("item"), F.when(by_id & (n != 1), 0).otherwise(n).alias("candidates"))
 
 
 def ambiguous_items(refs: DataFrame, items: DataFrame) -> DataFrame:
-    """J-09: ref, item: the items between which an ambiguous reference cannot choose."""
-    unsure = resolved_sides(refs, items).filter("status = 'AMBIGUOUS'").select("ref")
-    found = _asked(refs).join(unsure, "ref").join(_placed(items), "look").withColumn("agreement", _agreement())
-    top = found.groupBy("ref").agg(F.max("agreement").alias("agreement"))
-    return found.join(top, ["ref", "agreement"]).select("ref", "item")
+    """J-09: ref, item: the items between which an ambiguous reference cannot choose; as many rows as `candidates` say."""
+    unsure = _found(refs, items).filter((F.col("n") > 1) & (F.col("look.stage") != "id")).drop("n", "item")
+    return unsure.join(_by_agreement(_placed(items), "", False), _LOOK).select("ref", "item")
