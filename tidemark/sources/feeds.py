@@ -136,8 +136,9 @@ def absolute_url(base: Column, href: Column) -> Column:
 def _places(pages: DataFrame, id: str, html: str, pattern: str) -> DataFrame:
     """id, n, start, end, match of the matches of a pattern in a text: where they stand follows from what is between them."""
     matches = F.regexp_extract_all(F.col(html), F.lit(pattern), F.lit(0))
-    both = F.arrays_zip(F.slice(F.split(F.col(html), pattern, -1), F.lit(1), F.size(matches)).alias("between"), matches.alias("match"))
-    each = pages.filter(F.col(html).isNotNull()).select(id, F.posexplode(both).alias("n", "x"))
+    # after the last match one more text follows, with which no match goes
+    both = F.arrays_zip(F.split(F.col(html), pattern, -1).alias("between"), matches.alias("match"))
+    each = pages.filter(F.col(html).isNotNull()).select(id, F.posexplode(both).alias("n", "x")).filter("x.match IS NOT NULL")
     w = Window.partitionBy(id).orderBy("n").rowsBetween(Window.unboundedPreceding, 0)
     length = F.length("x.match")
     end = F.sum(F.length("x.between") + length).over(w)
