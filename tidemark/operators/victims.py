@@ -53,8 +53,11 @@ RELATIONS = (
     r"\b\d[\d\s.,]*\s+membres\s+de\s+la\s+(F[eé]d[eé]ration\s+Fran[cç]aise\s+de\s+[A-Za-zÀ-ÖØ-öø-ÿ'’ -]{2,50}?)\s+(?:diffus(?:é|e)s?|expos(?:é|e)s?)\b",
     rf"\b(?:la\s+)?((?:mairie|ville)\s+de\s+[A-Za-zÀ-ÖØ-öø-ÿ'’ -]{{2,60}}?){FACES}",
 )
-#: What every text has in which one of the relations can stand.
-RELATION_WORDS = r"cyberattaque|attaque|intrusion|compromission|piratage|victime|confirme|touch|frapp|pirat|cibl|paralys|membres|fait\s+face"
+#: For each relation, searchable phrases of which one stands in every text that it meets: dear patterns are tried only there.
+RELATION_SIGNS = (
+    ("attaque contre ", "attaque visant ", "attaque chez ", "attaque informatique "), ("intrusion chez ", "compromission de ", "piratage de "), (" victime d ", " victime de "),
+    ("confirme avoir subi",), ("confirme ",), ("touch", "frapp", "pirat", "cibl", "paralys"), ("pirat",), ("fait face",), ("membres de la ",), ("fait face",),
+)
 TITLE_TAIL = (
     r"^(.+?)\s+(?:annonce\s+(?:avoir\s+)?(?:être|été|etre)\s+victime\b|informe(?:\s+ses\s+clients)?\s+d['’]une\s+fuite\b|"
     r"ouvre\s+la\s+s[ée]rie\s+de\s+fuites\b|touch(?:é|ée|e)?|victime|cibl(?:é|ée|e)?|frapp(?:é|ée|e)?|pirat(?:é|ée)|menac(?:é|ée|e)?|"
@@ -132,24 +135,36 @@ def _first_name(candidates: Column) -> Column:
     return F.get(F.filter(candidates, lambda n: n != ""), 0)
 
 
+def _holds(blob: Column, phrases: tuple[str, ...]) -> Column:
+    return any_of([F.contains(blob, F.lit(p)) for p in phrases])
+
+
 def denied(title: Column, summary: Column, content: Column) -> Column:
     """F-05: whether title or summary deny the incident, or the content in so many words. Nulls are empty."""
-    head, body = searchable(F.concat(_text(title), F.lit(" "), _text(summary))), searchable(content)
-    return bind(head, lambda b: any_of([F.contains(b, F.lit(m)) for m in DENIALS])) | bind(
-        body, lambda b: any_of([F.contains(b, F.lit(m)) for m in CONTENT_DENIALS])
-    )
+    return bind(_blobs(title, summary, content), lambda b: _denied(b["head"], b["body"]))
 
 
 def campaign(title: Column, summary: Column, content: Column) -> Column:
     """F-06: whether an entry tells of several victims at once. Nulls are empty."""
-    whole = searchable(F.concat(_text(title), F.lit(" "), _text(summary), F.lit(" "), _text(content)))
+    return bind(_blobs(title, summary, content), lambda b: _campaign(title, b["head"], b["body"]))
+
+
+def _blobs(title: Column, summary: Column, content: Column) -> Column:
+    """Title and summary, and the content, in searchable form."""
+    return F.struct(searchable(F.concat(_text(title), F.lit(" "), _text(summary))).alias("head"), searchable(content).alias("body"))
 
+
+def _denied(head: Column, body: Column) -> Column:
+    return _holds(head, DENIALS) | _holds(body, CONTENT_DENIALS)
+
+
+def _campaign(title: Column, head: Column, body: Column) -> Column:
     def together(blob: Column) -> Column:
         agencies = F.startswith(searchable(title), F.lit(AGENCY_TITLE)) & F.contains(blob, F.lit(AGENCY_PAIR[0])) & F.contains(blob, F.lit(AGENCY_PAIR[1]))
         pair = F.contains(blob, F.lit(CAMPAIGN_PAIR[0])) & F.contains(blob, F.lit(CAMPAIGN_PAIR[1]))
-        return agencies | pair | blob.rlike("(?U)" + SEVERAL_AGENCIES)
+        return agencies | pair | (F.contains(blob, F.lit("s ars")) & blob.rlike("(?U)" + SEVERAL_AGENCIES))
 
-    return any_of([_text(title).rlike(FLAGS + p) for p in CAMPAIGN_TITLES]) | bind(whole, together)
+    return any_of([_text(title).rlike(FLAGS + p) for p in CAMPAIGN_TITLES]) | bind(F.concat(head, F.lit(" "), body), together)
 
 
 def victim_name(raw: Column) -> Column:
@@ -176,17 +191,20 @@ def victim_name(raw: Column) -> Column:
     return bind(plain, judged)
 
 
-def related_name(text: Column) -> Column:
+def related_name(text: Column, blob: Column | None = None) -> Column:
     """The name that the first relation with a usable one ties to an incident in a text; null without one.
 
-    Of each relation its first place counts, as the order of relations does.
+    Of each relation its first place counts, as the order of relations does. `blob` is the text's searchable form, if it is
+    at hand.
     """
 
-    def read(t: Column) -> Column:
-        names = F.filter(F.array(*[_group(t, p) for p in RELATIONS]), lambda n: n != "")
-        return F.when(t.rlike(FLAGS + RELATION_WORDS), _first_name(F.transform(names, victim_name)))
+    def read(v: Column) -> Column:
+        # a dotless i is an i in any case, but not in searchable form
+        names = [F.when(_holds(v["signs"], signs), _group(v["t"], p)).otherwise("") for p, signs in zip(RELATIONS, RELATION_SIGNS, strict=True)]
+        return _first_name(F.transform(F.filter(F.array(*names), lambda n: n != ""), victim_name))
 
-    return bind(_text(text), read)
+    signs = F.concat(F.lit(" "), F.replace(searchable(text) if blob is None else blob, F.lit("\u0131"), F.lit("i")), F.lit(" "))
+    return bind(F.struct(_text(text).alias("t"), signs.alias("signs")), read)
 
 
 def title_victim(title: Column, rest: Column) -> Column:
@@ -210,13 +228,14 @@ def victims(entries: DataFrame, known: DataFrame, id: str, title: str, summary:
     Nulls are empty; rows of equal ids stay apart.
     """
     t, s, c = (F.col(x) for x in (title, summary, content))
-    rest = F.concat(_text(s), F.lit(" "), _text(c))
-    out = denied(t, s, c) | campaign(t, s, c)
-    read = entries.select(id, F.when(~out, F.struct(title_victim(t, rest).alias("head"), t.alias("t"), s.alias("s"), c.alias("c"))).alias("e"))
+    read = entries.select(id, t.alias("t"), s.alias("s"), c.alias("c"), _blobs(t, s, c).alias("b"))
+    out = _denied(F.col("b.head"), F.col("b.body")) | _campaign(F.col("t"), F.col("b.head"), F.col("b.body"))
+    rest = F.concat(_text(F.col("s")), F.lit(" "), _text(F.col("c")))
+    read = read.select(id, F.when(~out, F.struct(title_victim(F.col("t"), rest).alias("head"), "t", "s", "c", F.col("b.body").alias("blob"))).alias("e"))
     # relations are asked only of what has no better name
     near = F.when(F.col("e.head").isNull(), F.coalesce(related_name(F.col("e.t")), related_name(F.col("e.s"))))
     read = read.select(id, F.col("e.head").alias("head"), near.alias("near"), "e")
-    far = F.when(F.col("e").isNotNull() & F.col("head").isNull() & F.col("near").isNull(), related_name(F.col("e.c")))
+    far = F.when(F.col("e").isNotNull() & F.col("head").isNull() & F.col("near").isNull(), related_name(F.col("e.c"), F.col("e.blob")))
     read = read.select(id, "head", "near", far.alias("far")).withColumn("_key", F.when(F.col("far").isNotNull(), searchable(F.col("far"))))
     keys = known.select(F.col("key").alias("_key"), F.lit(True).alias("_known")).distinct()
     read = read.join(measured_broadcast(keys), "_key", "left")
