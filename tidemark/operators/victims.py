@@ -227,22 +227,32 @@ def victims(entries: DataFrame, known: DataFrame, id: str, title: str, summary:
     be a town, a federation, or in `known` (key, searchable), a table that is broadcast if it is small and joined if not.
     Nulls are empty; rows of equal ids stay apart.
     """
+
+    def told(e: Column) -> Column:
+        # one expression with named steps: as columns of several selects, filters of the result would be copied into each of them
+        def named(head: Column) -> Column:
+            # relations are asked only of what has no better name
+            near = F.when(head.isNull(), F.coalesce(related_name(e["t"]), related_name(e["s"])))
+            return bind(near, lambda n: farther(head, n))
+
+        def farther(head: Column, near: Column) -> Column:
+            by = F.when(head.isNotNull(), "title").when(near.isNotNull(), "relation")
+            far = F.when(head.isNull() & near.isNull(), related_name(e["c"], e["b"]["body"]))
+            key = lambda f: F.when(f.isNotNull(), searchable(f))
+            return bind(far, lambda f: F.struct(F.coalesce(head, near).alias("name"), by.alias("by"), f.alias("far"), key(f).alias("key")))
+
+        out = _denied(e["b"]["head"], e["b"]["body"]) | _campaign(e["t"], e["b"]["head"], e["b"]["body"])
+        rest = F.concat(_text(e["s"]), F.lit(" "), _text(e["c"]))
+        return F.when(~out, bind(title_victim(e["t"], rest), named))
+
     t, s, c = (F.col(x) for x in (title, summary, content))
-    read = entries.select(id, t.alias("t"), s.alias("s"), c.alias("c"), _blobs(t, s, c).alias("b"))
-    out = _denied(F.col("b.head"), F.col("b.body")) | _campaign(F.col("t"), F.col("b.head"), F.col("b.body"))
-    rest = F.concat(_text(F.col("s")), F.lit(" "), _text(F.col("c")))
-    read = read.select(id, F.when(~out, F.struct(title_victim(F.col("t"), rest).alias("head"), "t", "s", "c", F.col("b.body").alias("blob"))).alias("e"))
-    # relations are asked only of what has no better name
-    near = F.when(F.col("e.head").isNull(), F.coalesce(related_name(F.col("e.t")), related_name(F.col("e.s"))))
-    read = read.select(id, F.col("e.head").alias("head"), near.alias("near"), "e")
-    far = F.when(F.col("e").isNotNull() & F.col("head").isNull() & F.col("near").isNull(), related_name(F.col("e.c"), F.col("e.blob")))
-    read = read.select(id, "head", "near", far.alias("far")).withColumn("_key", F.when(F.col("far").isNotNull(), searchable(F.col("far"))))
+    read = entries.select(id, bind(F.struct(t.alias("t"), s.alias("s"), c.alias("c"), _blobs(t, s, c).alias("b")), told).alias("x"))
     keys = known.select(F.col("key").alias("_key"), F.lit(True).alias("_known")).distinct()
-    read = read.join(measured_broadcast(keys), "_key", "left")
-    proved = F.col("_known") | any_of([F.startswith("_key", F.lit(b)) for b in KNOWN_BODIES])
-    content_name = F.when(F.coalesce(proved, F.lit(False)), F.col("far"))
-    by = F.when(F.col("head").isNotNull(), "title").when(F.col("near").isNotNull(), "relation").when(content_name.isNotNull(), "content")
-    return read.select(id, F.coalesce("head", "near", content_name).alias("victim"), by.alias("by"))
+    read = read.join(measured_broadcast(keys), F.col("x.key") == F.col("_key"), "left")
+    proved = F.col("_known") | any_of([F.startswith("x.key", F.lit(b)) for b in KNOWN_BODIES])
+    content_name = F.when(F.coalesce(proved, F.lit(False)), F.col("x.far"))
+    by = F.coalesce("x.by", F.when(content_name.isNotNull(), "content"))
+    return read.select(id, F.coalesce("x.name", content_name).alias("victim"), by.alias("by"))
 
 
 def name_before_colon(title: Column) -> Column:
