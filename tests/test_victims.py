@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import victims as V
 
-#: (title, summary, content, victim, by)
+#: (title, summary, content, victim, found_in)
 ENTRIES = [
     ("DGFiP : une 2ème cyberattaque", None, None, "DGFiP", "title"),
     ("Son-Video.com frappé une nouvelle fois par une cyberattaque", "", "", "Son-Video.com", "title"),
@@ -47,7 +47,7 @@ def test_victims(spark):
     rows = [(i, *e[:3]) for i, e in enumerate(ENTRIES)]
     df = spark.createDataFrame(rows, "i int, title string, summary string, content string")
     known = spark.createDataFrame([("chm",), ("chm",), (None,)], "key string")
-    got = {r.i: (r.victim, r.by) for r in V.victims(df, known, "i", "title", "summary", "content").collect()}
+    got = {r.i: (r.victim, r.found_in) for r in V.victims(df, known, "i", "title", "summary", "content").collect()}
     assert got == {i: e[3:] for i, e in enumerate(ENTRIES)}
     assert V.victims(df, known.limit(0), "i", "title", "summary", "content").filter("i = 6 AND victim IS NULL").count() == 1
     assert V.victims(df.limit(0), known, "i", "title", "summary", "content").count() == 0

@@ -221,7 +221,7 @@ def title_victim(title: Column, rest: Column) -> Column:
 
 
 def victims(entries: DataFrame, known: DataFrame, id: str, title: str, summary: str, content: str) -> DataFrame:
-    """X-04: id, victim, by: the organisation that an entry tells of and where it was read; null for denials, campaigns and none.
+    """X-04: id, victim, found_in: the organisation that an entry tells of and where it was read; null for denials, campaigns and none.
 
     The order is: the title itself; then relations of the title, the summary, the content. One that only the content has must
     be a town, a federation, or in `known` (key, searchable), a table that is broadcast if it is small and joined if not.
@@ -252,7 +252,7 @@ def victims(entries: DataFrame, known: DataFrame, id: str, title: str, summary:
     proved = F.col("_known") | any_of([F.startswith("x.key", F.lit(b)) for b in KNOWN_BODIES])
     content_name = F.when(F.coalesce(proved, F.lit(False)), F.col("x.far"))
     by = F.coalesce("x.by", F.when(content_name.isNotNull(), "content"))
-    return read.select(id, F.coalesce("x.name", content_name).alias("victim"), by.alias("by"))
+    return read.select(id, F.coalesce("x.name", content_name).alias("victim"), by.alias("found_in"))
 
 
 def name_before_colon(title: Column) -> Column:

@@ -137,7 +137,7 @@ _NO_NAME = f"""(name = '' OR len(string_split(name, ' ')) > 10 OR (regexp_matche
     f AS (SELECT * FROM v QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY rank) = 1),
     p AS (SELECT doc_id, rank, name FROM f WHERE rank < 50 OR {_begins('k', V.KNOWN_BODIES)} OR k IN (SELECT lower(n_name) FROM nation)),
     o AS (SELECT doc_id, '{V.RENAMED[0][1]}' AS name FROM a WHERE {_blob('h')} = '{V.RENAMED[0][0]}' AND contains({_blob("s || ' ' || c")}, {_blob(f"'{V.RENAMED[0][1]}'")}))
-    SELECT doc_id, coalesce(o.name, p.name) AS victim, CASE WHEN o.name IS NOT NULL OR rank < 10 THEN 'title' WHEN rank < 50 THEN 'relation' WHEN rank >= 50 THEN 'content' END AS by
+    SELECT doc_id, coalesce(o.name, p.name) AS victim, CASE WHEN o.name IS NOT NULL OR rank < 10 THEN 'title' WHEN rank < 50 THEN 'relation' WHEN rank >= 50 THEN 'content' END AS found_in
     FROM documents LEFT JOIN o USING (doc_id) LEFT JOIN p USING (doc_id)""",
     "documents", "nation",
 )
