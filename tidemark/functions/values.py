@@ -73,15 +73,24 @@ def month_of(c: Column) -> Column:
     return F.date_format(c, "yyyy-MM")
 
 
+def half_even(c: Column, places: int = 0) -> Column:
+    """A double at so many decimals, half-even on its product with their power of ten, as SQL's round_even has it.
+
+    bround goes by the shortest decimal text instead, and differs where a half is no whole binary number (3162 / 4800).
+    """
+    power = 10.0**places
+    return F.rint(c * power) / power if places else F.rint(c)
+
+
 def pct_change(current: Column, previous: Column) -> Column:
     """C-09: to one decimal, half-even; from 0: 100 if there is something now, else null."""
-    change = F.bround((current - previous) * 100.0 / F.nullif(previous, F.lit(0)), 1)
+    change = half_even((current - previous) * 100.0 / F.nullif(previous, F.lit(0)), 1)
     return F.when(previous == 0, F.when(current > 0, 100.0)).otherwise(change)
 
 
 def ratio(part: Column, total: Column, places: int = 4, scale: float = 1.0) -> Column:
     """C-10: safe division, half-even, 0 where the total is."""
-    return F.coalesce(F.bround(part * scale / F.nullif(total, F.lit(0)), places), F.lit(0.0))
+    return F.coalesce(half_even(part * scale / F.nullif(total, F.lit(0)), places), F.lit(0.0))
 
 
 def scaled_number(number: Column, scale: Column) -> Column:
@@ -125,7 +134,7 @@ def canonical_hash(**fields: Column) -> Column:
 
 def coverage(done: Column, expected: Column) -> Column:
     """C-17: whole percent between 0 and 100; 100 where nothing was expected."""
-    share = F.least(F.lit(100), F.greatest(F.lit(0), F.bround(100.0 * done / F.nullif(expected, F.lit(0))))).cast("long")
+    share = F.least(F.lit(100), F.greatest(F.lit(0), half_even(100.0 * done / F.nullif(expected, F.lit(0))))).cast("long")
     return F.when(expected <= 0, F.lit(100).cast("long")).otherwise(share)
 
 
@@ -143,7 +152,7 @@ def weighted_score(parts: list[tuple[Column, float]]) -> Column:
     """C-19: mean of the parts that are there, by weight, to one decimal; 0 if none is."""
     value = sum((F.coalesce(c * w, F.lit(0.0)) for c, w in parts), F.lit(0.0))
     weight = sum((F.when(c.isNotNull(), w).otherwise(0.0) for c, w in parts), F.lit(0.0))
-    return F.coalesce(F.bround(value / F.nullif(weight, F.lit(0.0)), 1), F.lit(0.0))
+    return F.coalesce(half_even(value / F.nullif(weight, F.lit(0.0)), 1), F.lit(0.0))
 
 
 def grade(score: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.values import known
+from tidemark.functions.values import half_even, known
 from tidemark.session import cut
 
 UNKNOWN = "Unknown"
@@ -28,7 +28,7 @@ def entropy(df: DataFrame, label: str, *by: str) -> DataFrame:
     counts = df.filter(known(F.col(label))).groupBy(*by, label).agg(F.count(F.lit(1)).alias("n"))
     counts = counts.withColumn("p", F.col("n") / F.sum("n").over(Window.partitionBy(*by)))
     h = counts.groupBy(*by).agg((-F.sum(F.col("p") * F.log2("p"))).alias("h"), F.count(F.lit(1)).alias("k"))
-    return h.select(*by, F.when(F.col("k") > 1, F.bround(F.col("h") / F.log2("k"), 3)).otherwise(0.0).alias("entropy"))
+    return h.select(*by, F.when(F.col("k") > 1, half_even(F.col("h") / F.log2("k"), 3)).otherwise(0.0).alias("entropy"))
 
 
 def ordered_places(df: DataFrame, by: str, value: str, **shares: float) -> DataFrame:
@@ -56,7 +56,7 @@ def unpivot_coverage(df: DataFrame, source: str, fields: list[str], everything:
     )
     sets = sets.withColumn(source, F.when(F.col("_all") == 1, everything).otherwise(F.col(source)))
     rows = sets.unpivot([source, "items"], fields, "field", "known")
-    share = F.bround(100.0 * F.col("known") / F.col("items"), 1)
+    share = half_even(100.0 * F.col("known") / F.col("items"), 1)
     return rows.select(source, "field", "items", "known", (F.col("items") - F.col("known")).alias("unknown"), share.alias("coverage_pct"))
 
 
@@ -109,7 +109,7 @@ def gaps(df: DataFrame, by: str, day: str) -> DataFrame:
 def drift(history: DataFrame, by: str, order: str, value: str, lookback: int = 5, drop: float = 2.0) -> DataFrame:
     """W-06: mean of up to `lookback` earlier values, and whether the value fell at least `drop` below it."""
     w = Window.partitionBy(by).orderBy(order).rowsBetween(-lookback, -1)
-    rows = history.withColumn("baseline", F.bround(F.avg(value).over(w), 4))
+    rows = history.withColumn("baseline", half_even(F.avg(value).over(w), 4))
     return rows.withColumn("drifted", F.coalesce(F.col("baseline") - F.col(value) >= drop, F.lit(False)))
 
 

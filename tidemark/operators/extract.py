@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import phrases as P
 from tidemark.functions.text import searchable, strip_accents
+from tidemark.functions.values import half_even
 from tidemark.operators.classify import arbitrate
 from tidemark.operators.entities import mutations
 from tidemark.operators.rules import modality
@@ -93,7 +94,7 @@ def outcome_counts(rows: DataFrame, by: list[str], applied: Column, right: Colum
     """A-11, A-28: per group the applied decisions, their precision, gains (wrong before, right now) and regressions."""
     n = F.count_if(applied)
     return rows.groupBy(*by).agg(
-        n.alias("applied"), F.bround(100.0 * F.count_if(applied & right) / F.nullif(n, F.lit(0)), 1).alias("precision"),
+        n.alias("applied"), half_even(100.0 * F.count_if(applied & right) / F.nullif(n, F.lit(0)), 1).alias("precision"),
         F.count_if(applied & right & ~was_right).alias("gains"), F.count_if(applied & ~right & was_right).alias("regressions"),
     )
 
@@ -109,7 +110,7 @@ def usage(calls: DataFrame, task: str, ok: Column, tokens: Column, price: float)
     """A-33, C-22: per task the calls, successes in percent, tokens and their cost at `price` for a million."""
     n = F.count(F.lit(1))
     return calls.groupBy(task).agg(
-        n.alias("calls"), F.bround(100.0 * F.count_if(ok) / n, 1).alias("ok_pct"), F.sum(tokens).alias("tokens"), F.bround(F.sum(tokens) * price / 1_000_000, 6).alias("cost")
+        n.alias("calls"), half_even(100.0 * F.count_if(ok) / n, 1).alias("ok_pct"), F.sum(tokens).alias("tokens"), half_even(F.sum(tokens) * price / 1_000_000, 6).alias("cost")
     )
 
 

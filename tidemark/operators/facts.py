@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import norm_key
+from tidemark.functions.values import half_even
 
 
 def known(value: Column, sentinels: tuple[str, ...]) -> Column:
@@ -85,7 +86,7 @@ def state_metrics(states: DataFrame, state: str = "state") -> DataFrame:
     kept = F.count_if(F.col(state) == "UNCHANGED")
     return states.agg(
         F.count_if(F.col(state) == "NEW").alias("new"), F.count_if(F.col(state) == "DIRTY").alias("dirty"), kept.alias("unchanged"),
-        F.coalesce(F.bround(100.0 * kept / F.nullif(n, F.lit(0)), 2), F.lit(0.0)).alias("reuse_pct"),
+        F.coalesce(half_even(100.0 * kept / F.nullif(n, F.lit(0)), 2), F.lit(0.0)).alias("reuse_pct"),
     )
 
 
@@ -166,7 +167,7 @@ def evaluation(joined: DataFrame, truth: str, told: str, unknown: str, *by: str)
     n, qualified, right = F.count(F.lit(1)), F.count_if(p != unknown), F.count_if(t == p)
 
     def pct(a: Column, b: Column) -> Column:
-        return F.bround(100.0 * a / F.nullif(b, F.lit(0)), 1)
+        return half_even(100.0 * a / F.nullif(b, F.lit(0)), 1)
 
     return joined.groupBy(*by).agg(
         n.alias("cases"), pct(right, n).alias("accuracy"), pct(qualified, n).alias("coverage"),
@@ -186,7 +187,7 @@ def transformation_rates(rows: DataFrame, source: str, order: list[str], before:
     w = Window.partitionBy(source).orderBy(*[F.desc(o) for o in order])
     latest = rows.withColumn("_at", F.row_number().over(w)).filter(F.col("_at") <= last)
     sums = latest.rollup(source).agg(F.count_if(before).alias("before"), F.count_if(after).alias("after"))
-    rate = F.bround(100.0 * (F.col("before") - F.col("after")) / F.nullif(F.col("before"), F.lit(0)), 1)
+    rate = half_even(100.0 * (F.col("before") - F.col("after")) / F.nullif(F.col("before"), F.lit(0)), 1)
     return sums.withColumns({source: F.coalesce(source, F.lit("TOTAL")), "rate": F.coalesce(rate, F.lit(0.0))})
 
 

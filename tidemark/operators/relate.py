@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.functions.values import half_even
+
 
 def within_days(left: DataFrame, right: DataFrame, keys: list[str], left_day: str, right_day: str, days: int) -> DataFrame:
     """J-07, J-10, J-12: pairs of equal keys at most `days` apart.
@@ -65,7 +67,7 @@ def confusion(joined: DataFrame, truth: Column, told: Column, *by: str) -> DataF
     c = joined.groupBy(*by).agg(tp.alias("tp"), fp.alias("fp"), fn.alias("fn"), tn.alias("tn"))
 
     def pct(a: Column, b: Column) -> Column:
-        return F.bround(100.0 * a / F.nullif(b, F.lit(0)), 2)
+        return half_even(100.0 * a / F.nullif(b, F.lit(0)), 2)
 
     total = F.col("tp") + F.col("fp") + F.col("fn") + F.col("tn")
     return c.withColumns(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.values import best_date, efficiency_score, freshness_score, grade, ratio, weighted_score
+from tidemark.functions.values import best_date, efficiency_score, freshness_score, grade, half_even, ratio, weighted_score
 from tidemark.operators.aggregate import last_n
 
 # Weights of reliability, freshness, completeness, exclusive share and items a call.
@@ -51,7 +51,7 @@ def scorecard(active: DataFrame, items: DataFrame, incidents: DataFrame, runs: D
         "freshness_days": F.datediff(as_of, c("latest")).cast("long"), "exclusive_share_pct": _pct(c("exclusive"), c("touched")),
         "reliability_pct": F.when(c("recent_runs") > 0, _pct(c("ok_runs"), c("recent_runs"))), "items_per_call": ratio(c("collected"), c("calls"), 3),
         **{f"{f}_unknown_pct": _pct(c(f"{f}_unknown"), c("items")) for f in lacking},
-        "completeness_pct": F.when(c("items") > 0, F.bround(100.0 * (1.0 - sum((ratio(c(f"{f}_unknown"), c("items")) for f in lacking), F.lit(0.0)) / 3), 1)).otherwise(0.0),
+        "completeness_pct": F.when(c("items") > 0, half_even(100.0 * (1.0 - sum((ratio(c(f"{f}_unknown"), c("items")) for f in lacking), F.lit(0.0)) / 3), 1)).otherwise(0.0),
     })
     parts = (c("reliability_pct"), freshness_score(c("freshness_days")), c("completeness_pct"), c("exclusive_share_pct"), efficiency_score(c("items_per_call")))
     rows = rows.withColumn("value_index", weighted_score(list(zip(parts, WEIGHTS, strict=True))))

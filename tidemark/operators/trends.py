@@ -5,19 +5,23 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.values import pct_change, ratio
+from tidemark.functions.values import half_even, pct_change, ratio
 from tidemark.operators.aggregate import period_counts
 
 
-def confidence(n: Column, multi: Column, known_ratio: Column) -> Column:
-    """P-01: 0 to 100 from volume, the share with several sources and the share of fields that are known."""
+def confidence(n: Column, multi: Column, known: Column, fields: Column | float = 1.0) -> Column:
+    """P-01: 0 to 100 from volume, the share with several sources and the share of fields that are known.
+
+    That share is `known` of `fields`. Its weight is applied before the division: the other way round, scores that lie half
+    way between two numbers miss it by the last binary place.
+    """
     shared = ratio(multi, n)
-    return F.bround(100 * (0.55 * F.least(F.lit(1.0), n / 12.0) + 0.25 * shared + 0.20 * known_ratio), 0).cast("long")
+    return half_even(100 * (0.55 * F.least(F.lit(1.0), n / 12.0) + 0.25 * shared + 0.20 * known / fields)).cast("long")
 
 
 def base_rate(current: Column, previous: Column) -> Column:
     """P-02: change of everything in percent, null below 10 before or 20 now."""
-    return F.when((previous >= 10) & (current >= 20), F.bround((current - previous) * 100.0 / previous, 1))
+    return F.when((previous >= 10) & (current >= 20), half_even((current - previous) * 100.0 / previous, 1))
 
 
 def dimension_signals(
@@ -51,9 +55,9 @@ def dimension_signals(
     now, before, base = F.col("now"), F.col("before"), F.col("base_rate")
     c = c.withColumns({
         "delta": now - before, "change": pct_change(now, before), "base_rate": base_rate(F.col("total"), F.col("_past")), "share": ratio(now, F.col("total"), 1, 100.0),
-        "kind": F.when(before == 0, "emerging").otherwise("acceleration"), "score": confidence(now, F.col("_multi"), F.col("_known") / (now * fields)),
+        "kind": F.when(before == 0, "emerging").otherwise("acceleration"), "score": confidence(now, F.col("_multi"), F.col("_known"), now * fields),
     })
-    c = c.withColumn("excess", F.bround(F.col("change") - base, 1))
+    c = c.withColumn("excess", half_even(F.col("change") - base, 1))
     grown = (now >= least) & (F.col("delta") >= delta) & ((before == 0) | (F.col("change") >= change))
     apart = base.isNull() | ((F.col("share") <= max_share) & (F.col("excess") >= excess))
     return c.filter(grown & apart).select("days", "label", "kind", "now", "before", "delta", "change", "share", "base_rate", "excess", "score")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.values import pct_change
+from tidemark.functions.values import half_even, pct_change
 from tidemark.operators import aggregate as A
 from tidemark.plans.registry import query
 
@@ -51,7 +51,7 @@ def _a04(e: DataFrame) -> DataFrame:
 )
 def _a05(d: DataFrame) -> DataFrame:
     k = F.count_if(F.col("lang") != "es")
-    return d.groupBy("source").agg(k.alias("known"), F.count_if(F.col("lang") == "es").alias("unknown"), F.bround(100.0 * k / F.count(F.lit(1)), 1).alias("pct"))
+    return d.groupBy("source").agg(k.alias("known"), F.count_if(F.col("lang") == "es").alias("unknown"), half_even(100.0 * k / F.count(F.lit(1)), 1).alias("pct"))
 
 
 @query(
@@ -65,7 +65,7 @@ def _a06(e: DataFrame) -> DataFrame:
     o = e.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("event_type") == "error").alias("bad"))
     return o.agg(
         F.sum("n").alias("items"), F.count(F.lit(1)).alias("organisations"), F.count_if(F.col("n") > 1).alias("repeated"),
-        F.count_if(F.col("bad") > 1).alias("repeated_unknown"), F.bround(F.sum("bad") / F.sum("n"), 4).alias("unknown_ratio"),
+        F.count_if(F.col("bad") > 1).alias("repeated_unknown"), half_even(F.sum("bad") / F.sum("n"), 4).alias("unknown_ratio"),
     )
 
 
@@ -144,7 +144,7 @@ def _a19(li: DataFrame) -> DataFrame:
 def _a20(o: DataFrame) -> DataFrame:
     return _day(o).agg(
         F.count(F.lit(1)).alias("items"), F.countDistinct("o_custkey").alias("organisations"), F.min("day").alias("first_day"),
-        F.max("day").alias("last_day"), F.bround(100.0 * F.count_if(F.col("o_orderstatus") == "P") / F.count(F.lit(1)), 1).alias("unknown_pct"),
+        F.max("day").alias("last_day"), half_even(100.0 * F.count_if(F.col("o_orderstatus") == "P") / F.count(F.lit(1)), 1).alias("unknown_pct"),
     )
 
 
@@ -164,7 +164,7 @@ def _a21(o: DataFrame, c: DataFrame, n: DataFrame) -> DataFrame:
     counts = counts.withColumn("total", F.sum("n").over(w)).withColumn("top", F.max("n").over(w))
     ranked = A.top_labels(counts, 4, "focus")
     reliable = (F.col("total") >= 30) & (100.0 * F.col("top") <= 60 * F.col("total"))
-    return ranked.select("focus", "label", "n", "rank", F.bround(100.0 * F.col("n") / F.col("total"), 1).alias("share"), reliable.alias("reliable"))
+    return ranked.select("focus", "label", "n", "rank", half_even(100.0 * F.col("n") / F.col("total"), 1).alias("share"), reliable.alias("reliable"))
 
 
 @query(
@@ -304,7 +304,7 @@ def _p01(e: DataFrame) -> DataFrame:
     u = e.groupBy("user_id").agg(
         F.count(F.lit(1)).alias("n"), F.count_if(F.col("event_type").isin("view", "click")).alias("multi"), F.count_if(F.col("event_type") != "error").alias("known")
     )
-    score = confidence(F.col("n"), F.col("multi"), F.col("known") / F.col("n"))
+    score = confidence(F.col("n"), F.col("multi"), F.col("known"), F.col("n"))
     return u.select("user_id", score.alias("score"), F.when(score >= 75, "high").when(score >= 50, "medium").otherwise("low").alias("band"))
 
 
@@ -472,7 +472,7 @@ def _b03(o: DataFrame) -> DataFrame:
 def _b04(e: DataFrame) -> DataFrame:
     c = A.count_by(e, F.col("event_type"))
     top = c.agg(F.max("n").alias("top"))
-    width = F.greatest(F.lit(2), F.bround(100.0 * F.col("n") / F.col("top"), 0).cast("long"))
+    width = F.greatest(F.lit(2), half_even(100.0 * F.col("n") / F.col("top"), 0).cast("long"))
     return c.join(F.broadcast(top)).select("label", "n", width.alias("width"))
 
 

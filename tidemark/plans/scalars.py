@@ -148,7 +148,7 @@ def _t15(p: DataFrame) -> DataFrame:
     r"""SELECT o_orderkey, replace(format('{:,}', CAST(round_even(o_totalprice, 0) AS BIGINT)), ',', ' ') AS amount FROM orders""", "orders",
 )
 def _t16(o: DataFrame) -> DataFrame:
-    return o.select("o_orderkey", T.grouped_number(F.bround("o_totalprice", 0).cast("long")).alias("amount"))
+    return o.select("o_orderkey", T.grouped_number(V.half_even(F.col("o_totalprice")).cast("long")).alias("amount"))
 
 
 @query(

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import strip_html
-from tidemark.functions.values import parse_date
+from tidemark.functions.values import half_even, parse_date
 from tidemark.operators.facts import first_alias, records_of
 
 _RSS = "title string, link string, description string, pubDate string, guid string"
@@ -34,7 +34,7 @@ def window_coverage(entries: DataFrame, start: str, end: str) -> DataFrame:
     """R-01: one row: observed days of the window and their share of it in percent."""
     days = F.countDistinct(F.when(F.col("day").between(F.lit(start).cast("date"), F.lit(end).cast("date")), F.col("day")))
     length = F.datediff(F.lit(end).cast("date"), F.lit(start).cast("date")) + 1
-    return entries.agg(days.alias("days")).withColumn("pct", F.least(F.lit(100.0), F.bround(100.0 * F.col("days") / length, 1)))
+    return entries.agg(days.alias("days")).withColumn("pct", F.least(F.lit(100.0), half_even(100.0 * F.col("days") / length, 1)))
 
 
 def union_posts(pages: DataFrame, native_id: str, page: str) -> DataFrame:
