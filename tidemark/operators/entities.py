@@ -132,11 +132,15 @@ def stable_ids(groups: DataFrame, registry: DataFrame, group: str, item: str, id
 
 
 def registry_faults(registry: DataFrame, items: DataFrame, id: str, anchor: str, redirect: str) -> DataFrame:
-    """D-16, D-17: id, fault of registry rows: repeated id, anchor that no item has, redirect to itself or to nowhere."""
+    """D-16, D-17: id, fault of registry rows: repeated id, anchor that no item has, redirect to itself or to nowhere.
+
+    Anchors of items and targets are made distinct before they meet the registry, so a task sorts each once and not with all
+    its rows.
+    """
     repeated = registry.groupBy(id).count().filter("count > 1").select(id, F.lit("DUPLICATE_ID").alias("fault"))
-    orphan = registry.join(items.select(F.col(anchor)), anchor, "left_anti").filter(F.col(redirect).isNull()).select(id, F.lit("ORPHAN_ANCHOR").alias("fault"))
+    orphan = registry.filter(F.col(redirect).isNull()).join(items.select(F.col(anchor)).distinct(), anchor, "left_anti").select(id, F.lit("ORPHAN_ANCHOR").alias("fault"))
     loop = registry.filter(F.col(redirect) == F.col(id)).select(id, F.lit("SELF_REDIRECT").alias("fault"))
-    targets = registry.select(F.col(id).alias(redirect))
+    targets = registry.select(F.col(id).alias(redirect)).distinct()
     lost = registry.filter(F.col(redirect).isNotNull()).join(targets, redirect, "left_anti").select(id, F.lit("LOST_REDIRECT").alias("fault"))
     return repeated.unionByName(orphan).unionByName(loop).unionByName(lost)
 
