@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.match import bind
 from tidemark.functions.text import base_key
+from tidemark.session import cut, measured_broadcast
 
 # How departments and regions are written in an organisation's key, and the articles before their names.
 TERRITORIES = {
@@ -118,31 +120,40 @@ def next_run_ids(wanted: DataFrame, log: DataFrame, base: str, run: str) -> Data
 def territory(name: Column) -> Column:
     """J-02: struct of the kind and value of a name that is wholly a department's or a region's, else null.
 
-    A code alone is none: the kind of authority has to be named.
+    A code alone is none: the kind of authority has to be named. The name's key is made once, and what follows the kind of
+    authority is looked at only where there is one.
     """
-    key = base_key(name)
-    found = None
-    for kind, patterns in TERRITORIES.items():
-        (named, short) = patterns
-        parts = [F.regexp_extract(key, named, 1), F.regexp_extract(key, named, 2), F.regexp_extract(key, short, 1)]
-        value = F.coalesce(*[F.nullif(p, F.lit("")) for p in parts])
-        value = F.trim(F.regexp_replace(base_key(value), ARTICLES, ""))
-        said = F.when(value != "", F.struct(F.lit(kind).alias("kind"), value.alias("value")))
-        found = said if found is None else F.coalesce(found, said)
-    return found
+
+    def of(kind: str, pattern: str, key: Column) -> Column:
+        def told(value: Column) -> Column:
+            return F.when(value != "", F.struct(F.lit(kind).alias("kind"), value.alias("value")))
+
+        # one of the groups holds the value, the others are empty
+        value = bind(F.regexp_replace(key, pattern, "$1$2$3"), lambda v: F.trim(F.regexp_replace(base_key(v), ARTICLES, "")))
+        return F.when(key.rlike(pattern), bind(value, told))
+
+    return bind(base_key(name), lambda key: F.coalesce(*[of(kind, "|".join(patterns), key) for kind, patterns in TERRITORIES.items()]))
+
+
+def _known_territories(identities: DataFrame) -> DataFrame:
+    """_kind, _value, _key of `identities`, each kind and value once; two keys for one are an error."""
+    known = identities.groupBy("kind", "value").agg(F.min("key").alias("_key"), F.max("key").alias("_last"))
+    clash = F.raise_error(F.concat(F.lit("two keys for "), F.col("kind"), F.lit(" "), F.col("value")))
+    return measured_broadcast(cut(known.select(F.col("kind").alias("_kind"), F.col("value").alias("_value"), F.when(F.col("_key") == F.col("_last"), F.col("_key")).otherwise(clash).alias("_key"))))
+
+
+def _with_key(rows: DataFrame, at: str, known: DataFrame, out: str) -> DataFrame:
+    on = (F.col(f"{at}.kind") == F.col("_kind")) & (F.col(f"{at}.value") == F.col("_value"))
+    return rows.join(known.withColumnRenamed("_key", out), on, "left").drop(at, "_kind", "_value")
 
 
 def territorial_keys(rows: DataFrame, name: str, identities: DataFrame, out: str = "territorial_key") -> DataFrame:
     """J-02: `rows` with the key that `identities` (kind, value, key) gives the territory in `name`, else null.
 
-    Two keys for one kind and value are an error, as they would merge different authorities.
+    Two keys for one kind and value are an error, as they would merge different authorities. `identities` is computed at
+    once, to be broadcast where it is small.
     """
-    known = identities.groupBy("kind", "value").agg(F.min("key").alias("_key"), F.max("key").alias("_last"))
-    clash = F.raise_error(F.concat(F.lit("two keys for "), F.col("kind"), F.lit(" "), F.col("value")))
-    known = known.select("kind", "value", F.when(F.col("_key") == F.col("_last"), F.col("_key")).otherwise(clash).alias(out))
-    said = rows.withColumn("_at", territory(F.col(name)))
-    on = (F.col("_at.kind") == known["kind"]) & (F.col("_at.value") == known["value"])
-    return said.join(known, on, "left").drop("_at", "kind", "value")
+    return _with_key(rows.withColumn("_at", territory(F.col(name))), "_at", _known_territories(identities), out)
 
 
 def effective_keys(rows: DataFrame, names: list[str], identities: DataFrame, fallback: Column, out: str = "effective_key") -> DataFrame:
@@ -150,8 +161,9 @@ def effective_keys(rows: DataFrame, names: list[str], identities: DataFrame, fal
 
     Pass the canonical key of the raw name, the raw name, the canonical stored key, the stored key, in this order.
     """
-    columns = rows.columns
+    columns, known = rows.columns, _known_territories(identities)
+    rows = rows.withColumns({f"_at{i}": territory(F.col(name)) for i, name in enumerate(names)})
     keys = [f"_key{i}" for i in range(len(names))]
-    for name, key in zip(names, keys, strict=True):
-        rows = territorial_keys(rows, name, identities, key)
+    for i, key in enumerate(keys):
+        rows = _with_key(rows, f"_at{i}", known, key)
     return rows.select(*columns, F.coalesce(*keys, fallback).alias(out))
