@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tidemark.functions.match import bind
 from tidemark.functions.text import searchable, strip_accents
 
 # Month names, French and English, without accents, and English abbreviations.
@@ -21,31 +22,36 @@ def strict_date(c: Column) -> Column:
     return F.when(c.rlike(r"^\d{4}-\d{2}-\d{2}$"), c.try_cast("date"))
 
 
-def _made(year: Column, month: Column, day: Column) -> Column:
-    text = F.concat_ws("-", F.lpad(year, 4, "0"), F.lpad(month.cast("string"), 2, "0"), F.lpad(day, 2, "0"))
-    return strict_date(text)
-
-
 def parse_date(c: Column) -> Column:
-    """C-01: ISO, RFC 822, year-month-day, day/month/year, day.month.year, then day month-name year; null on failure."""
-    plain = F.lower(strip_accents(F.trim(F.coalesce(c, F.lit("")))))
-
-    def part(pattern: str, g: int) -> Column:
-        return F.nullif(F.regexp_extract(plain, pattern, g), F.lit(""))
-
-    iso = r"^(\d{4})-(\d{2})-(\d{2})([t ].*)?$"
-    ymd, dmy, dots = r"\b(\d{4})-(\d{2})-(\d{2})\b", r"\b(\d{2})/(\d{2})/(\d{4})\b", r"\b(\d{2})\.(\d{2})\.(\d{4})\b"
-    named = r"\b(\d{1,2})\s+([a-z]+)\s+(\d{4})\b"
-    blob = searchable(c)
-    day, word, year = (F.nullif(F.regexp_extract(blob, named, g), F.lit("")) for g in (1, 2, 3))
-    month = F.when(F.lit(False), F.lit(None).cast("int"))
-    for number in sorted(set(MONTHS.values())):
-        month = month.when(word.isin(*[name for name, n in MONTHS.items() if n == number]), number)
-    return F.coalesce(
-        _made(part(iso, 1), part(iso, 2), part(iso, 3)), _made(part(ymd, 1), part(ymd, 2), part(ymd, 3)),
-        _made(part(dmy, 3), part(dmy, 2), part(dmy, 1)), _made(part(dots, 3), part(dots, 2), part(dots, 1)),
-        _made(year, month, day),
-    )
+    """C-01: ISO, RFC 822, year-month-day, day/month/year, day.month.year, then day month-name year; null on failure.
+
+    The text and its folded form are made once, each way to write a day is looked for once, and only if those before failed.
+    """
+    ymd, dmy, dots = r"\b\d{4}-\d{2}-\d{2}\b", r"\b\d{2}/\d{2}/\d{4}\b", r"\b\d{2}\.\d{2}\.\d{4}\b"
+    iso, named = r"^(\d{4}-\d{2}-\d{2})([t ].*)?$", r"\b\d{1,2}\s+[a-z]+\s+\d{4}\b"
+
+    def turned(found: Column) -> Column:
+        return F.concat_ws("-", F.substring(found, 7, 4), F.substring(found, 4, 2), F.substring(found, 1, 2))
+
+    def spelled(words: Column) -> Column:
+        day, word, year = (F.get(words, n) for n in range(3))
+        month = F.when(F.lit(False), F.lit(None).cast("string"))
+        for number in sorted(set(MONTHS.values())):
+            month = month.when(word.isin(*[name for name, n in MONTHS.items() if n == number]), f"{number:02}")
+        return F.concat_ws("-", year, month, F.lpad(day, 2, "0"))
+
+    def read(text: Column) -> Column:
+        def numeric(plain: Column) -> Column:
+            return F.coalesce(
+                bind(F.regexp_extract(plain, iso, 1), strict_date), bind(F.regexp_extract(plain, ymd, 0), strict_date),
+                *[bind(bind(F.regexp_extract(plain, p, 0), turned), strict_date) for p in (dmy, dots)],
+            )
+
+        # words of a searchable text stand one space apart
+        words = F.split(F.regexp_extract(searchable(text), named, 0), " ")
+        return F.coalesce(bind(F.lower(strip_accents(F.trim(text))), numeric), bind(bind(words, spelled), strict_date))
+
+    return bind(F.coalesce(c, F.lit("")), read)
 
 
 def days_between(earlier: Column, later: Column) -> Column:
