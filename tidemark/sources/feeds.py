@@ -106,8 +106,11 @@ DAY_MONTHS = (
     "jan", "feb", "mar", "apr", "jun", "jul", "aug", "sep", "sept", "oct", "nov", "dec",
 )
 _MONTH = "(?:" + "|".join(DAY_MONTHS) + ")"
+# A day begins with a digit or with the first two letters of a month; any sign beyond ASCII may be either. Looked at first, as
+# trying all names at each place of a text takes most of the time.
+_DAY_OPENS = r"(?-iU:(?=[0-9\x{80}-\x{10FFFF}]|[jfmasondJFMASOND][aeuopvcAEUOPVC\x{80}-\x{10FFFF}]))"
 WRITTEN_DAY = (
-    rf"(?iU)(?<![\d/-])(?:\d{{4}}-\d{{2}}-\d{{2}}|\d{{1,2}}[/.]\d{{1,2}}[/.]\d{{4}}|\d{{1,2}}(?:er)?\s+{_MONTH}\.?\s+\d{{4}}|{_MONTH}\.?\s+\d{{1,2}},?\s+\d{{4}})(?![\d/-])"
+    rf"(?iU){_DAY_OPENS}(?<![\d/-])(?:\d{{4}}-\d{{2}}-\d{{2}}|\d{{1,2}}[/.]\d{{1,2}}[/.]\d{{4}}|\d{{1,2}}(?:er)?\s+{_MONTH}\.?\s+\d{{4}}|{_MONTH}\.?\s+\d{{1,2}},?\s+\d{{4}})(?![\d/-])"
 )
 LINK = r"""(?is)<a[^>]+href=["']([^"']+)["'][^>]*>(.*?)</a>"""
 NEAR, LEAST_LABEL = 1500, 12
