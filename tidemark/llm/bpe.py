@@ -235,6 +235,12 @@ def _mapped(name: str) -> Lexicon:
     return Lexicon(SparkFiles.get(name))
 
 
+@lru_cache(maxsize=1)
+def _looked_up(name: str) -> dict[str, bytes]:
+    """Ids of the words that tasks of this process have found in a lexicon: no more than it holds, so none is forgotten."""
+    return {}
+
+
 def encode_texts(
     docs: DataFrame, lexicon: str, *, id_col: str = "doc_id", text_col: str = "text", vocabulary: str | None = None
 ) -> DataFrame:
@@ -249,13 +255,15 @@ def encode_texts(
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, mapped = _vocabulary(vocabulary), _mapped(name)
-        held: dict[str, bytes] = {}
+        found, held = _looked_up(name), {}
 
         def ids_of(word: str) -> bytes:
             raw = word.encode()
             ids = mapped.find(raw) if len(word) <= KEPT_CHARS else None
             made = array("i", known.merge(raw) if ids is None else ids).tobytes()
-            if len(word) <= KEPT_CHARS:
+            if ids is not None:
+                found[word] = made
+            elif len(word) <= KEPT_CHARS:
                 if len(held) >= HELD:
                     held.clear()
                 held[word] = made
@@ -278,7 +286,7 @@ def encode_texts(
                     if k % 2:
                         pieces.append(np.int32(known.special[part]).tobytes())
                     else:
-                        pieces += [held.get(w) or ids_of(w) for w in words_of(part)]
+                        pieces += [found.get(w) or held.get(w) or ids_of(w) for w in words_of(part)]
                 done.append(b"".join(pieces))
                 total += len(done[-1])
                 if total >= 4 * FLUSH:
